@@ -99,3 +99,21 @@ def finish(df: DataFrame, round_rows: bool = True) -> DataFrame:
 def clean(raw: DataFrame, round_rows: bool = True) -> DataFrame:
     """Delivery rows to the clean table at grain timestamp + grid + country."""
     return finish(kept(tag_rejects(coerce(canonical_names(raw)))), round_rows)
+
+
+def finish_tagged(tagged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Clean and rejected rows as one table, told apart by ``row_status``.
+
+    Lets both be written in a single pass: partitioned by status and date, a
+    reader of either side scans only its own files. Rejected rows keep their
+    nulls, for whoever has to repair them.
+    """
+    is_clean = F.size("reject_reasons") == 0
+    filled = tagged.withColumns({
+        "row_status": F.when(is_clean, "clean").otherwise("rejected"),
+        **{m: F.coalesce(F.col(m), F.when(is_clean, F.lit(0.0))) for m in MEASURES},
+    })
+    full = filled.withColumns(calendar()).withColumns(activity_totals())
+    return full.withColumns({c: rounded(c, DECIMALS) for c in [*MEASURES, *TOTALS]}).select(
+        "row_status", F.array_join("reject_reasons", ",").alias("reject_reasons"), *keep, *CLEAN_COLUMNS
+    )

@@ -69,11 +69,7 @@ def list_files(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> D
     The names are the scan's own file index; no file is opened.
     """
     found = spark.read.option("pathGlobFilter", pattern).text(path).inputFiles()
-    return names_frame(spark, found)
-
-
-def names_frame(spark: SparkSession, paths) -> DataFrame:
-    names = sorted({p.rsplit("/", 1)[-1] for p in paths})
+    names = sorted({p.rsplit("/", 1)[-1] for p in found})
     return spark.createDataFrame([(n,) for n in names], "filename string")
 
 

@@ -28,6 +28,7 @@ ZONES = {
     "rejected": Zone("text", "overwrite", ("source_filename",), dynamic=True),
     "reference": Zone("json", "errorifexists"),
     "processed": Zone("parquet", "overwrite", ("date",), dynamic=True),
+    "detail": Zone("parquet", "overwrite", ("row_status", "date"), dynamic=True),
     "processed_append": Zone("parquet", "append", ("date",)),
     "analytics": Zone("parquet", "overwrite"),
     "analytics_append": Zone("parquet", "append"),
@@ -75,12 +76,9 @@ def append_ledger(entries: DataFrame, path: str) -> dict:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The audit ledger; before the first run it is empty."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], LEDGER_SCHEMA)
+    """The audit ledger; the first call of a lake creates it without rows."""
+    spark.createDataFrame([], LEDGER_SCHEMA).write.mode("ignore").parquet(path)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
 def verify(spark: SparkSession, path: str, expected_rows: int, columns=None,
