@@ -27,6 +27,7 @@ class Rules:
     forbidden: list[str] = field(default_factory=list)
     not_null: list[str] = field(default_factory=list)
     non_negative: list[str] = field(default_factory=list)
+    finite: list[str] = field(default_factory=list)
     rows: int | Column | None = None
     max_rows: int | Column | None = None
     fewer_rows_than: int | Column | None = None
@@ -71,6 +72,7 @@ def table_checks(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
     """Run every rule of one dataset in one aggregation."""
     flags = {f"_null_{c}": F.count_if(F.col(c).isNull()) for c in rules.not_null}
     flags |= {f"_neg_{c}": F.count_if(F.col(c) < 0) for c in rules.non_negative}
+    flags |= {f"_odd_{c}": F.count_if(F.isnan(c) | (F.abs(c) == float("inf"))) for c in rules.finite}
     keys = df.groupBy(*rules.grain).agg(
         F.count(F.lit(1)).alias("_n"), *[v.alias(k) for k, v in flags.items()]
     )
@@ -108,6 +110,7 @@ def table_checks(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
         checks.append(_row("fewer rows than input", rows < limit, rows, limit))
     checks += [_equal(f"nulls in {c}", F.col(f"_null_{c}"), 0) for c in rules.not_null]
     checks += [_equal(f"negatives in {c}", F.col(f"_neg_{c}"), 0) for c in rules.non_negative]
+    checks += [_equal(f"not finite in {c}", F.col(f"_odd_{c}"), 0) for c in rules.finite]
     checks += [
         _equal(f"distinct {c}", F.col(f"distinct_{c}"), n) for c, n in rules.distinct.items()
     ]

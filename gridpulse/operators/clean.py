@@ -85,7 +85,8 @@ def reject_summary(tagged: DataFrame) -> DataFrame:
 
 
 def fill_measures(df: DataFrame) -> DataFrame:
-    return df.na.fill(0.0, subset=MEASURES)
+    """Null measures become 0.0. NaN stays: the finite check reports it."""
+    return df.withColumns({m: F.coalesce(F.col(m), F.lit(0.0)) for m in MEASURES})
 
 
 def finish(df: DataFrame, round_rows: bool = True) -> DataFrame:

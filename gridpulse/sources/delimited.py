@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridpulse.schemas import FILE_PATTERN, RAW_TEXT_SCHEMA
@@ -22,11 +24,19 @@ def read_deliveries(spark: SparkSession, path: str, pattern: str = FILE_PATTERN)
         .option("pathGlobFilter", pattern).csv(path)
         .withColumns({
             "source_file": F.col("_metadata.file_path"),
-            "source_filename": F.col("_metadata.file_name"),
+            "source_filename": file_name(),
         })
     )
 
 
+def file_name() -> Column:
+    """Name of the file a row came from; the scan reports it percent-encoded."""
+    name = F.col("_metadata.file_name")
+    # a plus sign is itself in a path, unlike in a query string
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(name, F.lit("%")), decoded).otherwise(name)
+
+
 def file_stem(path: Column) -> Column:
     """Base name of a path written with either kind of slash."""
     return F.regexp_extract(path, r"([^/\\]+)$", 1)
@@ -57,7 +67,7 @@ def read_lines(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> D
 
 def with_origin(lines: DataFrame) -> DataFrame:
     return lines.select(
-        F.col("_metadata.file_name").alias("filename"),
+        file_name().alias("filename"),
         F.col("_metadata.file_block_start").alias("split"),
         "value",
     )
@@ -69,7 +79,7 @@ def list_files(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> D
     The names are the scan's own file index; no file is opened.
     """
     found = spark.read.option("pathGlobFilter", pattern).text(path).inputFiles()
-    names = sorted({p.rsplit("/", 1)[-1] for p in found})
+    names = sorted({unquote(p.rsplit("/", 1)[-1]) for p in found})
     return spark.createDataFrame([(n,) for n in names], "filename string")
 
 
