@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridpulse.functions.columns import (
-    activity_totals, calendar, is_negative, parse_timestamp, rounded,
+    activity_totals, any_of, calendar, is_negative, parse_timestamp, rounded,
 )
 from gridpulse.schemas import (
     CANONICAL_NAMES, CLEAN_COLUMNS, DECIMALS, MEASURES, NAME_SYNONYMS, TOTALS, require_columns,
@@ -51,34 +51,41 @@ def coerce(df: DataFrame) -> DataFrame:
     return df.withColumns(casts)
 
 
-def tag_rejects(df: DataFrame) -> DataFrame:
-    """Add ``reject_reasons``: every reason that applies, empty for a clean row."""
-    tests = {
+def reject_tests() -> dict[str, Column]:
+    """Reason -> condition over coerced rows; several may hold for one row."""
+    return {
         "missing_timestamp": F.col("timestamp").isNull(),
         "missing_grid_id": F.col("grid_id").isNull(),
         "negative_activity": is_negative(),
     }
-    hits = F.array(*[F.when(tests[r], F.lit(r)) for r in REJECT_REASONS])
-    return df.withColumn("reject_reasons", F.array_compact(hits))
 
 
-def kept(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.size("reject_reasons") == 0).drop("reject_reasons")
+def is_rejected() -> Column:
+    return any_of(reject_tests().values())
+
+
+def kept(coerced: DataFrame) -> DataFrame:
+    """Rows without any reason; a plain predicate, inside generated code."""
+    return coerced.where(~is_rejected())
+
+
+def with_reasons(coerced: DataFrame) -> DataFrame:
+    """Add ``reject_reasons``: every reason that applies, empty for a clean row."""
+    hits = F.array(*[F.when(test, F.lit(r)) for r, test in reject_tests().items()])
+    return coerced.withColumn("reject_reasons", F.array_compact(hits))
 
 
-def rejected(tagged: DataFrame) -> DataFrame:
-    return tagged.where(F.size("reject_reasons") > 0)
+def rejected(coerced: DataFrame) -> DataFrame:
+    """The quarantined rows with their reasons."""
+    return with_reasons(coerced.where(is_rejected()))
 
 
-def reject_summary(tagged: DataFrame) -> DataFrame:
+def reject_summary(coerced: DataFrame) -> DataFrame:
     """One row: counts per reason (a row may count in several), rejected, clean."""
-    bad = F.size("reject_reasons") > 0
-    return tagged.agg(
+    bad = is_rejected()
+    return coerced.agg(
         F.count(F.lit(1)).alias("input_rows"),
-        *[
-            F.count_if(F.array_contains("reject_reasons", r)).alias(r)
-            for r in REJECT_REASONS
-        ],
+        *[F.count_if(test).alias(r) for r, test in reject_tests().items()],
         F.count_if(bad).alias("rejected_rows"),
         F.count_if(~bad).alias("clean_rows"),
     )
@@ -99,20 +106,20 @@ def finish(df: DataFrame, round_rows: bool = True) -> DataFrame:
 
 def clean(raw: DataFrame, round_rows: bool = True) -> DataFrame:
     """Delivery rows to the clean table at grain timestamp + grid + country."""
-    return finish(kept(tag_rejects(coerce(canonical_names(raw)))), round_rows)
+    return finish(kept(coerce(canonical_names(raw))), round_rows)
 
 
-def finish_tagged(tagged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def finish_all(coerced: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Clean and rejected rows as one table, told apart by ``row_status``.
 
     Lets both be written in a single pass: partitioned by status and date, a
     reader of either side scans only its own files. Rejected rows keep their
     nulls, for whoever has to repair them.
     """
-    is_clean = F.size("reject_reasons") == 0
-    filled = tagged.withColumns({
-        "row_status": F.when(is_clean, "clean").otherwise("rejected"),
-        **{m: F.coalesce(F.col(m), F.when(is_clean, F.lit(0.0))) for m in MEASURES},
+    clean_row = F.col("row_status") == "clean"
+    status = F.when(is_rejected(), "rejected").otherwise("clean")
+    filled = with_reasons(coerced).withColumn("row_status", status).withColumns({
+        m: F.coalesce(F.col(m), F.when(clean_row, F.lit(0.0))) for m in MEASURES
     })
     full = filled.withColumns(calendar()).withColumns(activity_totals())
     return full.withColumns({c: rounded(c, DECIMALS) for c in [*MEASURES, *TOTALS]}).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.functions.geometry import centroid_columns, in_box, planar_distance
+from gridpulse.functions.geometry import centroid, in_box, planar_distance
 from gridpulse.operators.sizes import BROADCAST_LIMIT_BYTES, broadcast_if_small
 from gridpulse.schemas import ACTIVITY_COLUMNS
 
@@ -62,8 +62,8 @@ def unmatched_cells(activity: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def centroids(lookup: DataFrame) -> DataFrame:
     """Longitude and latitude of each cell's centroid; null where undefined."""
-    lon, lat = centroid_columns("geometry")
-    return lookup.select("grid_id", lon.alias("longitude"), lat.alias("latitude"))
+    located = lookup.select("grid_id", centroid("geometry").alias("c"))
+    return located.select("grid_id", "c.longitude", "c.latitude")
 
 
 def spot_check(lookup: DataFrame, first: int, second: int, located: int,

@@ -35,13 +35,17 @@ def positions_by_order(rows: DataFrame, file: str, order: list[str]) -> DataFram
 
 def split_facts(positioned: DataFrame, file: str) -> DataFrame:
     """Per (file, split): rows, first position and first failure."""
-    # position first: the smallest struct is the first failing row
+    # position first: the smallest struct is the first failing row. The set of
+    # broken rules (a handful of labels) makes this a hash aggregate; the
+    # smallest struct alone would be found by sorting every row.
     failing = F.when(F.col("failure").isNotNull(), F.struct("position", "failure"))
-    return positioned.groupBy(F.col(file).alias("filename"), "split").agg(
+    facts = positioned.groupBy(F.col(file).alias("filename"), "split").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("position").alias("start"),
         F.min(failing).alias("bad"),
+        F.collect_set("failure.label").alias("rules"),
     )
+    return facts.withColumn("bad", F.when(F.size("rules") > 0, F.col("bad"))).drop("rules")
 
 
 def line_split_facts(lines: DataFrame) -> DataFrame:

@@ -74,8 +74,8 @@ def clean_rows(spark, sf_dir):
 @query
 def rejected_rows(spark, sf_dir):
     raw = fixture.raw_activity(spark, sf_dir)
-    tagged = clean.tag_rejects(clean.coerce(clean.canonical_names(raw.withColumn("delivered", F.col("datetime")))))
-    return clean.rejected(tagged).select(
+    typed = clean.coerce(clean.canonical_names(raw.withColumn("delivered", F.col("datetime"))))
+    return clean.rejected(typed).select(
         "source_filename", "delivered", "grid_id", "country_code", "sms_in",
         F.array_join("reject_reasons", ",").alias("reasons"),
     )
@@ -83,20 +83,19 @@ def rejected_rows(spark, sf_dir):
 
 @query
 def reject_summary(spark, sf_dir):
-    return clean.reject_summary(clean.tag_rejects(_typed(spark, sf_dir)))
+    return clean.reject_summary(_typed(spark, sf_dir))
 
 
 @query
 def nulls_to_fill(spark, sf_dir):
-    kept = clean.kept(clean.tag_rejects(_typed(spark, sf_dir)))
+    kept = clean.kept(_typed(spark, sf_dir))
     return profile.null_profile(kept, MEASURES)
 
 
 @query
 def row_reconciliation(spark, sf_dir):
-    tagged = clean.tag_rejects(_typed(spark, sf_dir))
     hourly_rows = fixture.hourly_activity(spark, sf_dir).agg(F.count(F.lit(1))).scalar()
-    return clean.reject_summary(tagged).select(
+    return clean.reject_summary(_typed(spark, sf_dir)).select(
         "input_rows", "rejected_rows", "clean_rows", hourly_rows.alias("hourly_rows"),
     ).select(
         "*",
@@ -380,8 +379,8 @@ def report_join_count(spark, sf_dir):
 @query
 def run_status(spark, sf_dir):
     _, fact, times, grids = _star(spark, sf_dir)
-    summary = clean.reject_summary(clean.tag_rejects(_typed(spark, sf_dir))).first()
-    kept = clean.kept(clean.tag_rejects(_typed(spark, sf_dir)))
+    summary = clean.reject_summary(_typed(spark, sf_dir)).first()
+    kept = clean.kept(_typed(spark, sf_dir))
     nulls = profile.null_totals(kept, MEASURES).first()[0]
     record = reports.run_status(
         reports.table_status(fact, times, grids, _ledger(spark, sf_dir)),
@@ -553,7 +552,7 @@ def quality_checks(spark, sf_dir):
         checks.table_checks(detail, "clean", detail_rules),
         checks.table_checks(hourly, "hourly grid", hourly_rules),
         checks.reference_checks(features, "reference", cells),
-        checks.cadence_check(clean.kept(clean.tag_rejects(raw))),
+        checks.cadence_check(clean.kept(raw)),
         checks.file_count_check(raw, DAYS),
         checks.gap_check(ordering.timestamp_gaps(hourly)),
         checks.value_check(covered, "enriched", "coverage percent", "coverage_pct", 100.0),

@@ -66,12 +66,11 @@ def _publish(spark, run: Run, name: str, df: DataFrame, metrics=None, rebalance=
 
 def build_detail(spark: SparkSession, run: Run, zones: Zones) -> DataFrame:
     """Raw zone to clean and rejected rows in one pass; returns the clean rows."""
-    tagged = clean.tag_rejects(clean.coerce(clean.canonical_names(read_raw(spark, zones))))
-    is_clean = F.size("reject_reasons") == 0
+    coerced = clean.coerce(clean.canonical_names(read_raw(spark, zones)))
     filled = sum((F.col(m).isNull().cast("int") for m in MEASURES[1:]), F.col(MEASURES[0]).isNull().cast("int"))
-    counted = tagged.withColumn("_filled", F.when(is_clean, filled).otherwise(0))
+    counted = coerced.withColumn("_filled", F.when(clean.is_rejected(), 0).otherwise(filled))
     table = _publish(
-        spark, run, "processed/detail", clean.finish_tagged(counted, ("source_filename", "_filled")),
+        spark, run, "processed/detail", clean.finish_all(counted, ("source_filename", "_filled")),
         metrics={
             "rejected_rows": F.count_if(F.col("row_status") == "rejected"),
             "clean_rows": F.count_if(F.col("row_status") == "clean"),

@@ -39,17 +39,17 @@ def test_clean_values(raw):
 
 
 def test_reject_reasons_overlap(raw):
-    tagged = clean.tag_rejects(clean.coerce(clean.canonical_names(raw)))
-    got = clean.reject_summary(tagged).first().asDict()
+    typed = clean.coerce(clean.canonical_names(raw))
+    got = clean.reject_summary(typed).first().asDict()
     assert got == {"input_rows": 7, "missing_timestamp": 2, "missing_grid_id": 2,
                    "negative_activity": 2, "rejected_rows": 4, "clean_rows": 3}
-    worst = clean.rejected(tagged).where(F.size("reject_reasons") == 3).collect()
+    worst = clean.rejected(typed).where(F.size("reject_reasons") == 3).collect()
     assert len(worst) == 1 and worst[0].reject_reasons == clean.REJECT_REASONS
 
 
 def test_one_pass_table_equals_clean_and_rejected(raw):
-    tagged = clean.tag_rejects(clean.coerce(clean.canonical_names(raw)))
-    table = clean.finish_tagged(tagged)
+    typed = clean.coerce(clean.canonical_names(raw))
+    table = clean.finish_all(typed)
     kept = table.where("row_status = 'clean'").select(*CLEAN_COLUMNS)
     assert kept.exceptAll(clean.clean(raw)).count() == 0 and kept.count() == 3
     bad = table.where("row_status = 'rejected'")
