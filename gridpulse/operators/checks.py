@@ -1,9 +1,10 @@
 """Data-quality checks as a result table.
 
 Each check is one row ``(dataset, check_name, passed, observed, expected)``.
-All checks of a table come out of one aggregation over it: rows are first
-folded per grain key (counts and flags combine map-side), so uniqueness, nulls,
-signs, coverage and row counts share a single shuffle.
+Row-level rules (nulls, signs, counts) share one aggregate without a shuffle.
+Uniqueness shuffles the grain and a count, nothing else; distinct counts read
+their own column. Those enter as scalar subqueries, so a stored table is read
+column by column and wide rows never travel.
 """
 
 from __future__ import annotations
@@ -69,37 +70,36 @@ def _schema_rows(df: DataFrame, rules: Rules) -> list[Column]:
 
 
 def table_checks(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
-    """Run every rule of one dataset in one aggregation."""
-    flags = {f"_null_{c}": F.count_if(F.col(c).isNull()) for c in rules.not_null}
-    flags |= {f"_neg_{c}": F.count_if(F.col(c) < 0) for c in rules.non_negative}
-    flags |= {f"_odd_{c}": F.count_if(F.isnan(c) | (F.abs(c) == float("inf"))) for c in rules.finite}
-    keys = df.groupBy(*rules.grain).agg(
-        F.count(F.lit(1)).alias("_n"), *[v.alias(k) for k, v in flags.items()]
-    )
-
-    zero = F.lit(0)
-    aggs = {
-        "rows": F.coalesce(F.sum("_n"), zero),
-        "keys": F.count(F.lit(1)),
-        "dup_groups": F.count_if(F.col("_n") > 1),
-        **{k: F.coalesce(F.sum(k), zero) for k in flags},
-        **{f"distinct_{c}": F.count_distinct(c) for c in rules.distinct},
-    }
-    if rules.all_hours:
-        aggs["hours"] = F.count_distinct(F.hour("timestamp"))
-    if rules.distinct_dates is not None:
-        aggs["dates"] = F.count_distinct(F.to_date("timestamp"))
+    """Run every rule of one dataset; ``df`` should be a stored table."""
+    one = F.lit(1)
+    aggs = {"rows": F.count(one)}
+    aggs |= {f"_null_{c}": F.count_if(F.col(c).isNull()) for c in rules.not_null}
+    aggs |= {f"_neg_{c}": F.count_if(F.col(c) < 0) for c in rules.non_negative}
+    aggs |= {f"_odd_{c}": F.count_if(F.isnan(c) | (F.abs(c) == float("inf"))) for c in rules.finite}
+    wide = df.agg(*[v.alias(k) for k, v in aggs.items()])
+
+    sizes = df.groupBy(*rules.grain).agg(F.count(one).alias("_n"))
+    parts = {"_keys": sizes.agg(F.struct(
+        F.count(one).alias("keys"), F.count_if(F.col("_n") > 1).alias("dup_groups")))}
+    for c in rules.distinct:
+        parts[f"_of_{c}"] = df.select(c).distinct().agg(F.struct(F.count(c).alias("n")))
+    if rules.all_hours or rules.distinct_dates is not None:
+        stamps = df.select("timestamp").distinct()
+        parts["_time"] = stamps.agg(F.struct(
+            F.count_distinct(F.hour("timestamp")).alias("hours"),
+            F.count_distinct(F.to_date("timestamp")).alias("dates")))
     if rules.id_range:
         c = rules.id_range[0]
-        aggs |= {"id_min": F.min(c), "id_max": F.max(c), "id_distinct": F.count_distinct(c)}
-    wide = keys.agg(*[v.alias(k) for k, v in aggs.items()])
+        parts["_ids"] = df.select(c).distinct().agg(F.struct(
+            F.min(c).alias("low"), F.max(c).alias("high"), F.count(c).alias("n")))
+    wide = wide.withColumns({name: part.scalar() for name, part in parts.items()})
 
     rows = F.col("rows")
     checks = _schema_rows(df, rules)
     checks += [
         _row("not empty", rows > 0, rows, 1),
-        _equal("rows beyond first per key", rows - F.col("keys"), 0),
-        _equal("keys more than once", F.col("dup_groups"), 0),
+        _equal("rows beyond first per key", rows - F.col("_keys.keys"), 0),
+        _equal("keys more than once", F.col("_keys.dup_groups"), 0),
     ]
     if rules.rows is not None:
         checks.append(_equal("exact row count", rows, rules.rows))
@@ -112,18 +112,18 @@ def table_checks(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
     checks += [_equal(f"negatives in {c}", F.col(f"_neg_{c}"), 0) for c in rules.non_negative]
     checks += [_equal(f"not finite in {c}", F.col(f"_odd_{c}"), 0) for c in rules.finite]
     checks += [
-        _equal(f"distinct {c}", F.col(f"distinct_{c}"), n) for c, n in rules.distinct.items()
+        _equal(f"distinct {c}", F.col(f"_of_{c}.n"), n) for c, n in rules.distinct.items()
     ]
     if rules.all_hours:
-        checks.append(_equal("hours of day seen", F.col("hours"), 24))
+        checks.append(_equal("hours of day seen", F.col("_time.hours"), 24))
     if rules.distinct_dates is not None:
-        checks.append(_equal("distinct dates", F.col("dates"), rules.distinct_dates))
+        checks.append(_equal("distinct dates", F.col("_time.dates"), rules.distinct_dates))
     if rules.id_range:
         n = rules.id_range[1]
         checks += [
-            _equal("smallest id", F.col("id_min"), 1),
-            _equal("largest id", F.col("id_max"), n),
-            _equal("distinct ids", F.col("id_distinct"), n),
+            _equal("smallest id", F.col("_ids.low"), 1),
+            _equal("largest id", F.col("_ids.high"), n),
+            _equal("distinct ids", F.col("_ids.n"), n),
         ]
     return wide.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*checks)))
 

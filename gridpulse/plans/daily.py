@@ -11,11 +11,16 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.operators import aggregate, alerts, checks, clean, compare, enrich, ordering, profile, reports, star
+from gridpulse.functions.columns import parse_timestamp
+from gridpulse.operators import (
+    aggregate, alerts, checks, clean, compare, enrich, gate, ordering, profile, reports, star,
+)
 from gridpulse.operators.checks import Rules
 from gridpulse.schemas import (
-    ACTIVITY_COLUMNS, CLEAN_COLUMNS, CLEAN_GRAIN, FACT_MEASURES, HOURLY_COLUMNS, HOURLY_GRAIN, MEASURES, TOTALS,
+    ACTIVITY_COLUMNS, CLEAN_COLUMNS, CLEAN_GRAIN, HOURLY_COLUMNS, HOURLY_GRAIN, MEASURES, TOTALS,
 )
+from gridpulse.sources.delimited import list_files, read_lines
+from gridpulse.sources.geojson import require_cells
 from gridpulse.sources.sinks import read_ledger, verify, write_csv, write_zone
 from gridpulse.sources.tables import present, read_table
 from gridpulse.streaming.arrivals import Zones, ingest, read_raw
@@ -127,16 +132,29 @@ def export_csv(spark: SparkSession, run: Run) -> None:
 
 def delivery_summary(spark: SparkSession, run: Run, zones: Zones) -> DataFrame:
     """Facts of the accepted deliveries: totals row and one row per file."""
-    raw = clean.coerce(clean.canonical_names(read_raw(spark, zones)))
-    dated = raw.withColumn("date", F.to_date("timestamp"))
+    text = read_raw(spark, zones)
+    raw = clean.coerce(clean.canonical_names(text)).withColumn("date", F.to_date("timestamp"))
+    size = profile.table_size(text)
+    invalid = checks.invalid_timestamps(text, parse_timestamp("datetime"))
     totals = aggregate.distinct_counts(
-        dated, ["date", "grid_id", "country_code", "source_filename"], null_is_value=True)
+        raw, ["date", "grid_id", "country_code", "source_filename"], null_is_value=True
+    ).select(
+        "*", *[size.select(c).scalar().alias(c) for c in size.columns],
+        invalid.select("invalid_timestamps").scalar().alias("invalid_timestamps"),
+    )
     per_file = aggregate.file_summary(raw)
-    write_zone(totals, run.path("logs/delivery_totals"), "analytics")
-    write_zone(per_file, run.path("logs/delivery_files"), "analytics")
+    write_zone(totals, run.path("logs/delivery_totals"), "results")
+    write_zone(per_file, run.path("logs/delivery_files"), "results")
     return per_file
 
 
+def validate_landing(spark: SparkSession, landing: str, out: str) -> DataFrame:
+    """Verdicts of all landing files without routing them, kept as JSON rows."""
+    found = gate.batch_verdicts(read_lines(spark, landing), list_files(spark, landing))
+    write_zone(found.select("file_path", "valid", "row_count", "reason"), out, "results")
+    return spark.read.schema("file_path string, valid boolean, row_count bigint, reason string").json(out)
+
+
 def quality(run: Run, detail: DataFrame, hourly: DataFrame, lookup: DataFrame, expected: Expected) -> DataFrame:
     """The check table of one run."""
     m = run.metrics["processed/detail"]
@@ -168,6 +186,7 @@ def run_day(spark: SparkSession, landing: str, root: str, lookup: DataFrame, run
             expected: Expected = Expected(), strict: bool = False) -> Run:
     """Gate, clean, aggregate, enrich, roll up, alert, load, check and record."""
     run, zones = Run(root), Zones(root)
+    require_cells(lookup)
     tasks = {}
     ingest(spark, landing, zones)
     tasks["ingest"] = "SUCCESS"

@@ -41,3 +41,10 @@ def cell_lookup(features: DataFrame) -> DataFrame:
 
 def read_lookup(spark: SparkSession, path: str, one_per_line: bool = False) -> DataFrame:
     return cell_lookup(read_features(spark, path, one_per_line))
+
+
+def require_cells(lookup: DataFrame) -> DataFrame:
+    """The lookup itself; raises when it holds no usable cell."""
+    if lookup.isEmpty():
+        raise ValueError("the reference holds no cell with an id and a geometry")
+    return lookup

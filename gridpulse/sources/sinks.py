@@ -34,6 +34,7 @@ ZONES = {
     "analytics_append": Zone("parquet", "append"),
     "logs": Zone("parquet", "append"),
     "status": Zone("json", "append"),
+    "results": Zone("json", "overwrite"),
     "exports": Zone("csv", "overwrite"),
 }
 

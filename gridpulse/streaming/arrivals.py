@@ -1,6 +1,6 @@
 """From landing to raw and rejected, in batch or as files arrive.
 
-Both ways share :func:`admit`. Its writes replace the partition of a file, and
+Both ways share :func:`settle`. Its writes replace the partition of a file, and
 the ledger is appended last, so a repeated attempt ends in the same state.
 """
 
@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from gridpulse.functions.rowrules import split_line
+from gridpulse.functions.rowrules import EMPTY_FILE, split_line
 from gridpulse.operators import gate
 from gridpulse.schemas import FILE_PATTERN, RAW_COLUMNS, RAW_TEXT_SCHEMA
 from gridpulse.sources.delimited import list_files, positioned, read_lines, with_origin
@@ -45,30 +45,49 @@ def delivered_rows(lines: DataFrame) -> DataFrame:
     fields = split_line(F.col("value"))
     header = F.array(*[F.lit(c) for c in RAW_COLUMNS])
     return (
-        lines.withColumn("_f", fields).where(F.col("_f") != header)
+        lines.where(F.col("value") != "").withColumn("_f", fields).where(F.col("_f") != header)
         .select(F.col("filename").alias("source_filename"),
                 *[F.get("_f", F.lit(i)).alias(c) for i, c in enumerate(RAW_COLUMNS)])
     )
 
 
-def admit(spark: SparkSession, lines: DataFrame, zones: Zones,
-          names: DataFrame | None = None, processed_at: datetime | None = None) -> DataFrame:
-    """Judge, route and record the files behind ``lines``; returns the routing.
+# in a path these are patterns to Spark, so such a name cannot be read by path
+GLOB_CHARACTERS = set("*?[]{}\\")
+
+
+def has_glob_name(names: list[str]) -> bool:
+    return any(GLOB_CHARACTERS & set(n) for n in names)
+
+
+def lines_of(spark: SparkSession, landing: str, names: list[str], pattern: str = FILE_PATTERN) -> DataFrame:
+    """Lines of the named files only: read by path, or, when a name cannot be
+    a path, by a scan of the folder that keeps these files."""
+    if has_glob_name(names):
+        return read_lines(spark, landing, pattern).where(F.col("filename").isin(names))
+    return positioned(with_origin(spark.read.text([f"{landing}/{n}" for n in names])))
+
+
+def settle(spark: SparkSession, landing: str, zones: Zones, verdict: DataFrame,
+           processed_at: datetime | None = None) -> DataFrame:
+    """Route judged files, write each to its zone, record them; returns the routing.
 
     The ledger tells which names a zone already holds, so no zone is scanned.
     """
     stamp = processed_at or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     ledger = read_ledger(spark, zones.ledger)
     known = {s: ledger.where(F.col("status") == s).select("filename") for s in (gate.ACCEPTED, gate.REJECTED)}
-    verdict = gate.file_verdicts(lines, names)
-    # one row per file, needed by three jobs below
+    # one row per file, needed by the jobs below
     routed = cut(gate.route(verdict, known[gate.ACCEPTED], known[gate.REJECTED]))
-    statuses = {r.status for r in routed.select("status").distinct().collect()}
-    if gate.ACCEPTED in statuses:
-        write_zone(delivered_rows(gate.rows_of(lines, routed, gate.ACCEPTED)), zones.raw, "raw")
-    if gate.REJECTED in statuses:
-        bad = gate.rows_of(lines, routed, gate.REJECTED)
-        write_zone(bad.select(F.col("filename").alias("source_filename"), "value"), zones.rejected, "rejected")
+
+    def named(status: str) -> list[str]:
+        with_lines = (F.col("status") == status) & (F.col("reason") != EMPTY_FILE)
+        return [r.filename for r in routed.where(with_lines).select("filename").collect()]
+
+    if good := named(gate.ACCEPTED):
+        write_zone(delivered_rows(lines_of(spark, landing, good)), zones.raw, "raw")
+    if bad := named(gate.REJECTED):
+        lines = lines_of(spark, landing, bad).select(F.col("filename").alias("source_filename"), "value")
+        write_zone(lines, zones.rejected, "rejected")
     append_ledger(gate.ledger_entries(routed, stamp), zones.ledger)
     return routed
 
@@ -76,8 +95,8 @@ def admit(spark: SparkSession, lines: DataFrame, zones: Zones,
 def ingest(spark: SparkSession, landing: str, zones: Zones, pattern: str = FILE_PATTERN,
            processed_at: datetime | None = None) -> DataFrame:
     """One batch run over everything in the landing zone."""
-    names = list_files(spark, landing, pattern)
-    return admit(spark, read_lines(spark, landing, pattern), zones, names, processed_at)
+    verdict = gate.file_verdicts(read_lines(spark, landing, pattern), list_files(spark, landing, pattern))
+    return settle(spark, landing, zones, verdict, processed_at)
 
 
 def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
@@ -95,7 +114,13 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
     )
 
     def take(batch: DataFrame, _id: int) -> None:
-        admit(batch.sparkSession, positioned(batch), zones)
+        session = batch.sparkSession
+        verdict = cut(gate.file_verdicts(positioned(batch)))
+        names = [r.filename for r in verdict.select("filename").collect()]
+        if has_glob_name(names):
+            # the file stream reads other files twice next to such a name
+            verdict = gate.file_verdicts(lines_of(session, landing, names, pattern))
+        settle(session, landing, zones, verdict)
 
     run = (
         with_origin(arriving).writeStream.foreachBatch(take)
@@ -107,7 +132,7 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
     silent = cut(listed.join(recorded, "filename", "left_anti"))
     if not silent.isEmpty():
         no_lines = read_lines(spark, landing, pattern).where(F.lit(False))
-        admit(spark, no_lines, zones, silent)
+        settle(spark, landing, zones, gate.file_verdicts(no_lines, silent))
 
 
 def read_raw(spark: SparkSession, zones: Zones) -> DataFrame:

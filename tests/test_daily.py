@@ -91,7 +91,15 @@ def test_exports_and_delivery_summary(spark, run):
     assert head.startswith("timestamp,date,hour,day_of_week,grid_id,sms_in")
     per_file = daily.delivery_summary(spark, run, Zones(run.root))
     assert per_file.count() == 25
-    assert spark.read.parquet(run.path("logs/delivery_totals")).first().unique_source_filename == 25
+    totals = spark.read.json(run.path("logs/delivery_totals")).first()
+    assert (totals.unique_source_filename, totals.column_count, totals.invalid_timestamps) == (25, 9, 0)
+    assert totals.row_count == run.metrics["processed/detail"]["rows"]
+
+
+def test_validation_without_routing(spark, landing, tmp_path):
+    rows = daily.validate_landing(spark, str(landing), str(tmp_path / "v")).collect()
+    assert len(rows) == 30 and sum(r.valid for r in rows) == 25
+    assert {r.reason for r in rows if r.valid} == {"Validation passed"}
 
 
 def test_discovery_by_schema(spark, run):

@@ -92,6 +92,7 @@ CONTENT = {
     "first-wins": [HEADER, GOOD, "2013-11-01 00:00:00,1,39,-1,1,1,1,1", "x,1,39,1,1,1,1,1"],
     "with space": [HEADER, GOOD],
     "with+plus": [HEADER, GOOD],
+    "glob[1]": [HEADER, GOOD],
 }
 
 
