@@ -50,16 +50,37 @@ def _typed(spark, sf_dir) -> DataFrame:
     return clean.coerce(clean.canonical_names(fixture.raw_activity(spark, sf_dir)))
 
 
-def _star(spark, sf_dir):
-    """Stored hourly table and its three star tables, dimensions stored too."""
+def _verdicts(raw: DataFrame, passed: str = gate.PASSED) -> DataFrame:
+    return gate.table_verdicts(fixture.as_text(raw), "source_filename", ["h", "g", "cc"], passed)
+
+
+def _routed(raw: DataFrame) -> DataFrame:
+    """Routing when files up to a day had been delivered by an earlier run."""
+    verdict = cut(_verdicts(raw))
+    earlier = verdict.where(F.col("filename") <= EARLIER_DELIVERY)
+    return gate.route(verdict, earlier.where("valid"), earlier.where(~F.col("valid")))
+
+
+def _ledger(raw: DataFrame) -> DataFrame:
+    return gate.ledger_entries(_routed(raw), "2024-02-01 00:00:00")
+
+
+def _star(hourly: DataFrame, lookup: DataFrame):
+    """Fact over a stored hourly table, and both dimensions, stored too."""
+    times, grids = cut(star.dim_time(hourly)), cut(star.dim_grid(hourly, lookup))
+    return star.fact_activity(hourly, times), times, grids
+
+
+def _stored_star(spark, sf_dir):
     hourly = cut(fixture.hourly_activity(spark, sf_dir))
-    times = cut(star.dim_time(hourly))
-    grids = cut(star.dim_grid(hourly, fixture.cell_lookup(spark, sf_dir)))
-    return hourly, star.fact_activity(hourly, times), times, grids
+    return hourly, *_star(hourly, fixture.cell_lookup(spark, sf_dir))
 
 
-def _ledger(spark, sf_dir) -> DataFrame:
-    return cut(gate.ledger_entries(file_routing(spark, sf_dir), "2024-02-01 00:00:00"))
+def _fact_and_time(spark, sf_dir):
+    """Without the cell dimension, for reports that do not use it."""
+    hourly = cut(fixture.hourly_activity(spark, sf_dir))
+    times = cut(star.dim_time(hourly))
+    return star.fact_activity(hourly, times), times
 
 
 # --------------------------------------------------------------------------
@@ -329,13 +350,15 @@ def dim_grid(spark, sf_dir):
 
 @query
 def fact_activity(spark, sf_dir):
-    return _star(spark, sf_dir)[1]
+    return _fact_and_time(spark, sf_dir)[0]
 
 
 @query
 def orphan_keys(spark, sf_dir):
     """Facts against dimensions that were loaded after the first day only."""
-    hourly, fact, times, _ = _star(spark, sf_dir)
+    hourly = cut(fixture.hourly_activity(spark, sf_dir))
+    times = cut(star.dim_time(hourly))
+    fact = star.fact_activity(hourly, times)
     early = hourly.where(F.col("timestamp") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
     known_times = times.where(F.col("timestamp") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
     stale = star.dim_grid(early, fixture.cell_lookup(spark, sf_dir))
@@ -344,47 +367,49 @@ def orphan_keys(spark, sf_dir):
 
 @query
 def star_constraints(spark, sf_dir):
-    _, fact, times, grids = _star(spark, sf_dir)
+    _, fact, times, grids = _stored_star(spark, sf_dir)
     return star.constraint_summary(fact, times, grids)
 
 
 @query
 def report_top_grids(spark, sf_dir):
-    return reports.top_grids(spark, _star(spark, sf_dir)[1])
+    return reports.top_grids(spark, _fact_and_time(spark, sf_dir)[0])
 
 
 @query
 def report_hourly_trend(spark, sf_dir):
-    _, fact, times, _ = _star(spark, sf_dir)
+    fact, times = _fact_and_time(spark, sf_dir)
     return reports.hourly_trend(spark, fact, times)
 
 
 @query
 def report_internet_windows(spark, sf_dir):
-    _, fact, times, _ = _star(spark, sf_dir)
+    fact, times = _fact_and_time(spark, sf_dir)
     return reports.internet_windows(spark, fact, times)
 
 
 @query
 def report_top_internet(spark, sf_dir):
-    return reports.top_internet(spark, _star(spark, sf_dir)[1])
+    return reports.top_internet(spark, _fact_and_time(spark, sf_dir)[0])
 
 
 @query
 def report_join_count(spark, sf_dir):
-    _, fact, times, grids = _star(spark, sf_dir)
+    _, fact, times, grids = _stored_star(spark, sf_dir)
     return reports.join_count(spark, fact, times, grids)
 
 
 @query
 def run_status(spark, sf_dir):
-    _, fact, times, grids = _star(spark, sf_dir)
-    summary = clean.reject_summary(_typed(spark, sf_dir)).first()
-    kept = clean.kept(_typed(spark, sf_dir))
-    nulls = profile.null_totals(kept, MEASURES).first()[0]
+    raw = cut(fixture.raw_activity(spark, sf_dir))
+    typed = clean.coerce(clean.canonical_names(raw))
+    hourly = cut(aggregate.hourly_grid(clean.finish(clean.kept(typed))))
+    fact, times, grids = _star(hourly, fixture.cell_lookup(spark, sf_dir))
+    counts = clean.reject_summary(typed).first()
+    nulls = profile.null_totals(clean.kept(typed), MEASURES).first()[0]
     record = reports.run_status(
-        reports.table_status(fact, times, grids, _ledger(spark, sf_dir)),
-        {"input_rows": summary.input_rows, "rejected_rows": summary.rejected_rows, "nulls_handled": nulls},
+        reports.table_status(fact, times, grids, cut(_ledger(raw))),
+        {"input_rows": counts.input_rows, "rejected_rows": counts.rejected_rows, "nulls_handled": nulls},
         run_id="fixture", tasks={"ingest": "SUCCESS", "process": "SUCCESS", "load": "SUCCESS"},
     )
     return record.drop("run_timestamp", "tasks")
@@ -396,42 +421,36 @@ def run_status(spark, sf_dir):
 
 @query
 def file_verdicts(spark, sf_dir):
-    rows = fixture.as_text(fixture.raw_activity(spark, sf_dir))
-    return gate.table_verdicts(rows, "source_filename", ["h", "g", "cc"])
+    return _verdicts(fixture.raw_activity(spark, sf_dir))
 
 
 @query
 def batch_verdicts(spark, sf_dir):
-    rows = fixture.as_text(fixture.raw_activity(spark, sf_dir))
-    return gate.table_verdicts(rows, "source_filename", ["h", "g", "cc"], gate.BATCH_PASSED)
+    return _verdicts(fixture.raw_activity(spark, sf_dir), gate.BATCH_PASSED)
 
 
 @query
 def file_routing(spark, sf_dir):
-    """Routing when files up to a day had been delivered by an earlier run."""
-    verdict = cut(file_verdicts(spark, sf_dir))
-    earlier = verdict.where(F.col("filename") <= EARLIER_DELIVERY)
-    return gate.route(verdict, earlier.where("valid"), earlier.where(~F.col("valid")))
+    return _routed(fixture.raw_activity(spark, sf_dir))
 
 
 @query
 def rows_by_route(spark, sf_dir):
     """Delivered rows per status: a file's rows go where the file goes."""
-    rows = fixture.raw_activity(spark, sf_dir)
-    routed = cut(file_routing(spark, sf_dir))
-    per_file = rows.groupBy(F.col("source_filename").alias("filename")).agg(F.count(F.lit(1)).alias("n"))
-    return per_file.join(routed, "filename").groupBy("status", "zone").agg(
+    raw = cut(fixture.raw_activity(spark, sf_dir))
+    per_file = raw.groupBy(F.col("source_filename").alias("filename")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.join(_routed(raw), "filename").groupBy("status", "zone").agg(
         F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"))
 
 
 @query
 def ledger_entries(spark, sf_dir):
-    return gate.latest_entries(_ledger(spark, sf_dir))
+    return gate.latest_entries(_ledger(fixture.raw_activity(spark, sf_dir)))
 
 
 @query
 def rejected_file_count(spark, sf_dir):
-    return reports.rejected_files(_ledger(spark, sf_dir))
+    return reports.rejected_files(_ledger(fixture.raw_activity(spark, sf_dir)))
 
 
 @query
@@ -529,10 +548,10 @@ def key_set_compare(spark, sf_dir):
 
 @query
 def quality_checks(spark, sf_dir):
-    raw = _typed(spark, sf_dir)
-    detail = cut(fixture.clean_activity(spark, sf_dir))
+    raw = clean.coerce(clean.canonical_names(cut(fixture.raw_activity(spark, sf_dir))))
+    detail = cut(clean.finish(clean.kept(raw)))
     hourly = cut(aggregate.hourly_grid(detail))
-    lookup = fixture.cell_lookup(spark, sf_dir)
+    lookup = cut(fixture.cell_lookup(spark, sf_dir))
     cells = spark.read.parquet(f"{sf_dir}/events.parquet").agg(F.max("user_id") + 1).first()[0]
     detail_rows = detail.count()
 
