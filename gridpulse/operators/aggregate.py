@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gridpulse.functions.columns import (
-    activity_totals, calendar, day_name, safe_ratio,
+    calendar, day_name, grand_total, pair_totals, rounded, safe_ratio,
 )
 from gridpulse.schemas import (
     ACTIVITY_COLUMNS, DECIMALS, FACT_MEASURES, HOURLY_COLUMNS, HOURLY_GRAIN, MEASURES,
@@ -18,7 +18,7 @@ KPI_SUMS = ["total_sms", "total_calls", "internet_activity", "total_activity"]
 def _sums(columns, prefix: str = "", decimals: int | None = None):
     for c in columns:
         s = F.sum(c)
-        yield (s if decimals is None else F.round(s, decimals)).alias(f"{prefix}{c}")
+        yield (s if decimals is None else rounded(s, decimals)).alias(f"{prefix}{c}")
 
 
 def hourly_grid(clean: DataFrame, decimals: int | None = DECIMALS) -> DataFrame:
@@ -28,7 +28,7 @@ def hourly_grid(clean: DataFrame, decimals: int | None = DECIMALS) -> DataFrame:
     """
     summed = clean.groupBy(*HOURLY_GRAIN).agg(*_sums(MEASURES, decimals=decimals))
     return (
-        summed.withColumns(calendar()).withColumns(activity_totals(decimals))
+        summed.withColumns(calendar()).withColumns(pair_totals(decimals)).withColumns(grand_total(decimals))
         .select(*HOURLY_COLUMNS)
     )
 
@@ -88,7 +88,7 @@ def top_grids(hourly: DataFrame, metric: str = "total_activity", n: int = 10,
     out = out or metric
     s = F.sum(metric)
     summed = hourly.groupBy("grid_id").agg(
-        (s if decimals is None else F.round(s, decimals)).alias(out)
+        (s if decimals is None else rounded(s, decimals)).alias(out)
     )
     return summed.orderBy(F.col(out).desc(), F.col("grid_id")).limit(n)
 

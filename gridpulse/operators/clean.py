@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gridpulse.functions.columns import (
-    activity_totals, any_of, calendar, is_negative, parse_timestamp, rounded,
+    any_of, calendar, grand_total, is_negative, pair_totals, parse_timestamp, rounded,
 )
 from gridpulse.schemas import (
     CANONICAL_NAMES, CLEAN_COLUMNS, DECIMALS, MEASURES, NAME_SYNONYMS, TOTALS, require_columns,
@@ -98,7 +98,7 @@ def fill_measures(df: DataFrame) -> DataFrame:
 
 def finish(df: DataFrame, round_rows: bool = True) -> DataFrame:
     """Null-fill, calendar fields, totals, rounding and the final projection."""
-    out = fill_measures(df).withColumns(calendar()).withColumns(activity_totals())
+    out = fill_measures(df).withColumns(calendar()).withColumns(pair_totals()).withColumns(grand_total())
     if round_rows:
         out = out.withColumns({c: rounded(c, DECIMALS) for c in [*MEASURES, *TOTALS]})
     return out.select(*CLEAN_COLUMNS)
@@ -121,7 +121,7 @@ def finish_all(coerced: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     filled = with_reasons(coerced).withColumn("row_status", status).withColumns({
         m: F.coalesce(F.col(m), F.when(clean_row, F.lit(0.0))) for m in MEASURES
     })
-    full = filled.withColumns(calendar()).withColumns(activity_totals())
+    full = filled.withColumns(calendar()).withColumns(pair_totals()).withColumns(grand_total())
     return full.withColumns({c: rounded(c, DECIMALS) for c in [*MEASURES, *TOTALS]}).select(
         "row_status", F.array_join("reject_reasons", ",").alias("reject_reasons"), *keep, *CLEAN_COLUMNS
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gridpulse.functions.columns import rounded
 from gridpulse.schemas import DECIMALS, HOURLY_GRAIN, MEASURES
 
 
@@ -35,7 +36,7 @@ def _reconciled(clean: DataFrame, hourly: DataFrame, decimals: int) -> DataFrame
                            *[F.col(m).alias(f"_s_{m}") for m in MEASURES])
     per_key = detail.unionByName(stored).groupBy(*HOURLY_GRAIN).agg(
         F.sum("_d").alias("_d"), F.sum("_s").alias("_s"),
-        *[F.round(F.sum(m), decimals).alias(m) for m in MEASURES],
+        *[rounded(F.sum(m), decimals).alias(m) for m in MEASURES],
         *[F.sum(f"_s_{m}").alias(f"_s_{m}") for m in MEASURES],
     )
     tolerance = 0.5 * 10.0 ** -decimals

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.functions.columns import activity_totals, null_count, percent_of
+from gridpulse.functions.columns import grand_total, null_count, pair_totals, percent_of
 from gridpulse.operators.clean import fill_measures
 from gridpulse.operators.quantiles import exact_quantiles
 from gridpulse.schemas import MEASURES, TOTALS
@@ -62,7 +62,7 @@ def measure_stats(df: DataFrame, columns=MEASURES) -> DataFrame:
 
 def activity_totals_row(df: DataFrame) -> DataFrame:
     """One row: total_sms, total_calls and total_activity; nulls count as zero."""
-    filled = fill_measures(df).withColumns(activity_totals())
+    filled = fill_measures(df).withColumns(pair_totals()).withColumns(grand_total())
     return filled.agg(*[F.sum(c).alias(c) for c in TOTALS])
 
 

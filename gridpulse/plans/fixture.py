@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gridpulse.functions.columns import rounded
 from gridpulse.operators.aggregate import hourly_grid
 from gridpulse.operators.clean import clean
 from gridpulse.schemas import RAW_COLUMNS, RAW_MEASURES
@@ -34,7 +35,7 @@ def raw_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", "value",
     )
     pivoted = keyed.groupBy("h", "g", "cc").agg(*[
-        F.round(F.sum(F.when(F.col("event_type") == e, F.col("value"))), 2).alias(m)
+        rounded(F.sum(F.when(F.col("event_type") == e, F.col("value"))), 2).alias(m)
         for m, e in MEASURE_OF_EVENT.items()
     ])
     # defects, on every fifth day: which kind a row gets depends on its key

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from gridpulse.functions.columns import day_name, parse_timestamp, percent_of, safe_ratio
+from gridpulse.functions.columns import day_name, parse_timestamp, percent_of, rounded, safe_ratio
 from gridpulse.operators import clean
 from gridpulse.schemas import (
     CLEAN_COLUMNS, RAW_COLUMNS, require_absent, require_columns, require_exact_columns,
@@ -108,3 +108,15 @@ def test_contracts(spark):
         with pytest.raises(ValueError):
             bad()
     assert len(RAW_COLUMNS) == 8
+
+
+def test_rounded_equals_round_in_every_bit(spark):
+    edge = [5e-05, -5e-05, 0.00015, 2.67505, 1.00005, -1e-05, -0.0, float("nan"), float("inf"), -float("inf"),
+            1e300, 123456789012.34565, 1e15 + 0.5, None, 5e-324, 0.12345, 0.99995, 99999999.99995]
+    ties = spark.range(200000).select(((F.col("id") - 100000) / 20000.0).alias("x"))
+    noisy = spark.range(200000).select(((F.rand(3) - 0.5) * F.pow(10.0, F.rand(4) * 12)).alias("x"))
+    df = spark.createDataFrame([(x,) for x in edge], "x double").union(ties).union(noisy).cache()
+    for decimals in (2, 4, 6):
+        a, b = F.round("x", decimals), rounded("x", decimals)
+        same = a.eqNullSafe(b) & (a.cast("string").eqNullSafe(b.cast("string")))
+        assert df.where(~same).count() == 0
