@@ -16,6 +16,11 @@ def as_column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def parse_timestamp(c) -> Column:
     """Text to ``timestamp_ntz``; anything off the fixed pattern becomes null.
 

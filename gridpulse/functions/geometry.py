@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gridpulse.functions.columns import as_column
+from gridpulse.functions.columns import as_column, let
 
 _POINTS = "array<array<double>>"
 _POLYGON = f"struct<coordinates:array<{_POINTS}>>"
@@ -14,17 +14,12 @@ _MULTI = f"struct<coordinates:array<array<{_POINTS}>>>"
 MIN_TWICE_AREA = 1e-12
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once, however often it is used."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def outer_rings(geometry) -> Column:
     """Outer ring of each part, for Polygon and MultiPolygon; null for the rest."""
     g = as_column(geometry)
     polygon = F.from_json(g, _POLYGON)["coordinates"]
     multi = F.from_json(g, _MULTI)["coordinates"]
-    return _let(F.get_json_object(g, "$.type"), lambda kind: (
+    return let(F.get_json_object(g, "$.type"), lambda kind: (
         F.when(kind == "Polygon", F.array(F.get(polygon, F.lit(0))))
         .when(kind == "MultiPolygon", F.transform(multi, lambda part: F.get(part, F.lit(0))))
     ))
@@ -44,7 +39,7 @@ def _without_closing_point(points: Column) -> Column:
 
 def _from_corner(points: Column) -> Column:
     """Corners relative to the first one: keeps cross products from cancelling."""
-    return _let(F.get(points, F.lit(0)), lambda o: F.transform(points, lambda p: F.struct(
+    return let(F.get(points, F.lit(0)), lambda o: F.transform(points, lambda p: F.struct(
         (F.get(p, F.lit(0)) - F.get(o, F.lit(0))).alias("x"),
         (F.get(p, F.lit(1)) - F.get(o, F.lit(1))).alias("y"),
     )))
@@ -75,7 +70,7 @@ def _centre(corners: Column) -> Column:
             F.when(flat, _mean(F.transform(corners, lambda p: p.y)))
             .otherwise(F.try_divide(s.cy, s.area * 3.0)).alias("y"),
         )
-    return _let(_edge_sums(corners), pick)
+    return let(_edge_sums(corners), pick)
 
 
 def ring_centroid(ring: Column) -> Column:
@@ -86,14 +81,14 @@ def ring_centroid(ring: Column) -> Column:
     """
     def located(points: Column) -> Column:
         origin = F.get(points, F.lit(0))
-        return F.when(F.size(points) >= 3, _let(_let(_from_corner(points), _centre), lambda c: F.struct(
+        return F.when(F.size(points) >= 3, let(let(_from_corner(points), _centre), lambda c: F.struct(
             (F.get(origin, F.lit(0)) + c.x).alias("lon"),
             (F.get(origin, F.lit(1)) + c.y).alias("lat"),
         )))
 
     usable = F.filter(ring, lambda p: F.size(p) >= 2)
-    open_ring = _let(usable, lambda p: F.when(F.size(p) >= 3, _without_closing_point(p)))
-    return F.when(F.size(ring) >= 3, _let(open_ring, located))
+    open_ring = let(usable, lambda p: F.when(F.size(p) >= 3, _without_closing_point(p)))
+    return F.when(F.size(ring) >= 3, let(open_ring, located))
 
 
 def centroid(geometry) -> Column:
@@ -102,7 +97,7 @@ def centroid(geometry) -> Column:
     parts = F.filter(
         F.transform(outer_rings(geometry), ring_centroid), lambda c: c.isNotNull()
     )
-    return _let(parts, lambda found: F.when(F.size(found) > 0, F.struct(
+    return let(parts, lambda found: F.when(F.size(found) > 0, F.struct(
         _mean(F.transform(found, lambda c: c.lon)).alias("longitude"),
         _mean(F.transform(found, lambda c: c.lat)).alias("latitude"),
     )))

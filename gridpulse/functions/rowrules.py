@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gridpulse.functions.columns import parse_timestamp
+from gridpulse.functions.columns import let, parse_timestamp
 from gridpulse.schemas import RAW_COLUMNS, RAW_MEASURES
 
 # What the gate accepts as an integer and as a number, and how it
@@ -13,6 +13,11 @@ INTEGER_PATTERN = r"^[+-]?\d+(_\d+)*$"
 NUMBER_PATTERN = (
     r"(?i)^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|inf|infinity|nan)$"
 )
+# eight fields in plain spelling: no signs, quotes, blanks or grouped digits
+PLAIN_ROW = (
+    r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2},\d+,\d*"
+    r"(?:,(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)?){5}$"
+)
 PASSED = "Minimum quality checks passed"
 BATCH_PASSED = "Validation passed"
 NO_ROWS = "File contains header but no data rows"
@@ -30,19 +35,20 @@ def _number(text: Column) -> Column:
     return F.regexp_replace(text, "_", "").try_cast("double")
 
 
-def first_failure(field_count: Column | None = None) -> Column:
-    """struct(label, detail) of the first rule a row breaks, null for a good row.
+def is_plain(line: Column) -> Column:
+    """A row in the usual spelling that breaks no rule, told from its whole text.
 
-    Expects the eight delivery columns as text. Order of rules: field count,
-    datetime, CellID, countrycode, then each measure numeric and not negative.
-    Blank measures and a blank countrycode are legal.
+    One pattern and one cast; what it does not cover is judged rule by rule.
     """
-    text = {c: F.trim(F.coalesce(F.col(c), F.lit(""))) for c in RAW_COLUMNS}
+    start = F.substring_index(line, ",", 1)
+    return line.rlike(PLAIN_ROW) & start.try_cast("timestamp_ntz").isNotNull()
+
+
+def _rule_by_rule(fields: Column) -> Column:
+    text = {c: F.trim(F.coalesce(F.get(fields, F.lit(i)), F.lit(""))) for i, c in enumerate(RAW_COLUMNS)}
     blank = {c: text[c] == "" for c in RAW_COLUMNS}
-    rules: list[tuple[Column, Column]] = []
-    if field_count is not None:
-        rules.append((field_count != len(RAW_COLUMNS), _failure(WRONG_FIELD_COUNT)))
-    rules += [
+    rules: list[tuple[Column, Column]] = [
+        (F.size(fields) != len(RAW_COLUMNS), _failure(WRONG_FIELD_COUNT)),
         (blank["datetime"], _failure("missing datetime")),
         (parse_timestamp(text["datetime"]).isNull(),
          _failure("invalid datetime", text["datetime"])),
@@ -63,6 +69,31 @@ def first_failure(field_count: Column | None = None) -> Column:
     return chain
 
 
+def first_failure(line: Column, fields: Column) -> Column:
+    """struct(label, detail) of the first rule a row breaks, null for a good row.
+
+    Order of rules: field count, datetime, CellID, countrycode, then each
+    measure numeric and not negative. Blank measures and a blank countrycode
+    are legal. ``fields`` is only computed for rows that are not plain.
+    """
+    return F.when(~is_plain(line), let(fields, _rule_by_rule))
+
+
+def line_failure(line: Column) -> Column:
+    """First failure of a text line."""
+    return first_failure(line, split_line(line))
+
+
+def row_failure() -> Column:
+    """First failure of a row that holds the eight fields as text columns.
+
+    A comma inside a field adds a separator to the joined text, so such a row
+    is never taken for a plain one.
+    """
+    fields = F.array(*[F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS])
+    return first_failure(F.array_join(fields, ","), fields)
+
+
 def _listed(names: Column) -> Column:
     """['a', 'b'] as text."""
     quoted = F.transform(names, lambda n: F.concat(F.lit("'"), n, F.lit("'")))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from gridpulse.functions.rowrules import (
-    BATCH_PASSED, EMPTY_FILE, NO_ROWS, PASSED, first_failure, header_failure, split_line,
+    BATCH_PASSED, EMPTY_FILE, NO_ROWS, PASSED, header_failure, line_failure, row_failure, split_line,
 )
 from gridpulse.schemas import RAW_COLUMNS
 
@@ -56,12 +56,8 @@ def line_split_facts(lines: DataFrame) -> DataFrame:
     again as a data row.
     """
     header_text = ",".join(RAW_COLUMNS)
-    fields = split_line(F.col("value"))
-    parsed = lines.withColumn("_f", fields).select(
-        "filename", "split", "position", "value",
-        *[F.get("_f", F.lit(i)).alias(c) for i, c in enumerate(RAW_COLUMNS)],
-        F.size("_f").alias("_n"),
-    ).withColumn("failure", first_failure(F.col("_n")))
+    parsed = lines.select(
+        "filename", "split", "position", "value", line_failure(F.col("value")).alias("failure"))
     in_first = F.col("split") == 0
     repeats_header = in_first & (F.col("value") == header_text)
     facts = parsed.groupBy("filename", "split").agg(
@@ -126,7 +122,7 @@ def verdicts(facts: DataFrame, passed_text: str = PASSED) -> DataFrame:
 
 def table_verdicts(rows: DataFrame, file: str, order: list[str], passed_text: str = PASSED) -> DataFrame:
     """Verdicts of deliveries already held as rows of text columns."""
-    checked = positions_by_order(rows, file, order).withColumn("failure", first_failure())
+    checked = positions_by_order(rows, file, order).withColumn("failure", row_failure())
     return verdicts(split_facts(checked, file), passed_text)
 
 
