@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from gridpulse.operators.ordering import ordinal, previous_value
 from gridpulse.operators.quantiles import exact_quantiles
 from gridpulse.schemas import ALERT_COLUMNS, require_columns
+from gridpulse.sources.scratch import cut
 
 # Rule parameters and labels.
 HIGH_PERCENTILE = 0.95
@@ -94,9 +95,10 @@ def alert_table(hourly: DataFrame, limits: Limits, renumber: bool = False) -> Da
     """Numbered alerts ordered by timestamp, cell and type.
 
     Numbers follow the rules' order, not the output order, unless ``renumber``.
-    An empty result keeps the schema.
+    An empty result keeps the schema. Numbering counts the alerts and then
+    reads them again, so they are stored first instead of being found twice.
     """
-    hits = fired(hourly, limits)
+    hits = cut(fired(hourly, limits))
     if renumber:
         levels = [{"_day": F.to_date("timestamp")}, {"_hour": F.col("timestamp")}]
         out = ordinal(hits, levels, ["grid_id", "alert_type"], "alert_id").select(*ALERT_COLUMNS)
