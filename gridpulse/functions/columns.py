@@ -99,4 +99,15 @@ def null_count(c) -> Column:
 
 
 def seconds_between(start, end) -> Column:
-    return F.timestamp_diff("SECOND", as_column(start), as_column(end))
+    """Whole seconds between two wall-clock times, whatever the session's zone.
+
+    Built from dates and times of day: the difference functions would pass
+    through instants, where a clock change in the session's zone counts.
+    """
+    a, b = as_column(start), as_column(end)
+
+    def of_day(t: Column) -> Column:
+        return F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
+
+    days = F.date_diff(F.to_date(b), F.to_date(a)).cast("bigint")
+    return days * 86400 + of_day(b) - of_day(a)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from gridpulse.functions.columns import seconds_between
+
 
 def previous_value(df: DataFrame, key: list[str], order: str, value: str, out: str,
                    chunk: Column | None = None) -> DataFrame:
@@ -91,7 +93,7 @@ def timestamp_gaps(df: DataFrame, step_seconds: int = 3600) -> DataFrame:
         stamps, [], "timestamp", "timestamp", "previous_timestamp",
         chunk=F.to_date("timestamp"),
     )
-    diff = F.timestamp_diff("SECOND", F.col("previous_timestamp"), F.col("timestamp"))
+    diff = seconds_between("previous_timestamp", "timestamp")
     return (
         lagged.where(F.col("previous_timestamp").isNotNull())
         .withColumn("diff_seconds", diff)

@@ -29,7 +29,7 @@ def raw_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     keyed = events.select(
-        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h"),
+        F.window("ts", "1 hour")["start"].alias("h"),
         (F.col("user_id") + 1).alias("g"),
         (F.get_json_object("props", "$.k").cast("bigint") % 10).alias("cc"),
         "event_type", "value",

@@ -58,3 +58,15 @@ def test_gaps_within_and_across_days(spark):
     want = [(T0 + timedelta(hours=a), T0 + timedelta(hours=b), b - a)
             for a, b in zip(hours, hours[1:]) if b - a != 1]
     assert got == want
+
+
+def test_gaps_do_not_depend_on_the_session_zone(spark):
+    """The night of a clock change in New York is an ordinary night here."""
+    start = datetime(2024, 3, 9)
+    df = spark.createDataFrame([(start + timedelta(hours=h),) for h in range(72)], "timestamp timestamp_ntz")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert timestamp_gaps(df).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
