@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -20,7 +23,13 @@ def local_session(cpus: int | str = 8, app: str = "gridpulse", memory: str = "8g
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        # local runs only: a cluster names its own shared folder
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridpulse-ckpt-"))
     return spark
+
+
+def local_scratch(master: str) -> str:
+    """A folder for scratch tables of a one-process session, gone with the process."""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = tempfile.mkdtemp(prefix="gridpulse-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return f"file://{path}"

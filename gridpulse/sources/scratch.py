@@ -1,22 +1,38 @@
-"""Cutting lineage with a written table."""
+"""Cutting lineage with a written table on storage that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridpulse.session import local_scratch
+
+# Tables written by this process and not removed yet.
+_WRITTEN: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the session names, or one of our own where none is set."""
+    """The shared folder the session names in ``spark.checkpoint.dir``.
+
+    Only a session whose driver and executors are one process may go without:
+    it gets a folder of its own that goes when the process ends. Anywhere else
+    a missing setting is an error, since executors do not share local disks.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="gridpulse-")
-        spark.sparkContext.setCheckpointDir(root)
+        root = local_scratch(spark.sparkContext.master)
+        spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, kind: str = "table") -> str:
+    """A new path below the scratch root, noted for ``drop_scratch``."""
+    path = f"{scratch_root(spark)}/gridpulse-{kind}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back.
 
@@ -24,6 +40,22 @@ def cut(df: DataFrame) -> DataFrame:
     repeating the lineage, and the table outlives lost executors.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/gridpulse-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one scratch path through the file system that holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Remove every table this process wrote; call it when results are consumed."""
+    paths = list(_WRITTEN)
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
