@@ -21,8 +21,8 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = local_scratch(spark.sparkContext.master)
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(local_scratch(spark.sparkContext.master))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
