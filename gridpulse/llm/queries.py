@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import near_dup
+from gridpulse.llm import near_dup, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op9_suffix_array_repeats(spark, sf_dir):
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_minhash_lsh_forest(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
