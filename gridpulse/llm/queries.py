@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import near_dup, repeats
+from gridpulse.llm import mixing, near_dup, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_sainte_lague_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_suffix_array_repeats(spark, sf_dir):
     cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
