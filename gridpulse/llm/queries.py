@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import mixing, near_dup, repeats
+from gridpulse.llm import decontaminate, mixing, near_dup, repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,15 @@ def op1_sainte_lague_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_positional_index(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+        F.size("near_items").cast("bigint").alias("n_near_items"))
+
+
 @query
 def op9_suffix_array_repeats(spark, sf_dir):
     cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
