@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import decontaminate, mixing, near_dup, repeats
+from gridpulse.llm import chat, decontaminate, mixing, near_dup, repeats, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,26 @@ def op3_positional_index(spark, sf_dir):
         F.size("near_items").cast("bigint").alias("n_near_items"))
 
 
+@query
+def op6_relational_chat(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digests(chat.format_chats(turns.unionByName(control)))
+
+
+SQL["op6_relational_chat"] = chat.SQL
+
+
+@query
+def op8_url_vocabulary(spark, sf_dir):
+    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+SQL["op8_url_vocabulary"] = urls.sql()
+
+
 @query
 def op9_suffix_array_repeats(spark, sf_dir):
     cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
