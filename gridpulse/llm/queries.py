@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import chat, decontaminate, mixing, near_dup, repeats, urls
+from gridpulse.llm import chat, decontaminate, mixing, near_dup, repeats, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,12 @@ def op3_positional_index(spark, sf_dir):
         F.size("near_items").cast("bigint").alias("n_near_items"))
 
 
+@query
+def op4_warc_segments(spark, sf_dir):
+    read = warc.archive_and_read(table(spark, sf_dir, "pages"), payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+
+
 @query
 def op6_relational_chat(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
