@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import chat, decontaminate, mixing, near_dup, repeats, urls, warc
+from gridpulse.llm import chat, decontaminate, mixing, near_dup, quality, repeats, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,6 +26,11 @@ def op1_sainte_lague_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_rule_ensemble(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_positional_index(spark, sf_dir):
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
