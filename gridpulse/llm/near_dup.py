@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gridpulse.llm.components import components
+from gridpulse.llm.packed import packed_texts, unpacked
 from gridpulse.llm.texthash import groups, shingle_hashes, word_hashes
 from gridpulse.sources.scratch import cut
 
@@ -175,7 +176,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 
     def run(batches):
         for b in batches:
-            for lo, hi, data, at in groups(b.column("text")):
+            for lo, hi, data, at in groups(pa.array(unpacked(b.column("packed")), pa.large_binary())):
                 sets = _sets(data, at, words)[2]
                 values = pa.array(np.concatenate(sets).view(np.int64))
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
@@ -185,7 +186,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    needed = texts.join(ids, texts.doc_id == ids.id, "left_semi")
+    # the ids grow with the input: never a broadcast, at any size
+    needed = packed_texts(texts).join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi")
     sets = cut(needed.mapInArrow(run, "id bigint, shingles array<bigint>"))
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))

@@ -23,9 +23,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from gridpulse.llm.packed import packed_texts, unpacked
 from gridpulse.llm.texthash import Rolling, groups
 from gridpulse.sources.scratch import cut
 
@@ -149,20 +149,10 @@ def _place(name="place"):
     return F.shiftright(place, 32), F.shiftright(place, 8).bitwiseAND(255), place.bitwiseAND(255)
 
 
-def _packed_texts(base: DataFrame) -> DataFrame:
-    def run(batches):
-        pack = zstandard.ZstdCompressor(level=1)
-        for b in batches:
-            texts = pa.array([pack.compress(t.as_buffer()) for t in b.column("text").cast(pa.large_binary())], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), texts], ["doc_id", "th", "packed"])
-
-    return base.mapInArrow(run, "doc_id bigint, th bigint, packed binary")
-
-
 def _with_texts(base: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
     """Packed texts joined to one row per document key; null ids meet null ids."""
     right = wanted.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
-    texts = _packed_texts(base)
+    texts = packed_texts(base)
     on = texts.doc_id.eqNullSafe(right["_id"]) & (texts.th == right["_th"])
     return texts.join(right, on, how).drop("_id", "_th")
 
@@ -171,13 +161,11 @@ def _contexts(base: DataFrame, wanted: DataFrame) -> DataFrame:
     """The text of each context of ``wanted``, cut from its document."""
 
     def run(batches):
-        unpack = zstandard.ZstdDecompressor()
         for b in batches:
-            at, places, texts, rows = 0, b.column("places"), [], []
+            places, texts, rows = b.column("places"), [], []
             flat, ends = places.flatten(), places.offsets.to_numpy()
             values = flat.field("place").to_numpy(zero_copy_only=False)
-            for row, packed in enumerate(b.column("packed")):
-                text = unpack.decompress(packed.as_buffer())
+            for row, text in enumerate(unpacked(b.column("packed"))):
                 for v in values[ends[row] - ends[0]: ends[row + 1] - ends[0]].tolist():
                     a = v >> 32
                     texts.append(text[a - (v >> 8 & 255): a + (v & 255)])
@@ -282,11 +270,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int = GRAM, bucket:
     """
 
     def run(batches):
-        unpack = zstandard.ZstdDecompressor()
         for b in batches:
             n_bytes, removed, spans, kept = [], [], [], []
-            for packed, some in zip(b.column("packed"), b.column("spans").to_pylist()):
-                text, merged = unpack.decompress(packed.as_buffer()), []
+            for text, some in zip(unpacked(b.column("packed")), b.column("spans").to_pylist()):
+                merged = []
                 for s in sorted(some or (), key=lambda s: s["start"]):
                     if merged and s["start"] <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], s["end"])

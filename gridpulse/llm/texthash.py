@@ -69,10 +69,8 @@ class Rolling:
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of a text column; null counts as empty."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """Bytes and offsets of a text or binary column; null counts as empty."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64)[column.offset: column.offset + len(column) + 1]
     return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)), at
