@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import chat, decontaminate, mixing, near_dup, quality, repeats, urls, warc
+from gridpulse.llm import chat, decontaminate, mixing, near_dup, pii, quality, repeats, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,6 +46,12 @@ def op4_warc_segments(spark, sf_dir):
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
 
 
+@query
+def op5_candidate_boosting(spark, sf_dir):
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *(f"n_{k}" for k in pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op6_relational_chat(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
