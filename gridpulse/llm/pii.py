@@ -45,18 +45,18 @@ def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
 
 
-def _running(lengths: Column) -> Column:
+def _running(numbers: Column) -> Column:
     """Inclusive prefix sums in blocks, so that a text with very many matches stays cheap."""
+    block = lambda i: F.floor(i / _STEP).cast("int")
 
-    def placed(offsets: Column) -> Column:
-        block = lambda i: F.floor(i / _STEP).cast("int")
-        return F.transform(lengths, lambda _, i: F.get(offsets, block(i)) + _sum(
-            F.slice(lengths, block(i) * _STEP + 1, i % _STEP + 1)))
+    def summed(lengths: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), block(F.size(lengths) - 1)),
+                             lambda b: _sum(F.slice(lengths, b * _STEP + 1, F.lit(_STEP))))
+        offsets = F.aggregate(blocks, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+        return let(offsets, lambda before: F.transform(lengths, lambda _, i: F.get(before, block(i)) + _sum(
+            F.slice(lengths, block(i) * _STEP + 1, i % _STEP + 1))))
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / _STEP).cast("int")),
-                         lambda b: _sum(F.slice(lengths, b * _STEP + 1, F.lit(_STEP))))
-    offsets = F.aggregate(blocks, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
-    return let(offsets, placed)
+    return let(numbers, summed)
 
 
 def _located(pairs: Column) -> Column:
