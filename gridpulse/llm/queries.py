@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import chat, decontaminate, mixing, near_dup, pii, quality, repeats, urls, warc
+from gridpulse.llm import chat, decontaminate, mixing, near_dup, pii, quality, repeats, urls, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,6 +64,11 @@ def op6_relational_chat(spark, sf_dir):
 SQL["op6_relational_chat"] = chat.SQL
 
 
+@query
+def op7_nn_descent(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_url_vocabulary(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
