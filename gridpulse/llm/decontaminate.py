@@ -11,8 +11,8 @@ broadcast is bounded whatever its size; document frequencies of a block's terms
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,23 +24,23 @@ WINDOW = 10  # words
 BLOCK_BYTES = 16 << 20
 SLOP = 30  # words around the rarest term that a proximity match may span, each way
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
+# UTF-8 bytes of words stay, A-Z as a-z; all others become blanks. No character above 0x7F has a byte below 0x80.
+_WORD_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _INDEX = "doc_id bigint, th bigint, n_words bigint, terms array<int>, ends array<int>, positions array<int>"
 _HITS = "doc_id bigint, th bigint, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>, near array<string>"
 
 
-def words(text: str | None) -> list[str]:
+def words(text: bytes | None) -> list[bytes]:
     """Words of a text with A-Z lower-cased; null has none."""
-    return _WORD.findall(text.translate(_LOWER)) if text else []
+    return text.translate(_WORD_BYTES).split() if text else []
 
 
-def _item_windows(items: list[tuple[str, str | None]], window: int) -> tuple[dict[str, int], dict[tuple[int, ...], list[str]]]:
+def _item_windows(items: list[tuple[str, str | None]], window: int) -> tuple[dict[bytes, int], dict[tuple[int, ...], list[str]]]:
     """Term numbers, and the items of each distinct window of term numbers."""
-    terms: dict[str, int] = {}
+    terms: dict[bytes, int] = {}
     windows: dict[tuple[int, ...], list[str]] = defaultdict(list)
     for item, text in items:
-        numbers = [terms.setdefault(w, len(terms)) for w in words(text)]
+        numbers = [terms.setdefault(w, len(terms)) for w in words((text or "").encode())]
         for k in range(max(1, len(numbers) - window + 1) if numbers else 0):
             owners = windows[tuple(numbers[k: k + window])]
             if not owners or owners[-1] != item:
@@ -58,7 +58,7 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
         yield [(r.item, r.text) for r in part.collect() if r.item is not None]
 
 
-def build_index(docs: DataFrame, terms: dict[str, int]) -> DataFrame:
+def build_index(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
     """Postings of the given terms: doc_id, th, n_words, terms, and their positions up to ``ends``."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
@@ -66,9 +66,9 @@ def build_index(docs: DataFrame, terms: dict[str, int]) -> DataFrame:
         number = shared.value.get
         for b in batches:
             out = []
-            for text in b.column("text"):
+            for text in b.column("text").cast(pa.large_binary()):
                 found = words(text.as_py())
-                ids = np.fromiter((number(w, -1) for w in found), np.int32, len(found))
+                ids = np.fromiter(map(number, found, repeat(-1)), np.int32, len(found))
                 at = np.flatnonzero(ids >= 0)
                 order = np.argsort(ids[at], kind="stable")
                 ids, at = ids[at][order], at[order]
@@ -103,23 +103,26 @@ def match(index: DataFrame, windows: dict[tuple[int, ...], list[str]], n_terms:
 
     def run(batches):
         rarest = shared.value
+        leads = np.zeros(n_terms, bool)
+        leads[list(rarest)] = True
         for b in batches:
-            rows = []
-            columns = [b.column(c).to_pylist() for c in ("terms", "ends")]
-            flat, offsets = b.column("positions").flatten().to_numpy(), b.column("positions").offsets.to_numpy()
-            for k, (terms, ends) in enumerate(zip(*columns)):
-                start = offsets[k] - offsets[0]
-                lists = {t: flat[start + lo: start + hi] for t, lo, hi in zip(terms, [0, *ends], ends)}
+            flat = {c: b.column(c).flatten().to_numpy() for c in ("terms", "ends", "positions")}
+            first = {c: b.column(c).offsets.to_numpy() - b.column(c).offsets[0].as_py() for c in ("terms", "positions")}
+            hot = np.flatnonzero(leads[flat["terms"]])  # only documents with the rarest term of some window are looked at
+            rows = [((), (), ())] * b.num_rows
+            for k, at in _by_row(hot, first["terms"]):
+                lo, hi = first["terms"][k: k + 2]
+                lists = _Postings(flat["terms"][lo:hi], flat["ends"][lo:hi], flat["positions"][first["positions"][k]:])
                 spans, items, near = set(), set(), set()
-                for t in terms:
-                    for window, owners in rarest.get(t, ()):
+                for t in flat["terms"][at].tolist():
+                    for window, owners in rarest[t]:
                         starts = _phrase(lists, window, window.index(t))
                         if len(starts):
                             items.update(owners)
                             spans.update((s, s + len(window)) for s in starts.tolist())
                         elif _near(lists, window, t, slop):
                             near.update(owners)
-                rows.append((sorted(spans), sorted(items), sorted(near - items)))
+                rows[k] = sorted(spans), sorted(items), sorted(near - items)
             spans = pa.array([[{"start": s, "end": e} for s, e in r[0]] for r in rows],
                              pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
             yield pa.RecordBatch.from_arrays([
@@ -130,9 +133,29 @@ def match(index: DataFrame, windows: dict[tuple[int, ...], list[str]], n_terms:
     return index.mapInArrow(run, _HITS)
 
 
+def _by_row(at: np.ndarray, first: np.ndarray):
+    """(row, positions) for positions into a flattened list column."""
+    rows = np.searchsorted(first, at, "right") - 1
+    held, start = np.unique(rows, return_index=True)
+    return zip(held.tolist(), np.split(at, start[1:])) if len(at) else ()
+
+
+class _Postings:
+    """Position lists of one document, found by term."""
+
+    def __init__(self, terms, ends, positions):
+        self._terms, self._ends, self._positions = terms, ends, positions
+
+    def get(self, term: int):
+        k = int(np.searchsorted(self._terms, term))
+        if k == len(self._terms) or self._terms[k] != term:
+            return None
+        return self._positions[self._ends[k - 1] if k else 0: self._ends[k]]
+
+
 def _phrase(lists, window, pivot) -> np.ndarray:
     """Starts of the window: offset-adjusted position lists, intersected from the pivot's."""
-    starts = lists[window[pivot]] - pivot
+    starts = lists.get(window[pivot]) - pivot
     for k, term in enumerate(window):
         if k == pivot:
             continue
@@ -146,7 +169,7 @@ def _phrase(lists, window, pivot) -> np.ndarray:
 
 def _near(lists, window, pivot, slop) -> bool:
     """Do all terms of the window lie within ``slop`` words of one occurrence of the pivot."""
-    centre = lists[pivot]
+    centre = lists.get(pivot)
     for term in set(window):
         other = lists.get(term)
         if other is None or not len(centre):
