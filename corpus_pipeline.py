@@ -4,17 +4,57 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import near_dup
+from gridpulse.llm import decontaminate, mixing, near_dup, pii, quality
 from gridpulse.sources.scratch import scratch_path
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicate documents (five-word shingles, similarity 0.8) the one with the smallest doc_id stays."""
-    kept = near_dup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs.doc_id.eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    """Of near-duplicate documents (five-word shingles, similarity 0.8) the one with the smallest doc_id.
+
+    Rows without a doc_id stay as they are; of rows that repeat a kept doc_id and its text one stays.
+    """
+    kept = near_dup.near_duplicates(docs).where("kept and doc_id is not null").select(
+        F.col("doc_id").alias("_kept")).distinct().hint("merge")
+    named = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+
+
+def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any passage of the benchmark."""
+    found = decontaminate.contamination(docs, _table(spark, sf_dir, "benchmark"))
+    bad = found.where("contaminated").select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct().hint("merge")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_th"))
+    return docs.join(bad, same, "left_anti")
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, spans of personal data replaced by their kind."""
+    return pii.redact(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with the words that the mix takes of each, its source's size and target."""
+    plan = mixing.mix(docs).select(
+        F.col("doc_id").alias("_id"), "size", "source_size", "target", "taken").hint("merge")
+    return docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
 
 
-STAGES = [("near_dedup", one_of_each_group)]
+STAGES = [
+    ("quality_classifier", good_documents),
+    ("near_dedup", one_of_each_group),
+    ("decontamination", clean_of_benchmarks),
+    ("personal_data", without_personal_data),
+    ("mixing", mixed),
+]
 
 # Fitted models, neighbour search and hashes are beyond SQL; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
@@ -22,7 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another over ``documents``, each written as Parquet and read by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         path = scratch_path(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(path)
