@@ -48,16 +48,18 @@ def grid_geometry(df: DataFrame) -> DataFrame:
     return pairs.groupBy("grid_id").agg(F.min("geometry").alias("geometry"))
 
 
-def hourly_grid_geo(enriched: DataFrame) -> DataFrame:
+def hourly_grid_geo(enriched: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
     """Hourly sums of six measures with the cell's geometry.
 
     Sums first, geometry joined last: an aggregate that carried the text would
-    have to sort every input row.
+    have to sort every input row. The geometry comes from the lookup, one row
+    per cell; only without one is it gathered from the rows.
     """
     from gridpulse.operators.enrich import attach_geometry
 
     summed = enriched.groupBy(*HOURLY_GRAIN).agg(*_sums(FACT_MEASURES, decimals=DECIMALS))
-    return attach_geometry(summed, grid_geometry(enriched)).select(*ACTIVITY_COLUMNS)
+    source = grid_geometry(enriched) if lookup is None else lookup
+    return attach_geometry(summed, source).select(*ACTIVITY_COLUMNS)
 
 
 def daily_kpi(hourly: DataFrame) -> DataFrame:

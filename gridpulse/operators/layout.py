@@ -19,9 +19,9 @@ def balanced(df: DataFrame, *columns: str) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
-def fewer(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Divide the number of partitions without a shuffle."""
-    return df.coalesce(max(1, df.rdd.getNumPartitions() // factor))
+def fewer(df: DataFrame, partitions: int, factor: int = 2) -> DataFrame:
+    """Divide the number of partitions, which the caller knows, without a shuffle."""
+    return df.coalesce(max(1, partitions // factor))
 
 
 def partition_rows(df: DataFrame) -> DataFrame:
@@ -31,6 +31,13 @@ def partition_rows(df: DataFrame) -> DataFrame:
     ).orderBy("partition_id")
 
 
+def key_spread(df: DataFrame, key: str) -> DataFrame:
+    """Per key: its rows and how many partitions they lie in; 1 after ``by_key``."""
+    pieces = df.groupBy(key, F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    return pieces.groupBy(key).agg(
+        F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("partitions"))
+
+
 def partition_summary(df: DataFrame) -> DataFrame:
     """One row: rows in all partitions together, non-empty partitions, largest share."""
     return partition_rows(df).agg(

@@ -52,12 +52,18 @@ def ordinal(df: DataFrame, levels: list[dict[str, Column]], order: list[str], ou
     columns that sort ahead of the next. Row numbers run inside the finest
     groups; what precedes a group comes from prefix sums of group sizes, taken
     level by level, so the only window without a key runs over one row per
-    coarsest group.
+    coarsest group. Nulls sort first, on every level and in ``order``, and a
+    row with a null level is numbered like any other.
     """
     named = {n: c for level in levels for n, c in level.items()}
     rows = df.withColumns(named)
     sizes = rows.groupBy(*named).agg(F.count(F.lit(1)).alias("_n"))
 
+    def joined(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+        right = right.withColumnsRenamed({n: f"_r{n}" for n in names})
+        on = [F.col(n).eqNullSafe(F.col(f"_r{n}")) for n in names]
+        return left.join(right, on).drop(*[f"_r{n}" for n in names])
+
     # the finest level is a window over the sizes themselves; a coarser level
     # is summed up first and joined back on its few keys
     offsets, prefix, steps = sizes, [], []
@@ -70,13 +76,13 @@ def ordinal(df: DataFrame, levels: list[dict[str, Column]], order: list[str], ou
             offsets = offsets.withColumn(step, before)
         else:
             counts = sizes.groupBy(*prefix, *names).agg(F.sum("_n").alias("_n"))
-            offsets = offsets.join(counts.withColumn(step, before).drop("_n"), [*prefix, *names])
+            offsets = joined(offsets, counts.withColumn(step, before).drop("_n"), [*prefix, *names])
         prefix, steps = [*prefix, *names], [*steps, step]
     offset = sum((F.col(s) for s in steps[1:]), F.col(steps[0]))
     offsets = offsets.select(*prefix, offset.alias("_offset"))
     numbered = rows.withColumn("_rn", F.row_number().over(W.partitionBy(*prefix).orderBy(*order)))
     return (
-        numbered.join(offsets, prefix)
+        joined(numbered, offsets, prefix)
         .withColumn(out, F.col("_offset") + F.col("_rn"))
         .select(*df.columns, out)
     )

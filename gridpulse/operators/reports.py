@@ -1,77 +1,48 @@
-"""The five warehouse reports as Spark SQL, and the run-status record."""
+"""The five warehouse reports, and the run-status record."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gridpulse.operators.star import orphan_rows
 
-# {fact}, {times} and {grids} are DataFrames bound by spark.sql(). Ties in the
-# top-k reports are broken by key, so a report has one possible result.
-TOP_GRIDS = """
-SELECT grid_id, round(sum(total_activity), 2) AS total_activity
-FROM {fact}
-GROUP BY grid_id
-ORDER BY total_activity DESC, grid_id
-LIMIT 10
-"""
-
-HOURLY_TREND = """
-SELECT t.hour,
-       round(sum(f.total), 2) AS total_activity,
-       round(sum(f.internet), 2) AS internet_activity
-FROM (SELECT time_id, sum(total_activity) AS total, sum(internet_activity) AS internet
-      FROM {fact} GROUP BY time_id) f
-JOIN {times} t ON f.time_id = t.time_id
-GROUP BY t.hour
-ORDER BY t.hour
-"""
-
-INTERNET_WINDOWS = """
-SELECT t.timestamp, f.grid_id,
-       round(f.internet_activity, 2) AS internet_activity,
-       round(f.total_activity, 2) AS total_activity
-FROM {fact} f
-JOIN {times} t ON f.time_id = t.time_id
-ORDER BY f.internet_activity DESC, t.timestamp, f.grid_id
-LIMIT 10
-"""
-
-TOP_INTERNET = """
-SELECT grid_id, round(sum(internet_activity), 2) AS total_internet_activity
-FROM {fact}
-GROUP BY grid_id
-ORDER BY total_internet_activity DESC, grid_id
-LIMIT 10
-"""
-
-# the primary key is (time_id, grid_id), so there is nothing to combine before the joins
-JOIN_COUNT = """
-SELECT count(*) AS joined_rows
-FROM {fact} f
-JOIN {times} t ON f.time_id = t.time_id
-JOIN {grids} g ON f.grid_id = g.grid_id
-"""
-
-
-def top_grids(spark: SparkSession, fact: DataFrame) -> DataFrame:
-    return spark.sql(TOP_GRIDS, fact=fact)
-
-
-def hourly_trend(spark: SparkSession, fact: DataFrame, times: DataFrame) -> DataFrame:
-    return spark.sql(HOURLY_TREND, fact=fact, times=times)
-
-
-def internet_windows(spark: SparkSession, fact: DataFrame, times: DataFrame) -> DataFrame:
-    return spark.sql(INTERNET_WINDOWS, fact=fact, times=times)
-
-
-def top_internet(spark: SparkSession, fact: DataFrame) -> DataFrame:
-    return spark.sql(TOP_INTERNET, fact=fact)
-
-
-def join_count(spark: SparkSession, fact: DataFrame, times: DataFrame, grids: DataFrame) -> DataFrame:
-    return spark.sql(JOIN_COUNT, fact=fact, times=times, grids=grids)
+def leading_cells(fact: DataFrame, metric: str, out: str, n: int = 10, decimals: int = 2) -> DataFrame:
+    """The ``n`` cells with the largest rounded sum of a metric; ties go to the smaller cell."""
+    total = F.round(F.sum(metric), decimals).alias(out)
+    return fact.groupBy("grid_id").agg(total).orderBy(F.desc(out), "grid_id").limit(n)
+
+
+def with_time(rows: DataFrame, times: DataFrame, *columns: str) -> DataFrame:
+    """Rows under ``time_id`` with columns of the time dimension; unknown keys drop."""
+    return rows.join(times.select("time_id", *columns), "time_id")
+
+
+def by_hour(fact: DataFrame, times: DataFrame, metrics=("total_activity", "internet_activity"), decimals: int = 2) -> DataFrame:
+    """Sums of metrics per hour of day, in order.
+
+    Facts are summed per time key first, so the join moves keys, not facts.
+    """
+    per_key = fact.groupBy("time_id").agg(*[F.sum(m).alias(m) for m in metrics])
+    placed = with_time(per_key, times, "hour").groupBy("hour")
+    return placed.agg(*[F.round(F.sum(m), decimals).alias(m) for m in metrics]).orderBy("hour")
+
+
+def leading_windows(fact: DataFrame, times: DataFrame, metric: str = "internet_activity", n: int = 10, decimals: int = 2) -> DataFrame:
+    """The ``n`` (time, cell) rows with the largest value of a metric, shown with the total activity.
+
+    Ties go to the earlier time, then the smaller cell. Time keys are numbered
+    in time order, so the rows are cut to ``n`` before they meet the dimension.
+    """
+    known = fact.join(times.select("time_id"), "time_id", "left_semi")
+    order = (F.desc(metric), F.col("time_id"), F.col("grid_id"))
+    top = with_time(known.orderBy(*order).limit(n), times, "timestamp").orderBy(*order)
+    return top.select("timestamp", "grid_id", *[F.round(m, decimals).alias(m) for m in (metric, "total_activity")])
+
+
+def joined_rows(fact: DataFrame, times: DataFrame, grids: DataFrame) -> DataFrame:
+    """One row: facts that find both of their dimension rows."""
+    found = fact.join(times.select("time_id"), "time_id").join(grids.select("grid_id"), "grid_id")
+    return found.agg(F.count(F.lit(1)).alias("joined_rows"))
 
 
 # Ledger states that count as a rejected delivery.

@@ -9,11 +9,18 @@ BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
 def content_bytes(df: DataFrame) -> Column:
-    """Bytes of one row: text by its length, every other column as 8."""
+    """Bytes of one row: text and binary by length, numbers and dates as 8.
+
+    Nested columns are measured by their JSON text, so a wide one counts as wide.
+    """
     total = F.lit(8)
     for f in df.schema.fields:
-        if f.dataType.simpleString() == "string":
+        kind = f.dataType.simpleString()
+        if kind in ("string", "binary"):
             total = total + F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            wrapped = F.to_json(F.struct(F.col(f.name)))
+            total = total + F.coalesce(F.octet_length(wrapped), F.lit(0))
         else:
             total = total + F.lit(8)
     return total.cast("bigint")

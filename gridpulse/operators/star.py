@@ -9,11 +9,15 @@ from gridpulse.operators.aggregate import grid_geometry
 from gridpulse.operators.ordering import ordinal
 from gridpulse.operators.sizes import BROADCAST_LIMIT_BYTES, broadcast_if_small
 from gridpulse.schemas import FACT_MEASURES
+from gridpulse.sources.scratch import cut
 
 
 def dim_time(hourly: DataFrame) -> DataFrame:
-    """Distinct timestamps with a 1-based key in time order and calendar fields."""
-    stamps = hourly.where(F.col("timestamp").isNotNull()).select("timestamp").distinct()
+    """Distinct timestamps with a 1-based key in time order and calendar fields.
+
+    The timestamps are stored first: numbering reads them twice.
+    """
+    stamps = cut(hourly.where(F.col("timestamp").isNotNull()).select("timestamp").distinct())
     keyed = ordinal(stamps, [{"_day": F.to_date("timestamp")}], ["timestamp"], "time_id")
     return keyed.withColumns(calendar()).select(
         F.col("time_id").cast("int").alias("time_id"), "timestamp", "date", "hour", "day_of_week"

@@ -32,6 +32,8 @@ DAYS, HOURS = 30, 720
 CELL_BOX = (8.8, 9.6, 45.2, 45.8)
 # A dimension loaded after the first day knows only what that day held.
 FIRST_LOAD_BEFORE = "2024-01-02 00:00:00"
+# The cell that an incomplete lookup lacks.
+MISSING_CELL = 7
 # Deliveries dated up to this day count as received by an earlier run.
 EARLIER_DELIVERY = "sms-call-internet-mi-2024-01-10.csv"
 
@@ -157,7 +159,7 @@ def activity_ranges(spark, sf_dir):
 
 @query
 def duplicate_rows(spark, sf_dir):
-    raw = fixture.raw_activity(spark, sf_dir)
+    raw = cut(fixture.raw_activity(spark, sf_dir).select(*RAW_COLUMNS))
     whole = profile.duplicate_summary(raw.select(*RAW_COLUMNS)).withColumn("scope", F.lit("whole row"))
     grain = profile.duplicate_summary(raw, RAW_GRAIN).withColumn("scope", F.lit("raw grain"))
     return whole.unionByName(grain)
@@ -222,8 +224,10 @@ def hourly_grid_named_days(spark, sf_dir):
 
 @query
 def hourly_grid_geo(spark, sf_dir):
-    activity = enrich.enrich(fixture.hourly_activity(spark, sf_dir), fixture.cell_lookup(spark, sf_dir))
-    return aggregate.hourly_grid_geo(cut(activity))
+    """From rows that repeat the geometry; with the lookup at hand the text never meets a fact."""
+    lookup = cut(fixture.cell_lookup(spark, sf_dir))
+    activity = enrich.enrich(fixture.hourly_activity(spark, sf_dir), lookup)
+    return aggregate.hourly_grid_geo(activity, lookup)
 
 
 @query
@@ -373,30 +377,30 @@ def star_constraints(spark, sf_dir):
 
 @query
 def report_top_grids(spark, sf_dir):
-    return reports.top_grids(spark, _fact_and_time(spark, sf_dir)[0])
+    return reports.leading_cells(_fact_and_time(spark, sf_dir)[0], "total_activity", "total_activity")
 
 
 @query
 def report_hourly_trend(spark, sf_dir):
     fact, times = _fact_and_time(spark, sf_dir)
-    return reports.hourly_trend(spark, fact, times)
+    return reports.by_hour(fact, times)
 
 
 @query
 def report_internet_windows(spark, sf_dir):
     fact, times = _fact_and_time(spark, sf_dir)
-    return reports.internet_windows(spark, fact, times)
+    return reports.leading_windows(fact, times)
 
 
 @query
 def report_top_internet(spark, sf_dir):
-    return reports.top_internet(spark, _fact_and_time(spark, sf_dir)[0])
+    return reports.leading_cells(_fact_and_time(spark, sf_dir)[0], "internet_activity", "total_internet_activity")
 
 
 @query
 def report_join_count(spark, sf_dir):
     _, fact, times, grids = _stored_star(spark, sf_dir)
-    return reports.join_count(spark, fact, times, grids)
+    return reports.joined_rows(fact, times, grids)
 
 
 @query
@@ -477,12 +481,9 @@ def header_verdicts(spark, sf_dir):
 # geometry
 # --------------------------------------------------------------------------
 
-def _early_lookup(spark, sf_dir) -> DataFrame:
-    """Geometry of the cells seen on the first day only."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    early = events.where(F.col("ts") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
-    cells = early.select((F.col("user_id") + 1).alias("grid_id")).distinct()
-    return cells.withColumn("geometry", fixture.square_geometry(F.col("grid_id")))
+def _lookup_without_one(spark, sf_dir) -> DataFrame:
+    """Geometry of all cells but one: the case in which coverage fails."""
+    return fixture.cell_lookup(spark, sf_dir, skip=F.col("grid_id") == MISSING_CELL)
 
 
 @query
@@ -492,18 +493,21 @@ def grid_centroids(spark, sf_dir):
 
 @query
 def enriched_activity(spark, sf_dir):
-    """Left join to a lookup that lacks some cells; rows are preserved."""
-    return enrich.enrich(fixture.hourly_activity(spark, sf_dir), _early_lookup(spark, sf_dir))
+    """Left join to a lookup of all cells but one; rows are preserved."""
+    return enrich.enrich(fixture.hourly_activity(spark, sf_dir), cut(_lookup_without_one(spark, sf_dir)))
 
 
 @query
 def enrichment_coverage(spark, sf_dir):
-    return enrich.coverage(fixture.hourly_activity(spark, sf_dir), _early_lookup(spark, sf_dir))
+    """Full coverage, and coverage by a lookup that lacks one cell."""
+    hourly = cut(fixture.hourly_activity(spark, sf_dir).select("grid_id"))
+    full = enrich.coverage(hourly, fixture.cell_lookup(spark, sf_dir)).withColumn("lookup", F.lit("full"))
+    return full.unionByName(enrich.coverage(hourly, _lookup_without_one(spark, sf_dir)).withColumn("lookup", F.lit("one missing")))
 
 
 @query
 def unmatched_cells(spark, sf_dir):
-    return enrich.unmatched_cells(fixture.hourly_activity(spark, sf_dir), _early_lookup(spark, sf_dir))
+    return enrich.unmatched_cells(fixture.hourly_activity(spark, sf_dir), _lookup_without_one(spark, sf_dir))
 
 
 @query
@@ -540,10 +544,10 @@ def reconcile_first_key(spark, sf_dir):
 
 @query
 def key_set_compare(spark, sf_dir):
-    """Cells of the activity against cells of a first-day lookup."""
+    """Cells of the activity against cells of a lookup that lacks one."""
     return compare.key_sets(
         fixture.hourly_activity(spark, sf_dir).select("grid_id"),
-        _early_lookup(spark, sf_dir).select("grid_id"), ["grid_id"])
+        _lookup_without_one(spark, sf_dir).select("grid_id"), ["grid_id"])
 
 
 @query
@@ -566,11 +570,18 @@ def quality_checks(spark, sf_dir):
     features = lookup.select(
         F.lit("FeatureCollection").alias("document_type"),
         F.col("grid_id").cast("string").alias("cell_id"), "geometry")
+    g = F.col("grid_id")
+    damaged = lookup.select(
+        F.when(g % 11 == 0, "Feature").otherwise("FeatureCollection").alias("document_type"),
+        F.when(g % 13 == 1, None).when(g % 13 == 2, F.concat(F.lit("x"), g.cast("string")))
+        .when(g % 13 == 3, (g + 1).cast("string")).otherwise(g.cast("string")).alias("cell_id"),
+        F.when(g % 7 != 0, F.col("geometry")).alias("geometry"))
     covered = enrich.coverage(hourly, lookup)
     return checks.collect_checks(
         checks.table_checks(detail, "clean", detail_rules),
         checks.table_checks(hourly, "hourly grid", hourly_rules),
         checks.reference_checks(features, "reference", cells),
+        checks.reference_checks(damaged, "damaged reference", cells),
         checks.cadence_check(clean.kept(raw)),
         checks.file_count_check(raw, DAYS),
         checks.gap_check(ordering.timestamp_gaps(hourly)),
@@ -587,8 +598,8 @@ def quality_checks(spark, sf_dir):
 
 @query
 def partition_rows(spark, sf_dir):
-    """Rows per partition after hashing on the cell: depends on the layout."""
-    return layout.partition_rows(layout.by_key(fixture.hourly_activity(spark, sf_dir), "grid_id", 8))
+    """Rows of each cell after hashing on it, and in how many partitions they lie."""
+    return layout.key_spread(layout.by_key(fixture.hourly_activity(spark, sf_dir), "grid_id", 8), "grid_id")
 
 
 @query
@@ -599,7 +610,7 @@ def layout_keeps_rows(spark, sf_dir):
         "as stored": hourly,
         "by key": layout.by_key(hourly, "grid_id", 8),
         "rebalanced": layout.balanced(hourly, "date"),
-        "fewer": layout.fewer(layout.by_key(hourly, "grid_id", 8)),
+        "fewer": layout.fewer(layout.by_key(hourly, "grid_id", 8), 8),
     }
     out = None
     for name, df in variants.items():
@@ -665,9 +676,9 @@ def shipment_order_orphans(spark, sf_dir):
 
 @query
 def negative_balances(spark, sf_dir):
-    """Reject split on a table with naturally negative values."""
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    return customers.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("c_acctbal") < 0).alias("negative_rows"),
-    )
+    """Reject operators on a table with naturally negative values: balances as a measure."""
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("timestamp"), F.col("c_custkey").alias("grid_id"),
+        F.col("c_nationkey").cast("bigint").alias("country_code"), F.col("c_acctbal").cast("double").alias("sms_in"),
+        *[F.lit(0.0).alias(m) for m in MEASURES[1:]])
+    return clean.reject_summary(customers)

@@ -130,19 +130,24 @@ def export_csv(spark: SparkSession, run: Run) -> None:
     write_csv(read("analytics/alerts"), run.path("exports/alerts"))
 
 
-def delivery_summary(spark: SparkSession, run: Run, zones: Zones) -> DataFrame:
-    """Facts of the accepted deliveries: totals row and one row per file."""
-    text = read_raw(spark, zones)
+def delivery_totals(text: DataFrame) -> DataFrame:
+    """One row of facts of delivered rows: distinct values, size, unusable timestamps."""
     raw = clean.coerce(clean.canonical_names(text)).withColumn("date", F.to_date("timestamp"))
     size = profile.table_size(text)
     invalid = checks.invalid_timestamps(text, parse_timestamp("datetime"))
-    totals = aggregate.distinct_counts(
+    return aggregate.distinct_counts(
         raw, ["date", "grid_id", "country_code", "source_filename"], null_is_value=True
     ).select(
         "*", *[size.select(c).scalar().alias(c) for c in size.columns],
         invalid.select("invalid_timestamps").scalar().alias("invalid_timestamps"),
     )
-    per_file = aggregate.file_summary(raw)
+
+
+def delivery_summary(spark: SparkSession, run: Run, zones: Zones) -> DataFrame:
+    """Facts of the accepted deliveries: totals row and one row per file."""
+    text = read_raw(spark, zones)
+    totals = delivery_totals(text)
+    per_file = aggregate.file_summary(clean.coerce(clean.canonical_names(text)))
     write_zone(totals, run.path("logs/delivery_totals"), "results")
     write_zone(per_file, run.path("logs/delivery_files"), "results")
     return per_file

@@ -133,7 +133,7 @@ def _cells(name: str, where: str = "") -> str:
 
 
 LOOKUP = _cells("lookup")
-EARLY = _cells("early_lookup", "WHERE ts < TIMESTAMP '2024-01-02 00:00:00'")
+LACKING = _cells("lacking", "WHERE user_id + 1 <> 7")
 
 VERDICTS = RAW + """,
 judged AS (
@@ -233,24 +233,40 @@ def _checks() -> str:
     add("hourly grid", "smallest id", "SELECT min(grid_id) FROM hourly", "1")
     add("hourly grid", "largest id", "SELECT max(grid_id) FROM hourly", cells)
     add("hourly grid", "distinct ids", "SELECT count(DISTINCT grid_id) FROM hourly", cells)
-    add("reference", "not empty", count("lookup"), "1", ">=")
-    for name in ("features outside a collection", "missing ids", "ids not integer", "ids more than once",
-                 "missing geometry"):
-        add("reference", name, "0", "0")
-    add("reference", "distinct ids", count("lookup"), cells)
+    for dataset, t in (("reference", "features"), ("damaged reference", "damaged")):
+        add(dataset, "not empty", count(t), "1", ">=")
+        add(dataset, "features outside a collection", count(t, "kind <> 'FeatureCollection'"), "0")
+        add(dataset, "missing ids", count(t, "cell_id IS NULL"), "0")
+        add(dataset, "ids not integer", count(t, "cell_id IS NOT NULL AND TRY_CAST(cell_id AS BIGINT) IS NULL"), "0")
+        add(dataset, "ids more than once", f"SELECT count(*) FROM (SELECT TRY_CAST(cell_id AS BIGINT) AS i FROM {t} "
+            "WHERE i IS NOT NULL GROUP BY 1 HAVING count(*) > 1)", "0")
+        add(dataset, "missing geometry", count(t, "geometry IS NULL"), "0")
+        add(dataset, "distinct ids", f"SELECT count(DISTINCT TRY_CAST(cell_id AS BIGINT)) FROM {t}", cells)
     add("clean", "timestamp cadence", "SELECT count(DISTINCT timestamp) FROM kept",
         "SELECT 24 * count(DISTINCT source_filename) FROM kept")
     add("raw", "source files", "SELECT count(DISTINCT source_filename) FROM typed", "30")
     add("hourly grid", "gaps between timestamps",
         "SELECT count(*) FROM (SELECT timestamp - lag(timestamp) OVER (ORDER BY timestamp) AS d "
         "FROM (SELECT DISTINCT timestamp FROM hourly)) WHERE d <> INTERVAL 1 HOUR", "0")
-    add("enriched", "coverage percent", "100", "100")
-    add("enriched", "join keeps rows", count("hourly"), count("hourly"))
+    add("enriched", "coverage percent", "SELECT 100.0 * count(DISTINCT lookup.grid_id) / count(DISTINCT hourly.grid_id) "
+        "FROM hourly LEFT JOIN lookup ON hourly.grid_id = lookup.grid_id", "100")
+    add("enriched", "join keeps rows", "SELECT count(*) FROM hourly LEFT JOIN lookup USING (grid_id)", count("hourly"))
     add("enriched", "same cells as reference",
         "SELECT CAST(NOT EXISTS (SELECT grid_id FROM lookup EXCEPT SELECT grid_id FROM hourly) AS INTEGER)", "1")
-    add("hourly grid", "keys that do not reconcile", "0", "0")
-    add("hourly grid", "layout keeps rows", count("hourly"), count("hourly"))
-    materialized = HOURLY + LOOKUP
+    again = ", ".join(f"round(sum({m}), 4) AS {m}" for m in MEASURES)
+    add("hourly grid", "keys that do not reconcile",
+        f"SELECT count(*) FROM hourly h FULL JOIN (SELECT timestamp, grid_id, {again} FROM cleaned GROUP BY 1, 2) d "
+        "ON h.timestamp = d.timestamp AND h.grid_id = d.grid_id WHERE "
+        + " OR ".join(f"h.{m} IS DISTINCT FROM d.{m}" for m in MEASURES), "0")
+    add("hourly grid", "layout keeps rows", "SELECT sum(n) FROM (SELECT count(*) AS n FROM hourly GROUP BY grid_id)", count("hourly"))
+    materialized = HOURLY + LOOKUP + """,
+features AS (SELECT 'FeatureCollection' AS kind, CAST(grid_id AS VARCHAR) AS cell_id, geometry FROM lookup),
+damaged AS (
+  SELECT CASE WHEN grid_id % 11 = 0 THEN 'Feature' ELSE 'FeatureCollection' END AS kind,
+         CASE grid_id % 13 WHEN 1 THEN NULL WHEN 2 THEN 'x' || grid_id WHEN 3 THEN CAST(grid_id - 1 + 2 AS VARCHAR)
+                           ELSE CAST(grid_id AS VARCHAR) END AS cell_id,
+         CASE WHEN grid_id % 7 <> 0 THEN geometry END AS geometry FROM lookup)
+"""
     for name in ("hourly", "cleaned", "kept", "typed", "lookup"):
         materialized = materialized.replace(f"\n{name} AS (", f"\n{name} AS MATERIALIZED (")
     return _with(materialized, "\nUNION ALL ".join(rows))
@@ -335,6 +351,13 @@ stale_grid AS (SELECT DISTINCT grid_id FROM hourly WHERE timestamp < TIMESTAMP '
 STATUS = ROUTED.replace("WITH ", "") + STAR[len(RAW):]
 
 
+def _leading(metric: str, out: str) -> str:
+    return f"""
+SELECT CAST(grid_id AS INTEGER) AS grid_id, {out} FROM (
+  SELECT *, row_number() OVER (ORDER BY {out} DESC, grid_id) AS place
+  FROM (SELECT grid_id, round(sum({metric}), 2) AS {out} FROM hourly GROUP BY 1)) WHERE place <= 10"""
+
+
 def build() -> dict[str, str]:
     clean_list, hourly_list = ", ".join(CLEAN_COLUMNS), ", ".join(HOURLY_COLUMNS)
     measure_list = ", ".join(MEASURES)
@@ -449,40 +472,39 @@ SELECT 'dim_grid', count(*) FROM fact WHERE grid_id NOT IN (SELECT grid_id FROM
         "star_constraints": _with(STAR, """
 SELECT 'dim_time primary key' AS constraint_name, count(*) - count(DISTINCT time_id) AS violations FROM dim_time
 UNION ALL SELECT 'dim_time unique timestamp', count(*) - count(DISTINCT timestamp) FROM dim_time
-UNION ALL SELECT 'dim_grid primary key', CAST(0 AS BIGINT)
+UNION ALL SELECT 'dim_grid primary key', count(*) - count(DISTINCT grid_id) FROM (SELECT DISTINCT grid_id FROM hourly)
 UNION ALL SELECT 'fact primary key', count(*) - count(DISTINCT (time_id, grid_id)) FROM fact
 UNION ALL SELECT 'fact measures not null', count(*) FILTER (WHERE sms_in + sms_out + call_in + call_out
     + internet_activity + total_activity IS NULL) FROM fact
 UNION ALL SELECT 'fact time foreign key', count(*) FROM fact WHERE time_id NOT IN (SELECT time_id FROM dim_time)
 UNION ALL SELECT 'fact grid foreign key', count(*) FROM fact
     WHERE grid_id NOT IN (SELECT user_id + 1 FROM events)"""),
-        "report_top_grids": _with(STAR, """
-SELECT grid_id, round(sum(total_activity), 2) AS total_activity FROM fact GROUP BY 1
-ORDER BY total_activity DESC, grid_id LIMIT 10"""),
-        "report_hourly_trend": _with(STAR, """
-SELECT t.hour, round(sum(f.total_activity), 2) AS total_activity,
-       round(sum(f.internet_activity), 2) AS internet_activity
-FROM fact f JOIN dim_time t ON f.time_id = t.time_id GROUP BY t.hour ORDER BY t.hour"""),
-        "report_internet_windows": _with(STAR, """
-SELECT t.timestamp, f.grid_id, round(f.internet_activity, 2) AS internet_activity,
-       round(f.total_activity, 2) AS total_activity
-FROM fact f JOIN dim_time t ON f.time_id = t.time_id
-ORDER BY f.internet_activity DESC, t.timestamp, f.grid_id LIMIT 10"""),
-        "report_top_internet": _with(STAR, """
-SELECT grid_id, round(sum(internet_activity), 2) AS total_internet_activity FROM fact GROUP BY 1
-ORDER BY total_internet_activity DESC, grid_id LIMIT 10"""),
-        "report_join_count": _with(STAR, "SELECT count(*) AS joined_rows FROM fact"),
+        "report_top_grids": _with(HOURLY, _leading("total_activity", "total_activity")),
+        "report_hourly_trend": _with(HOURLY, """
+SELECT hour, round(sum(total_activity), 2) AS total_activity, round(sum(internet_activity), 2) AS internet_activity
+FROM hourly GROUP BY hour"""),
+        "report_internet_windows": _with(HOURLY, """
+SELECT timestamp, CAST(grid_id AS INTEGER) AS grid_id, round(internet_activity, 2) AS internet_activity,
+       round(total_activity, 2) AS total_activity
+FROM (SELECT *, row_number() OVER (ORDER BY internet_activity DESC, timestamp, grid_id) AS place FROM hourly)
+WHERE place <= 10"""),
+        "report_top_internet": _with(HOURLY, _leading("internet_activity", "total_internet_activity")),
+        "report_join_count": _with(STAR, """
+SELECT count(*) AS joined_rows FROM fact
+WHERE time_id IN (SELECT time_id FROM dim_time) AND grid_id IN (SELECT grid_id FROM hourly)"""),
         "run_status": _with(STATUS, """
-SELECT 'fixture' AS run_id, 'SUCCESS' AS status, (SELECT count(*) FROM typed) AS rows_in,
+SELECT 'fixture' AS run_id, CASE WHEN orphan_time_keys + orphan_grid_keys = 0 THEN 'SUCCESS' ELSE 'FAILED' END AS status, *
+FROM (SELECT (SELECT count(*) FROM typed) AS rows_in,
        (SELECT count(*) FROM typed) - (SELECT count(*) FROM kept) AS rows_rejected,
        (SELECT 5 * count(*) - count(sms_in) - count(sms_out) - count(call_in) - count(call_out)
                - count(internet_activity) FROM kept) AS nulls_handled,
        (SELECT count(*) FROM fact) AS rows_published, (SELECT max(timestamp) FROM hourly) AS as_of,
        (SELECT count(*) FROM dim_time) AS dim_time_rows,
        (SELECT count(DISTINCT grid_id) FROM hourly) AS dim_grid_rows,
-       (SELECT count(*) FROM fact) AS fact_rows, CAST(0 AS BIGINT) AS orphan_time_keys,
-       CAST(0 AS BIGINT) AS orphan_grid_keys,
-       (SELECT count(*) FROM routed WHERE status LIKE 'REJECTED%') AS files_rejected"""),
+       (SELECT count(*) FROM fact) AS fact_rows,
+       (SELECT count(*) FROM fact WHERE time_id NOT IN (SELECT time_id FROM dim_time)) AS orphan_time_keys,
+       (SELECT count(*) FROM fact WHERE grid_id NOT IN (SELECT grid_id FROM hourly)) AS orphan_grid_keys,
+       (SELECT count(*) FROM routed WHERE status LIKE 'REJECTED%') AS files_rejected)"""),
         "file_verdicts": _with(VERDICTS, "SELECT * FROM verdicts"),
         "batch_verdicts": _with(VERDICTS, """
 SELECT filename, valid, row_count, CASE WHEN valid THEN 'Validation passed' ELSE reason END AS reason
@@ -506,19 +528,23 @@ FROM raw"""),
 SELECT g AS grid_id, round({_X} + 0.001, 6) AS longitude, round({_Y} + 0.001, 6) AS latitude
 FROM (SELECT DISTINCT user_id + 1 AS g FROM events)""".replace(
             "9.0 +", "CAST(9.0 AS DOUBLE) +").replace("45.3 +", "CAST(45.3 AS DOUBLE) +"),
-        "enriched_activity": _with(HOURLY + EARLY, f"""
+        "enriched_activity": _with(HOURLY + LACKING, f"""
 SELECT timestamp, grid_id, {measure_list}, total_activity, geometry
-FROM hourly LEFT JOIN early_lookup USING (grid_id)"""),
-        "enrichment_coverage": _with(HOURLY + EARLY, """
-SELECT count(DISTINCT h.grid_id) AS activity_grids, count(DISTINCT e.grid_id) AS matched_grids,
+FROM hourly LEFT JOIN lacking USING (grid_id)"""),
+        "enrichment_coverage": _with(HOURLY + LOOKUP + LACKING, " UNION ALL ".join(f"""
+SELECT '{label}' AS lookup, count(DISTINCT h.grid_id) AS activity_grids, count(DISTINCT e.grid_id) AS matched_grids,
        count(*) FILTER (WHERE e.grid_id IS NULL) AS unmatched_rows,
        round(count(DISTINCT e.grid_id) * 100.0::DOUBLE / count(DISTINCT h.grid_id), 4) AS coverage_pct
-FROM hourly h LEFT JOIN early_lookup e ON h.grid_id = e.grid_id"""),
-        "unmatched_cells": _with(HOURLY + EARLY, """
-SELECT DISTINCT grid_id FROM hourly WHERE grid_id NOT IN (SELECT grid_id FROM early_lookup)"""),
-        "geo_spot_check": """
-SELECT count(DISTINCT user_id) = 3 AS all_located, 0.003::DOUBLE AS neighbour_distance,
-       true AS neighbours_differ, true AS inside_box FROM events WHERE user_id IN (0, 1, 14)""",
+FROM hourly h LEFT JOIN {name} e ON h.grid_id = e.grid_id""" for label, name in (("full", "lookup"), ("one missing", "lacking")))),
+        "unmatched_cells": _with(HOURLY + LACKING, """
+SELECT DISTINCT grid_id FROM hourly WHERE grid_id NOT IN (SELECT grid_id FROM lacking)"""),
+        "geo_spot_check": f"""
+WITH placed AS (SELECT g, {_X} + 0.001 AS x, {_Y} + 0.001 AS y FROM (SELECT DISTINCT user_id + 1 AS g FROM events) WHERE g IN (1, 2, 15))
+SELECT count(*) = 3 AS all_located,
+       round(sqrt(pow(max(x) FILTER (g = 1) - max(x) FILTER (g = 2), 2) + pow(max(y) FILTER (g = 1) - max(y) FILTER (g = 2), 2)), 8) AS neighbour_distance,
+       max(x) FILTER (g = 1) <> max(x) FILTER (g = 2) OR max(y) FILTER (g = 1) <> max(y) FILTER (g = 2) AS neighbours_differ,
+       max(x) FILTER (g = 15) BETWEEN 8.8 AND 9.6 AND max(y) FILTER (g = 15) BETWEEN 45.2 AND 45.8 AS inside_box
+FROM placed""".replace("(9.0 +", "(CAST(9.0 AS DOUBLE) +").replace("(45.3 +", "(CAST(45.3 AS DOUBLE) +"),
         "reconcile_all_keys": _reconcile("true"),
         "reconcile_stale_hourly": _reconcile("country_code > 0"),
         "reconcile_first_key": _with(HOURLY + """,
@@ -527,14 +553,14 @@ detail AS (SELECT c.* FROM cleaned c JOIN chosen USING (timestamp, grid_id)),
 stored AS (SELECT h.* FROM hourly h JOIN chosen USING (timestamp, grid_id))""", " UNION ALL ".join(
             f"SELECT timestamp, grid_id, '{m}' AS metric, (SELECT round(sum({m}), 4) FROM detail) AS recomputed, "
             f"{m} AS stored FROM stored" for m in MEASURES)),
-        "key_set_compare": _with(HOURLY + EARLY, """
-SELECT (SELECT count(*) FROM hourly) AS left_rows, (SELECT count(*) FROM early_lookup) AS right_rows,
+        "key_set_compare": _with(HOURLY + LACKING, """
+SELECT (SELECT count(*) FROM hourly) AS left_rows, (SELECT count(*) FROM lacking) AS right_rows,
        (SELECT count(DISTINCT grid_id) FROM hourly) AS left_keys,
-       (SELECT count(*) FROM early_lookup) AS right_keys,
-       (SELECT count(*) FROM (SELECT grid_id FROM hourly EXCEPT SELECT grid_id FROM early_lookup)) AS only_left,
-       (SELECT count(*) FROM (SELECT grid_id FROM early_lookup EXCEPT SELECT grid_id FROM hourly)) AS only_right,
-       (SELECT count(*) FROM (SELECT grid_id FROM hourly EXCEPT SELECT grid_id FROM early_lookup)) = 0
-       AND (SELECT count(*) FROM (SELECT grid_id FROM early_lookup EXCEPT SELECT grid_id FROM hourly)) = 0
+       (SELECT count(*) FROM lacking) AS right_keys,
+       (SELECT count(*) FROM (SELECT grid_id FROM hourly EXCEPT SELECT grid_id FROM lacking)) AS only_left,
+       (SELECT count(*) FROM (SELECT grid_id FROM lacking EXCEPT SELECT grid_id FROM hourly)) AS only_right,
+       (SELECT count(*) FROM (SELECT grid_id FROM hourly EXCEPT SELECT grid_id FROM lacking)) = 0
+       AND (SELECT count(*) FROM (SELECT grid_id FROM lacking EXCEPT SELECT grid_id FROM hourly)) = 0
        AS keys_equal"""),
         "quality_checks": _checks(),
         "layout_keeps_rows": _with(HOURLY, " UNION ALL ".join(
@@ -559,5 +585,9 @@ UNION ALL
 SELECT 'before 1995', count(*) FROM lineitem
 WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-01-01 00:00:00')""",
         "negative_balances": """
-SELECT count(*) AS rows, count(*) FILTER (WHERE c_acctbal < 0) AS negative_rows FROM customer""",
+SELECT count(*) AS input_rows, count(*) FILTER (WHERE false) AS missing_timestamp,
+       count(*) FILTER (WHERE c_custkey IS NULL) AS missing_grid_id, count(*) FILTER (WHERE c_acctbal < 0) AS negative_activity,
+       count(*) FILTER (WHERE c_custkey IS NULL OR c_acctbal < 0) AS rejected_rows,
+       count(*) FILTER (WHERE c_custkey IS NOT NULL AND c_acctbal >= 0) AS clean_rows FROM customer""",
+        "partition_rows": _with(HOURLY, "SELECT grid_id, count(*) AS rows, CAST(1 AS BIGINT) AS partitions FROM hourly GROUP BY 1"),
     }

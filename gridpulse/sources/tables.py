@@ -38,26 +38,36 @@ def classify(df: DataFrame) -> str:
 
 
 def dataset_directories(spark: SparkSession, root: str) -> list[str]:
-    """Directories below ``root`` that hold Parquet files, from the file index."""
+    """Roots of the datasets below ``root``, from the file index.
+
+    A dataset is the directory above its files, without any ``key=value``
+    steps, so all partitions of a table belong to one.
+    """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet").load(root)
     )
-    parent = F.regexp_extract("path", r"^(.*)/[^/]+$", 1)
+    parent = F.regexp_replace("path", r"(/[^/=]+=[^/]*)*/[^/]+$", "")
     return sorted(r[0] for r in files.select(parent).distinct().collect())
 
 
 def discover(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The grid and temporal rollups below a root, found by schema.
 
-    A dataset is a directory, never a single part file. Only footers are read.
+    A dataset is a directory with all its partitions, never a single part file.
+    Only footers are read. Two datasets of one kind are an error: none is picked
+    in silence.
     """
     found: dict[str, DataFrame] = {}
+    places: dict[str, str] = {}
     for directory in dataset_directories(spark, root):
         df = spark.read.parquet(directory)
         kind = classify(df)
-        if kind != "unknown":
-            found.setdefault(kind, df)
+        if kind == "unknown":
+            continue
+        if kind in found:
+            raise ValueError(f"two datasets of kind {kind}: {places[kind]} and {directory}")
+        found[kind], places[kind] = df, directory
     missing = {"grid", "temporal"} - set(found)
     if missing:
         raise ValueError(f"no dataset of kind {sorted(missing)} below {root}")

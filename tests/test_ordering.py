@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from gridpulse.operators import alerts
 from gridpulse.operators.ordering import ordinal, previous_value, timestamp_gaps
 
 T0 = datetime(2024, 1, 1)
@@ -70,3 +71,22 @@ def test_gaps_do_not_depend_on_the_session_zone(spark):
         assert timestamp_gaps(df).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_ordinal_numbers_rows_with_null_levels(spark):
+    rows = [(2, "b", 1), (None, "a", 3), (2, None, 5), (1, "a", 2), (None, None, 4), (2, None, 6)]
+    df = spark.createDataFrame(rows, "k int, s string, v int")
+    levels = [{"_k": F.col("k")}, {"_s": F.col("s")}]
+    got = {r.v: r.n for r in ordinal(df, levels, ["v"], "n").collect()}
+    want = sorted(rows, key=lambda r: ((r[0] is not None, r[0] or 0), (r[1] is not None, r[1] or ""), r[2]))
+    assert got == {r[2]: i for i, r in enumerate(want, 1)}
+
+
+def test_alerts_of_a_null_cell_are_kept(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:00", None, 9.0, 1.0), ("2024-01-01 00:00:00", 1, 8.0, 2.0)],
+                               "timestamp string, grid_id bigint, total_activity double, internet_activity double")
+    hourly = df.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    limits = alerts.thresholds(hourly)
+    fired = alerts.fired(hourly, limits).count()
+    table = alerts.alert_table(hourly, limits).collect()
+    assert fired == len(table) and sorted(r.alert_id for r in table) == list(range(1, fired + 1))

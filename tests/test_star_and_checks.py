@@ -70,15 +70,15 @@ def test_orphans_and_constraints(tables):
 
 def test_reports(spark, tables):
     fact, times, grids = tables
-    top = reports.top_grids(spark, fact).collect()
+    top = reports.leading_cells(fact, "total_activity", "total_activity").collect()
     assert [(r.grid_id, r.total_activity) for r in top] == [(3, 48 * 30.0), (2, 48 * 20.0), (1, 48 * 10.0)]
-    trend = reports.hourly_trend(spark, fact, times).collect()
+    trend = reports.by_hour(fact, times).collect()
     assert [r.hour for r in trend] == list(range(24)) and {r.total_activity for r in trend} == {120.0}
-    windows = reports.internet_windows(spark, fact, times).collect()
+    windows = reports.leading_windows(fact, times).collect()
     assert len(windows) == 10 and windows[0].timestamp == T0 and windows[0].grid_id == 3
-    assert reports.top_internet(spark, fact).first().total_internet_activity == 48 * 6.0
-    assert reports.join_count(spark, fact, times, grids).first()[0] == 144
-    assert reports.join_count(spark, fact, times, grids.where("grid_id > 1")).first()[0] == 96
+    assert reports.leading_cells(fact, "internet_activity", "total_internet_activity").first().total_internet_activity == 48 * 6.0
+    assert reports.joined_rows(fact, times, grids).first()[0] == 144
+    assert reports.joined_rows(fact, times, grids.where("grid_id > 1")).first()[0] == 96
 
 
 def test_run_status_follows_checks_and_orphans(spark, tables):
@@ -211,7 +211,7 @@ def test_layout(spark, hourly):
     keyed = layout.by_key(hourly, "grid_id", 4)
     rows = layout.partition_rows(keyed).collect()
     assert sum(r.rows for r in rows) == 144 and len(rows) <= 3
-    assert layout.fewer(keyed).rdd.getNumPartitions() == 2
+    assert layout.fewer(keyed, 4).rdd.getNumPartitions() == 2
     assert layout.partition_summary(layout.balanced(hourly, "date")).first().row_count == 144
 
 
