@@ -1,11 +1,11 @@
 """File-level quality gate: verdict per file, routing, ledger entries.
 
 A verdict needs the 1-based number of the first failing row in each file. No
-file is ever sorted or numbered as a whole: rows carry (split, position), the
+file is ever sorted or numbered as a whole: lines carry (split, position), the
 position being consecutive inside a split, and one aggregate per (file, split)
 keeps the row count, the first position and the first failure. What precedes a
 split is then a sum over splits, so a file that holds most of all rows is
-spread over its splits.
+spread over its splits. Rows with a given order need no positions at all.
 """
 
 from __future__ import annotations
@@ -15,73 +15,34 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from gridpulse.functions.rowrules import (
     BATCH_PASSED, EMPTY_FILE, NO_ROWS, PASSED, header_failure, line_failure, row_failure, split_line,
 )
-from gridpulse.schemas import RAW_COLUMNS
-
-
-def positions_by_order(rows: DataFrame, file: str, order: list[str]) -> DataFrame:
-    """Add (split, position) to table rows whose order inside a file is given.
-
-    A range shuffle on file and order spreads a large file over tasks; the
-    partition is the split and the running id the position.
-    """
-    return (
-        rows.repartitionByRange(file, *order).sortWithinPartitions(file, *order)
-        .withColumns({
-            "split": F.spark_partition_id().cast("bigint"),
-            "position": F.monotonically_increasing_id(),
-        })
-    )
-
-
-def split_facts(positioned: DataFrame, file: str) -> DataFrame:
-    """Per (file, split): rows, first position and first failure."""
-    # position first: the smallest struct is the first failing row. The set of
-    # broken rules (a handful of labels) makes this a hash aggregate; the
-    # smallest struct alone would be found by sorting every row.
-    failing = F.when(F.col("failure").isNotNull(), F.struct("position", "failure"))
-    facts = positioned.groupBy(F.col(file).alias("filename"), "split").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("position").alias("start"),
-        F.min(failing).alias("bad"),
-        F.collect_set("failure.label").alias("rules"),
-    )
-    return facts.withColumn("bad", F.when(F.size("rules") > 0, F.col("bad"))).drop("rules")
+from gridpulse.operators.sizes import broadcast_if_small
+from gridpulse.sources.scratch import cut
 
 
 def line_split_facts(lines: DataFrame) -> DataFrame:
-    """The same from text lines, with the header taken out of the first split.
+    """Per (file, split) of text lines: rows, first position and first failure.
 
-    The list of lines that repeat the header is bounded by one split's length
-    and normally has one entry; it finds the failure of a header that turns up
-    again as a data row.
+    The file's own header is the first line of its first split and no data row.
+    A line that equals the header anywhere else is a row like any other, and
+    fails as one. Where each file starts is found first and stored, one row per
+    file, so no list of positions is ever gathered.
     """
-    header_text = ",".join(RAW_COLUMNS)
     parsed = lines.select(
         "filename", "split", "position", "value", line_failure(F.col("value")).alias("failure"))
-    in_first = F.col("split") == 0
-    repeats_header = in_first & (F.col("value") == header_text)
-    facts = parsed.groupBy("filename", "split").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.min("position").alias("start"),
-        F.min(F.when(in_first, F.struct("position", "value"))).alias("head"),
-        F.min(F.when(F.col("failure").isNotNull() & ~repeats_header,
-                     F.struct("position", "failure"))).alias("bad"),
-        F.sort_array(F.collect_list(F.when(repeats_header, F.col("position")))).alias("headers"),
-        F.min(F.when(repeats_header, F.col("failure"))).alias("header_row_failure"),
-    )
-    # the file's own header is no data row; a later copy of it is a failing one
-    again = F.get(F.filter("headers", lambda p: p > F.col("start")), F.lit(0))
-    repeated = F.when(again.isNotNull(), F.struct(
-        again.alias("position"), F.col("header_row_failure").alias("failure")))
-    own = (F.col("split") == 0).cast("bigint")
-    return facts.select(
-        "filename", "split",
-        (F.col("lines") - own).alias("rows"),
-        (F.col("start") + own).alias("start"),
-        F.when(F.col("bad.position") >= F.col("start") + own, F.least("bad", repeated))
-        .otherwise(repeated).alias("bad"),
-        F.when(F.col("split") == 0, header_failure(split_line(F.col("head.value")))).alias("header_reason"),
+    # where a file starts: one row per file, from its first split only
+    starts = cut(parsed.where(F.col("split") == 0).groupBy("filename").agg(
+        F.min(F.struct("position", "value")).alias("head")))
+    marked = parsed.join(
+        broadcast_if_small(starts.select("filename", F.col("head.position").alias("_start"))), "filename", "left")
+    data = ~((F.col("split") == 0) & F.col("position").eqNullSafe(F.col("_start")))
+    broken = data & F.col("failure").isNotNull()
+    facts = marked.groupBy("filename", "split").agg(
+        F.count_if(data).alias("rows"),
+        F.min(F.when(data, F.col("position"))).alias("start"),
+        F.min(F.when(broken, F.struct("position", "failure"))).alias("bad"),
     )
+    heads = starts.select("filename", header_failure(split_line(F.col("head.value"))).alias("header_reason"))
+    return facts.join(heads, "filename", "left")
 
 
 def verdicts(facts: DataFrame, passed_text: str = PASSED) -> DataFrame:
@@ -121,9 +82,25 @@ def verdicts(facts: DataFrame, passed_text: str = PASSED) -> DataFrame:
 
 
 def table_verdicts(rows: DataFrame, file: str, order: list[str], passed_text: str = PASSED) -> DataFrame:
-    """Verdicts of deliveries already held as rows of text columns."""
-    checked = positions_by_order(rows, file, order).withColumn("failure", row_failure())
-    return verdicts(split_facts(checked, file), passed_text)
+    """Verdicts of deliveries already held as rows of text columns, whose order is given.
+
+    Two aggregates that combine map-side, no sort and no shuffle of rows: the
+    smallest order key of a failing row per file, then how many rows of the
+    file come no later. One row per file with a failure is stored in between.
+    """
+    at = F.struct(*[F.col(c) for c in order])
+    checked = rows.select(F.col(file).alias("filename"), at.alias("_at"), row_failure().alias("failure"))
+    bad = cut(checked.where(F.col("failure").isNotNull()).groupBy("filename").agg(
+        F.min(F.struct("_at", "failure")).alias("first")))
+    placed = rows.select(F.col(file).alias("filename"), at.alias("_at")).join(
+        broadcast_if_small(bad.select("filename", F.col("first._at").alias("_bad"))), "filename", "left")
+    counts = placed.groupBy("filename").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_at") <= F.col("_bad")).alias("row_no"))
+    found = F.col("first").isNotNull()
+    failing = F.concat(F.col("first.failure.label"), F.lit(" at row "), F.col("row_no").cast("string"), F.col("first.failure.detail"))
+    return counts.join(bad, "filename", "left").select(
+        "filename", (~found).alias("valid"), F.when(found, F.col("row_no")).otherwise(F.col("rows")).alias("row_count"),
+        F.when(found, failing).otherwise(F.lit(passed_text)).alias("reason"))
 
 
 def file_verdicts(lines: DataFrame, names: DataFrame | None = None, passed_text: str = PASSED) -> DataFrame:
@@ -180,10 +157,14 @@ def ledger_entries(routed: DataFrame, processed_at) -> DataFrame:
     )
 
 
+def of_files(rows: DataFrame, files: DataFrame, file: str = "filename") -> DataFrame:
+    """The rows of the files that ``files`` lists."""
+    return rows.join(files.select(F.col("filename").alias(file)).distinct(), file, "left_semi")
+
+
 def rows_of(rows: DataFrame, routed: DataFrame, status: str, file: str = "filename") -> DataFrame:
     """The rows of all files with this status; a file goes as a whole."""
-    chosen = routed.where(F.col("status") == status).select(F.col("filename").alias(file))
-    return rows.join(chosen, file, "left_semi")
+    return of_files(rows, routed.where(F.col("status") == status), file)
 
 
 def latest_entries(ledger: DataFrame, n: int = 10) -> DataFrame:

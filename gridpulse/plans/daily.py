@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridpulse.functions.columns import parse_timestamp
@@ -23,7 +24,7 @@ from gridpulse.sources.delimited import list_files, read_lines
 from gridpulse.sources.geojson import require_cells
 from gridpulse.sources.sinks import read_ledger, verify, write_csv, write_zone
 from gridpulse.sources.tables import present, read_table
-from gridpulse.streaming.arrivals import Zones, ingest, read_raw
+from gridpulse.streaming.arrivals import Zones, ingest, ingest_new, read_raw
 
 
 @dataclass(frozen=True)
@@ -69,9 +70,32 @@ def _publish(spark, run: Run, name: str, df: DataFrame, metrics=None, rebalance=
     return spark.read.parquet(run.path(name))
 
 
-def build_detail(spark: SparkSession, run: Run, zones: Zones) -> DataFrame:
-    """Raw zone to clean and rejected rows in one pass; returns the clean rows."""
-    coerced = clean.coerce(clean.canonical_names(read_raw(spark, zones)))
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def new_files(spark: SparkSession, run: Run, zones: Zones) -> list[str]:
+    """Accepted files whose rows are not in the detail table yet.
+
+    The list is as long as a run has new deliveries. A run that broke off before
+    its rows were written is made up for by the next one.
+    """
+    accepted = read_ledger(spark, zones.ledger).where(F.col("status") == gate.ACCEPTED).select("filename").distinct()
+    done = _stored(spark, run.path("processed/detail"))
+    if done is not None:
+        accepted = accepted.join(done.select(F.col("source_filename").alias("filename")).distinct(), "filename", "left_anti")
+    return sorted(r.filename for r in accepted.collect())
+
+
+def build_detail(spark: SparkSession, run: Run, zones: Zones, files: list[str] | None = None) -> DataFrame:
+    """Raw zone to clean and rejected rows in one pass; returns all clean rows.
+
+    With ``files`` only those are read, and their partitions replaced.
+    """
+    coerced = clean.coerce(clean.canonical_names(read_raw(spark, zones, files)))
     filled = sum((F.col(m).isNull().cast("int") for m in MEASURES[1:]), F.col(MEASURES[0]).isNull().cast("int"))
     counted = coerced.withColumn("_filled", F.when(clean.is_rejected(), 0).otherwise(filled))
     table = _publish(
@@ -86,13 +110,27 @@ def build_detail(spark: SparkSession, run: Run, zones: Zones) -> DataFrame:
     return table.where(F.col("row_status") == "clean")
 
 
-def build_activity(spark: SparkSession, run: Run, detail: DataFrame, lookup: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Hourly grid, and the same rows with geometry."""
+def build_activity(spark: SparkSession, run: Run, detail: DataFrame, lookup: DataFrame,
+                   files: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Hourly grid, and the same rows with geometry.
+
+    With ``files`` only the dates that they hold are summed again, from the
+    detail rows of all files with these dates, and replaced in both tables.
+    """
+    before = None
+    if files is not None:
+        dates = [r.date for r in detail.where(F.col("source_filename").isin(files)).select("date").distinct().collect()]
+        affected = F.col("date").isin(dates)
+        detail = detail.where(affected)
+        before = _stored(spark, run.path("processed/hourly_grid"))
+    kept = 0 if before is None else before.where(~affected).count()
     hourly = _publish(spark, run, "processed/hourly_grid", aggregate.hourly_grid(detail), rebalance=True)
-    geo = enrich.enrich(hourly, lookup)
+    run.metrics["processed/hourly_grid"] = {"rows": run.metrics["processed/hourly_grid"]["rows"] + kept}
+    fresh = hourly if files is None else hourly.where(affected)
     # the storage partition is the date, which the published columns leave out
-    dated = geo.withColumn("date", F.to_date("timestamp"))
+    dated = enrich.enrich(fresh, lookup).withColumn("date", F.to_date("timestamp"))
     activity = _publish(spark, run, "processed/activity", dated).select(*ACTIVITY_COLUMNS)
+    run.metrics["processed/activity"] = {"rows": run.metrics["processed/activity"]["rows"] + kept}
     # one row per timestamp and cell already: summing again would change nothing
     _publish(spark, run, "analytics/hourly_grid_summary", activity)
     return hourly, activity
@@ -160,27 +198,38 @@ def validate_landing(spark: SparkSession, landing: str, out: str) -> DataFrame:
     return spark.read.schema("file_path string, valid boolean, row_count bigint, reason string").json(out)
 
 
-def quality(run: Run, detail: DataFrame, hourly: DataFrame, lookup: DataFrame, expected: Expected) -> DataFrame:
-    """The check table of one run."""
+def quality(run: Run, detail: DataFrame, hourly: DataFrame, activity: DataFrame, lookup: DataFrame,
+            star_tables: tuple[DataFrame, DataFrame, DataFrame], expected: Expected, earlier_rows: int = 0) -> DataFrame:
+    """The check table of one run; ``earlier_rows`` are clean rows of earlier runs."""
     m = run.metrics["processed/detail"]
     detail_rules = Rules(
         grain=CLEAN_GRAIN, required=CLEAN_COLUMNS, not_null=[c for c in CLEAN_COLUMNS if c != "country_code"],
-        non_negative=[*MEASURES, *TOTALS], rows=m["rows"] - m["rejected_rows"], all_hours=True)
+        non_negative=[*MEASURES, *TOTALS], rows=earlier_rows + m["rows"] - m["rejected_rows"], all_hours=True)
     bound = expected.timestamps and expected.cells and expected.timestamps * expected.cells
     hourly_rules = Rules(
         grain=HOURLY_GRAIN, required=HOURLY_COLUMNS, forbidden=["country_code"], not_null=HOURLY_COLUMNS,
         non_negative=[*MEASURES, *TOTALS], rows=run.metrics["processed/hourly_grid"]["rows"],
-        max_rows=bound, fewer_rows_than=m["clean_rows"] + 1, all_hours=True,
+        max_rows=bound, fewer_rows_than=earlier_rows + m["clean_rows"] + 1, all_hours=True,
         distinct={"timestamp": expected.timestamps} if expected.timestamps else {},
         distinct_dates=expected.dates,
         id_range=("grid_id", expected.cells) if expected.cells else None)
+    features = lookup.select(
+        F.lit("FeatureCollection").alias("document_type"), F.col("grid_id").cast("string").alias("cell_id"), "geometry")
+    broken = star.constraint_summary(*star_tables).agg(F.sum("violations").alias("violations"))
     parts = [
         checks.table_checks(detail, "clean", detail_rules),
         checks.table_checks(hourly, "hourly grid", hourly_rules),
+        checks.reference_checks(features, "reference", expected.cells),
+        checks.cadence_check(detail),
         checks.gap_check(ordering.timestamp_gaps(hourly)),
         checks.value_check(enrich.coverage(hourly, lookup), "enriched", "coverage percent", "coverage_pct", 100.0),
+        checks.preserved_check(hourly, activity, "enriched", "join keeps rows"),
+        checks.value_check(
+            compare.key_sets(hourly.select("grid_id"), lookup.select("grid_id"), ["grid_id"]),
+            "enriched", "cells beyond the reference", "only_left", 0),
         checks.value_check(compare.reconcile(detail, hourly), "hourly grid", "keys that do not reconcile",
                            "mismatched_keys", 0),
+        checks.value_check(broken, "warehouse", "broken constraints", "violations", 0),
     ]
     if expected.files is not None:
         parts.append(checks.file_count_check(detail, expected.files))
@@ -188,23 +237,42 @@ def quality(run: Run, detail: DataFrame, hourly: DataFrame, lookup: DataFrame, e
 
 
 def run_day(spark: SparkSession, landing: str, root: str, lookup: DataFrame, run_id: str,
-            expected: Expected = Expected(), strict: bool = False) -> Run:
-    """Gate, clean, aggregate, enrich, roll up, alert, load, check and record."""
+            expected: Expected = Expected(), strict: bool = False, rebuild: bool = False) -> Run:
+    """Gate, clean, aggregate, enrich, roll up, alert, load, check and record.
+
+    A run judges the files that are new in the landing zone, reads only these
+    from the raw zone and replaces only the dates they hold; rollups over all
+    dates, alerts and the warehouse follow from the hourly table. ``rebuild``
+    judges all of landing again and makes every table anew.
+    """
     run, zones = Run(root), Zones(root)
     require_cells(lookup)
     tasks = {}
-    ingest(spark, landing, zones)
+    if rebuild:
+        ingest(spark, landing, zones)
+    else:
+        ingest_new(spark, landing, zones, run.path("logs/arrivals"))
     tasks["ingest"] = "SUCCESS"
-    detail = build_detail(spark, run, zones)
-    hourly, activity = build_activity(spark, run, detail, lookup)
-    build_rollups(spark, run, hourly)
-    build_alerts(spark, run, hourly)
+    done = _stored(spark, run.path("processed/detail"))
+    files = None if rebuild or done is None else new_files(spark, run, zones)
+    earlier = done.where(F.col("row_status") == "clean").count() if files is not None else 0
+    if files == []:
+        run.metrics = {"processed/detail": dict.fromkeys(["rows", "rejected_rows", "clean_rows", "nulls_handled"], 0)}
+        read = lambda n: spark.read.parquet(run.path(n))
+        detail, hourly = read("processed/detail").where(F.col("row_status") == "clean"), read("processed/hourly_grid")
+        activity = read("processed/activity")
+        run.metrics |= {n: {"rows": hourly.count()} for n in ("processed/hourly_grid", "processed/activity")}
+    else:
+        detail = build_detail(spark, run, zones, files)
+        hourly, activity = build_activity(spark, run, detail, lookup, files)
+        build_rollups(spark, run, hourly)
+        build_alerts(spark, run, hourly)
     tasks["spark_process"] = "SUCCESS"
     fact, times, grids = build_star(spark, run, hourly, lookup)
     tasks["load_warehouse"] = "SUCCESS"
 
     verify(spark, run.path("processed/activity"), run.metrics["processed/hourly_grid"]["rows"])
-    verdicts = quality(run, detail, hourly, lookup, expected)
+    verdicts = quality(run, detail, hourly, activity, lookup, (fact, times, grids), expected, earlier)
     write_zone(verdicts, run.path("logs/quality"), "analytics")
     stored = read_table(spark, run.path("logs/quality"))
     failed = stored.where(~F.col("passed")).limit(1).count()

@@ -28,7 +28,7 @@ ZONES = {
     "rejected": Zone("text", "overwrite", ("source_filename",), dynamic=True),
     "reference": Zone("json", "errorifexists"),
     "processed": Zone("parquet", "overwrite", ("date",), dynamic=True),
-    "detail": Zone("parquet", "overwrite", ("row_status", "date"), dynamic=True),
+    "detail": Zone("parquet", "overwrite", ("row_status", "source_filename"), dynamic=True),
     "processed_append": Zone("parquet", "append", ("date",)),
     "analytics": Zone("parquet", "overwrite"),
     "analytics_append": Zone("parquet", "append"),

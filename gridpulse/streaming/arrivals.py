@@ -6,6 +6,7 @@ the ledger is appended last, so a repeated attempt ends in the same state.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -59,19 +60,12 @@ def has_glob_name(names: list[str]) -> bool:
     return any(GLOB_CHARACTERS & set(n) for n in names)
 
 
-def lines_of(spark: SparkSession, landing: str, names: list[str], pattern: str = FILE_PATTERN) -> DataFrame:
-    """Lines of the named files only: read by path, or, when a name cannot be
-    a path, by a scan of the folder that keeps these files."""
-    if has_glob_name(names):
-        return read_lines(spark, landing, pattern).where(F.col("filename").isin(names))
-    return positioned(with_origin(spark.read.text([f"{landing}/{n}" for n in names])))
-
-
-def settle(spark: SparkSession, landing: str, zones: Zones, verdict: DataFrame,
+def settle(spark: SparkSession, lines: DataFrame, zones: Zones, verdict: DataFrame,
            processed_at: datetime | None = None) -> DataFrame:
-    """Route judged files, write each to its zone, record them; returns the routing.
+    """Route judged files, write the lines of each to its zone, record them; returns the routing.
 
     The ledger tells which names a zone already holds, so no zone is scanned.
+    Lines find their file's status by a join; names never pass the driver.
     """
     stamp = processed_at or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     ledger = read_ledger(spark, zones.ledger)
@@ -79,15 +73,14 @@ def settle(spark: SparkSession, landing: str, zones: Zones, verdict: DataFrame,
     # one row per file, needed by the jobs below
     routed = cut(gate.route(verdict, known[gate.ACCEPTED], known[gate.REJECTED]))
 
-    def named(status: str) -> list[str]:
-        with_lines = (F.col("status") == status) & (F.col("reason") != EMPTY_FILE)
-        return [r.filename for r in routed.where(with_lines).select("filename").collect()]
+    def of(status: str) -> DataFrame | None:
+        chosen = routed.where((F.col("status") == status) & (F.col("reason") != EMPTY_FILE))
+        return None if chosen.isEmpty() else gate.rows_of(lines, routed, status)
 
-    if good := named(gate.ACCEPTED):
-        write_zone(delivered_rows(lines_of(spark, landing, good)), zones.raw, "raw")
-    if bad := named(gate.REJECTED):
-        lines = lines_of(spark, landing, bad).select(F.col("filename").alias("source_filename"), "value")
-        write_zone(lines, zones.rejected, "rejected")
+    if (good := of(gate.ACCEPTED)) is not None:
+        write_zone(delivered_rows(good), zones.raw, "raw")
+    if (bad := of(gate.REJECTED)) is not None:
+        write_zone(bad.select(F.col("filename").alias("source_filename"), "value"), zones.rejected, "rejected")
     append_ledger(gate.ledger_entries(routed, stamp), zones.ledger)
     return routed
 
@@ -95,8 +88,9 @@ def settle(spark: SparkSession, landing: str, zones: Zones, verdict: DataFrame,
 def ingest(spark: SparkSession, landing: str, zones: Zones, pattern: str = FILE_PATTERN,
            processed_at: datetime | None = None) -> DataFrame:
     """One batch run over everything in the landing zone."""
-    verdict = gate.file_verdicts(read_lines(spark, landing, pattern), list_files(spark, landing, pattern))
-    return settle(spark, landing, zones, verdict, processed_at)
+    lines = read_lines(spark, landing, pattern)
+    verdict = gate.file_verdicts(lines, list_files(spark, landing, pattern))
+    return settle(spark, lines, zones, verdict, processed_at)
 
 
 def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
@@ -114,13 +108,15 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
     )
 
     def take(batch: DataFrame, _id: int) -> None:
-        session = batch.sparkSession
-        verdict = cut(gate.file_verdicts(positioned(batch)))
+        session, lines = batch.sparkSession, positioned(batch)
+        verdict = cut(gate.file_verdicts(lines))
+        # bounded by files_per_batch
         names = [r.filename for r in verdict.select("filename").collect()]
         if has_glob_name(names):
-            # the file stream reads other files twice next to such a name
-            verdict = gate.file_verdicts(lines_of(session, landing, names, pattern))
-        settle(session, landing, zones, verdict)
+            # the file stream reads other files twice next to such a name: its batch is read from the folder
+            lines = gate.of_files(read_lines(session, landing, pattern), verdict)
+            verdict = gate.file_verdicts(lines)
+        settle(session, lines, zones, verdict)
 
     run = (
         with_origin(arriving).writeStream.foreachBatch(take)
@@ -132,10 +128,19 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
     silent = cut(listed.join(recorded, "filename", "left_anti"))
     if not silent.isEmpty():
         no_lines = read_lines(spark, landing, pattern).where(F.lit(False))
-        settle(spark, landing, zones, gate.file_verdicts(no_lines, silent))
+        settle(spark, no_lines, zones, gate.file_verdicts(no_lines, silent))
 
 
-def read_raw(spark: SparkSession, zones: Zones) -> DataFrame:
-    """Rows of all accepted deliveries, as text, with their file."""
+def read_raw(spark: SparkSession, zones: Zones, files: list[str] | None = None) -> DataFrame:
+    """Rows of accepted deliveries, as text, with their file: of all, or of some files only.
+
+    The raw zone has a partition per file, so the others are not even listed; a
+    name that cannot stand in a path is found by a filter on the partition.
+    """
     schema = StructType([*RAW_TEXT_SCHEMA.fields, StructField("source_filename", StringType())])
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(zones.raw)
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"')
+    if files is None:
+        return reader.csv(zones.raw)
+    if files and all(re.fullmatch(r"[\w.+-]+", f) for f in files):
+        return reader.option("basePath", zones.raw).csv([f"{zones.raw}/source_filename={f}" for f in files])
+    return reader.csv(zones.raw).where(F.col("source_filename").isin(files))

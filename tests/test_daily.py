@@ -78,13 +78,46 @@ def test_strict_run_raises(spark, sf, landing, tmp_path):
 
 def test_rerun_changes_nothing(spark, sf, landing, tmp_path):
     root, cells = str(tmp_path / "lake"), fixture.cell_lookup(spark, sf)
-    first = daily.run_day(spark, str(landing), root, cells, "a")
-    second = daily.run_day(spark, str(landing), root, cells, "b")
+    first = daily.run_day(spark, str(landing), root, cells, "a", rebuild=True)
+    second = daily.run_day(spark, str(landing), root, cells, "b", rebuild=True)
     assert first.metrics == second.metrics
     statuses = {r.status: r["count"] for r in sinks.read_ledger(spark, Zones(root).ledger).groupBy("status").count().collect()}
     assert statuses == {"ACCEPTED": 25, "REJECTED": 5, "SKIPPED_DUPLICATE": 25, "REJECTED_DUPLICATE": 5}
 
 
+def test_a_new_day_reads_only_its_file(spark, sf, landing, tmp_path, monkeypatch):
+    import shutil
+
+    root, cells, early = str(tmp_path / "lake"), fixture.cell_lookup(spark, sf), tmp_path / "landing"
+    early.mkdir()
+    names = sorted(p.name for p in landing.glob("*.csv"))
+    late = "sms-call-internet-mi-2024-01-09.csv"
+    for n in names:
+        if n != late:
+            shutil.copy(landing / n, early / n)
+    first = daily.run_day(spark, str(early), root, cells, "one")
+    seen = []
+    monkeypatch.setattr(daily, "read_raw", lambda *a: seen.append(read_raw(*a)) or seen[-1])
+    shutil.copy(landing / late, early / late)
+    second = daily.run_day(spark, str(early), root, cells, "two")
+    assert [f"source_filename={late}/" in f for df in seen for f in df.inputFiles()] == [True]
+    assert 0 < second.metrics["processed/detail"]["rows"] < first.metrics["processed/detail"]["rows"]
+    third = daily.run_day(spark, str(early), root, cells, "three")
+    assert third.metrics["processed/detail"]["rows"] == 0 and len(seen) == 1
+    whole = daily.run_day(spark, str(landing), str(tmp_path / "whole"), cells, "all", rebuild=True)
+
+    def table(run, name):  # sums over all dates add up in another order
+        df = spark.read.parquet(run.path(name))
+        return df.select(*[F.round(c, 6).alias(c) if t == "double" else c for c, t in sorted(df.dtypes)])
+
+    for name in daily.TABLES:
+        a, b = table(second, name), table(whole, name)
+        assert a.select(*b.columns).exceptAll(b).count() == 0 and a.count() == b.count(), name
+    observed = {(r.dataset, r.check_name): r.passed for r in spark.read.parquet(second.path("logs/quality")).collect()}
+    assert observed["clean", "exact row count"] and observed["hourly grid", "exact row count"]
+    assert observed["enriched", "join keeps rows"] and observed["warehouse", "broken constraints"]
+
+
 def test_exports_and_delivery_summary(spark, run):
     daily.export_csv(spark, run)
     head = spark.read.text(run.path("exports/grid_hour_activity")).first()[0]
