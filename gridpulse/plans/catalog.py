@@ -491,6 +491,13 @@ def grid_centroids(spark, sf_dir):
     return _round(enrich.centroids(fixture.cell_lookup(spark, sf_dir)), "longitude", "latitude", decimals=6)
 
 
+@query
+def odd_centroids(spark, sf_dir):
+    """Centroids of MultiPolygons, triangles and cells without a geometry."""
+    cells = fixture.cell_lookup(spark, sf_dir).withColumn("geometry", fixture.odd_geometry(F.col("grid_id")))
+    return _round(enrich.centroids(cells), "longitude", "latitude", decimals=5)
+
+
 @query
 def enriched_activity(spark, sf_dir):
     """Left join to a lookup of all cells but one; rows are preserved."""

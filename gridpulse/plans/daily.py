@@ -161,11 +161,11 @@ def build_star(spark: SparkSession, run: Run, hourly: DataFrame, lookup: DataFra
 def export_csv(spark: SparkSession, run: Run) -> None:
     """Header CSVs of the summaries, the hourly grid with day names, and alerts."""
     read = lambda n: spark.read.parquet(run.path(n))
-    hourly = aggregate.with_day_names(read("processed/hourly_grid")).select(*HOURLY_COLUMNS)
+    hourly = aggregate.with_day_names(read("processed/hourly_grid")).select(*HOURLY_COLUMNS).orderBy("timestamp", "grid_id")
     write_csv(read("analytics/daily_kpi").orderBy("date"), run.path("exports/daily_summary"))
     write_csv(read("analytics/grid_kpi").orderBy("grid_id"), run.path("exports/grid_summary"))
     write_csv(hourly, run.path("exports/grid_hour_activity"))
-    write_csv(read("analytics/alerts"), run.path("exports/alerts"))
+    write_csv(read("analytics/alerts").orderBy("timestamp", "alert_id"), run.path("exports/alerts"))
 
 
 def delivery_totals(text: DataFrame) -> DataFrame:

@@ -80,6 +80,24 @@ def square_geometry(g: Column) -> Column:
     return F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
 
 
+def odd_geometry(g: Column) -> Column:
+    """GeoJSON text of other shapes: two squares side by side, or a triangle, by the cell's number."""
+    col = ((g - 1) % 100).cast("double")
+    row = F.floor((g - 1) / 100).cast("double")
+    x, y = F.lit(9.0) + col * 0.003, F.lit(45.3) + row * 0.003
+
+    def ring(*corners):
+        return F.array(*[F.array(F.round(x + dx, 6), F.round(y + dy, 6)) for dx, dy in corners])
+
+    first = ring((0, 0), (0.002, 0), (0.002, 0.002), (0, 0.002), (0, 0))
+    second = ring((0.01, 0), (0.012, 0), (0.012, 0.002), (0.01, 0.002), (0.01, 0))
+    triangle = ring((0, 0), (0.003, 0), (0, 0.006), (0, 0))
+    return F.when(g % 3 == 1, F.to_json(F.struct(
+        F.lit("MultiPolygon").alias("type"), F.array(F.array(first), F.array(second)).alias("coordinates"),
+    ))).when(g % 3 == 2, F.to_json(F.struct(
+        F.lit("Polygon").alias("type"), F.array(triangle).alias("coordinates"))))
+
+
 def cell_lookup(spark: SparkSession, sf_dir: str, skip: Column | None = None) -> DataFrame:
     """(grid_id, geometry) of every user's cell, without those where ``skip`` holds."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")

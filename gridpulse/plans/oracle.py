@@ -526,6 +526,11 @@ SELECT DISTINCT source_filename, day(h) > 20 AS valid,
 FROM raw"""),
         "grid_centroids": f"""
 SELECT g AS grid_id, round({_X} + 0.001, 6) AS longitude, round({_Y} + 0.001, 6) AS latitude
+FROM (SELECT DISTINCT user_id + 1 AS g FROM events)""".replace(
+            "9.0 +", "CAST(9.0 AS DOUBLE) +").replace("45.3 +", "CAST(45.3 AS DOUBLE) +"),
+        "odd_centroids": f"""
+SELECT g AS grid_id, CASE g % 3 WHEN 1 THEN round({_X} + 0.006, 5) WHEN 2 THEN round({_X} + 0.001, 5) END AS longitude,
+       CASE g % 3 WHEN 1 THEN round({_Y} + 0.001, 5) WHEN 2 THEN round({_Y} + 0.002, 5) END AS latitude
 FROM (SELECT DISTINCT user_id + 1 AS g FROM events)""".replace(
             "9.0 +", "CAST(9.0 AS DOUBLE) +").replace("45.3 +", "CAST(45.3 AS DOUBLE) +"),
         "enriched_activity": _with(HOURLY + LACKING, f"""
