@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridpulse.llm.components import components
 from gridpulse.llm.packed import packed_texts, unpacked
-from gridpulse.llm.texthash import groups, shingle_hashes, word_hashes
+from gridpulse.llm.texthash import groups, mix, shingle_hashes, word_hashes
 from gridpulse.sources.scratch import cut
 
 TREES = 16
 DEPTH = 6  # MinHash values in the key of a tree
 LEAST_DEPTH = 4  # common values that make neighbours candidates
-NEIGHBOURS = 3  # how far along a sorted order candidates are taken
+NEIGHBOURS = 5  # how far along a sorted order candidates are taken
 SLACK = 0.16  # candidates may seem that much less similar by signature (over 4 standard deviations)
 
 _SIGNATURE = TREES * DEPTH
@@ -86,16 +86,17 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 def candidates(classes: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of neighbours with a common prefix in some tree."""
     spark = classes.sparkSession
-    size = 4 * DEPTH
 
     def keys(batches):
         for b in batches:
-            ids, sigs = b.column("rep"), b.column("signature").to_pylist()
+            ids, n = b.column("rep"), b.num_rows
+            values = np.frombuffer(b"".join(b.column("signature").to_pylist()), ">u4").reshape(n, TREES, DEPTH)
             for t in range(TREES):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(ids), t, np.int32)),
-                    pa.array([s[t * size: (t + 1) * size] for s in sigs], pa.binary()), ids,
-                ], ["tree", "key", "rep"])
+                # classes with equal keys come in another order in every tree, so each meets many of a crowded region
+                tie = mix(ids.to_numpy().view(np.uint64) * np.uint64(2 * t + 1) + np.uint64(t)) >> np.uint64(32)
+                key = np.column_stack([values[:, t], tie.astype(np.uint32)]).astype(">u4")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, t, np.int32)), pa.array([k.tobytes() for k in key], pa.binary()), ids], ["tree", "key", "rep"])
 
     def neighbours(edges: bool):
         def run(batches):
@@ -128,7 +129,7 @@ def candidates(classes: DataFrame) -> DataFrame:
 
 def _decoded(batch):
     keys = batch.column("key").cast(pa.binary()).to_pylist()
-    values = np.frombuffer(b"".join(keys), ">u4").reshape(len(keys), DEPTH)
+    values = np.frombuffer(b"".join(keys), ">u4").reshape(len(keys), DEPTH + 1)
     return batch.column("tree").to_numpy(), values, batch.column("rep").to_numpy()
 
 
