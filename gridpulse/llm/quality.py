@@ -18,6 +18,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridpulse.functions.columns import let
 from gridpulse.sources.scratch import cut
 
 TRAIN_ROWS = 20_000
@@ -61,16 +62,16 @@ class RuleModel:
     bias: float
     constant: float | None = None
 
-    def score(self) -> Column:
-        """Probability of label 1, from columns named as the statistics."""
+    def score(self, at=F.col) -> Column:
+        """Probability of label 1; ``at`` gives the statistic of a name, by default a column."""
         if self.constant is not None:
             return F.lit(float(self.constant))
-        terms = [F.when(rule_column(rule), F.lit(w)).otherwise(0.0) for rule, w in self.rules]
+        terms = [F.when(rule_column(rule, at), F.lit(w)).otherwise(0.0) for rule, w in self.rules]
         return 1.0 / (1.0 + F.exp(-reduce(add, terms, F.lit(self.bias))))
 
 
-def rule_column(rule: tuple[Condition, ...]) -> Column:
-    return reduce(and_, (F.col(n) <= F.lit(t) if at_most else F.col(n) > F.lit(t) for n, at_most, t in rule))
+def rule_column(rule: tuple[Condition, ...], at=F.col) -> Column:
+    return reduce(and_, (at(n) <= F.lit(t) if at_most else at(n) > F.lit(t) for n, at_most, t in rule))
 
 
 def _paths(node, so_far: tuple[Condition, ...] = ()):
@@ -138,8 +139,12 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, t
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts, all their columns unchanged; no shuffle of texts."""
+    """The rows of ``docs`` that the classifier accepts, all their columns unchanged; no shuffle of texts.
+
+    The statistics are bound once per row: as plain columns under a filter the optimizer would put each of them into
+    every rule that reads it, and count the same text again and again.
+    """
     model = train_model(cut(text_statistics(docs)), labels, train_rows)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    named = docs.select(F.struct(*docs.columns).alias("_row"), *(c.alias(n) for n, c in statistics(text).items()))
-    return named.where(model.score() >= threshold).select("_row.*")
+    measured = F.struct(*(c.alias(n) for n, c in statistics(text).items()))
+    return docs.where(let(measured, lambda s: model.score(lambda name: s[name])) >= threshold)
