@@ -375,6 +375,17 @@ def star_constraints(spark, sf_dir):
     return star.constraint_summary(fact, times, grids)
 
 
+@query
+def broken_constraints(spark, sf_dir):
+    """The constraints of a warehouse in which each kind of damage occurs."""
+    _, fact, times, grids = _stored_star(spark, sf_dir)
+    cell = F.col("grid_id")
+    bad_fact = cut(fact.unionByName(fact.where(cell == 3)).withColumn("sms_in", F.when(cell != 5, F.col("sms_in"))))
+    early = times.where(F.col("timestamp") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    bad_grids = grids.where(cell != 6).unionByName(grids.where(cell == 4))
+    return star.constraint_summary(bad_fact, early, bad_grids)
+
+
 @query
 def report_top_grids(spark, sf_dir):
     return reports.leading_cells(_fact_and_time(spark, sf_dir)[0], "total_activity", "total_activity")

@@ -479,6 +479,19 @@ UNION ALL SELECT 'fact measures not null', count(*) FILTER (WHERE sms_in + sms_o
 UNION ALL SELECT 'fact time foreign key', count(*) FROM fact WHERE time_id NOT IN (SELECT time_id FROM dim_time)
 UNION ALL SELECT 'fact grid foreign key', count(*) FROM fact
     WHERE grid_id NOT IN (SELECT user_id + 1 FROM events)"""),
+        "broken_constraints": _with(STAR + """,
+bad AS (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE grid_id = 3),
+early AS (SELECT * FROM dim_time WHERE timestamp < TIMESTAMP '2024-01-02 00:00:00'),
+cells AS (SELECT DISTINCT grid_id FROM hourly WHERE grid_id <> 6),
+grids AS (SELECT * FROM cells UNION ALL SELECT * FROM cells WHERE grid_id = 4)
+""", """
+SELECT 'dim_time primary key' AS constraint_name, count(*) - count(DISTINCT time_id) AS violations FROM early
+UNION ALL SELECT 'dim_time unique timestamp', count(*) - count(DISTINCT timestamp) FROM early
+UNION ALL SELECT 'dim_grid primary key', count(*) - count(DISTINCT grid_id) FROM grids
+UNION ALL SELECT 'fact primary key', count(*) - count(DISTINCT (time_id, grid_id)) FROM bad
+UNION ALL SELECT 'fact measures not null', count(*) FROM bad WHERE grid_id = 5
+UNION ALL SELECT 'fact time foreign key', count(*) FROM bad WHERE time_id NOT IN (SELECT time_id FROM early)
+UNION ALL SELECT 'fact grid foreign key', count(*) FROM bad WHERE grid_id NOT IN (SELECT grid_id FROM grids)"""),
         "report_top_grids": _with(HOURLY, _leading("total_activity", "total_activity")),
         "report_hourly_trend": _with(HOURLY, """
 SELECT hour, round(sum(total_activity), 2) AS total_activity, round(sum(internet_activity), 2) AS internet_activity
