@@ -25,7 +25,7 @@ from gridpulse.sources.scratch import cut
 TREES = 16
 DEPTH = 6  # MinHash values in the key of a tree
 LEAST_DEPTH = 4  # common values that make neighbours candidates
-NEIGHBOURS = 5  # how far along a sorted order candidates are taken
+NEIGHBOURS = 3  # how far along a sorted order candidates are taken
 SLACK = 0.16  # candidates may seem that much less similar by signature (over 4 standard deviations)
 
 _SIGNATURE = TREES * DEPTH
@@ -185,7 +185,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                     [b.column("doc_id").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(offsets), values)],
                     ["id", "shingles"])
 
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b"))).distinct()
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # the ids grow with the input: never a broadcast, at any size
     needed = packed_texts(texts).join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi")
