@@ -43,9 +43,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with the words that the mix takes of each, its source's size and target."""
-    plan = mixing.mix(docs).select(
-        F.col("doc_id").alias("_id"), "size", "source_size", "target", "taken").hint("merge")
-    return docs.join(plan, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    return mixing.mix(docs, whole=True)
 
 
 STAGES = [

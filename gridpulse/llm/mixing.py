@@ -94,18 +94,23 @@ def _shard_seats(shards: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, ratio: float = 1.5, most: int = 2, weights=WEIGHTS, block: int = BLOCK,
-        shard: int = SHARD, seed: int = 42) -> DataFrame:
+        shard: int = SHARD, seed: int = 42, whole: bool = False) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target (words of its source), taken.
 
+    ``whole`` gives all columns of ``docs`` in place of doc_id and source. No key is unique (ids may be null or
+    repeated), so the rows are carried through, not joined back.
+
     Sources in order of their code points, null last, get ``weights`` in turn and share ``ratio`` of all words; no
     target is above ``most`` times its source's size. ``taken`` counts words with repeats; it is at most ``most`` times
     the document's size. The same rows give the same mix, in whatever order they are read. Null and empty texts have no
-    words and nothing taken; repeated rows are documents of their own; a null doc_id is dealt like any other. A table
-    without words gives targets of 0, an empty one no rows. Other columns are ignored.
+    words and nothing taken; repeated rows are documents of their own; rows with a null doc_id are dealt by their
+    text. A table without words gives targets of 0, an empty one no rows. Other columns are ignored.
     """
+    text = F.col("text").cast("string")
     sized = cut(docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        word_count(F.col("text").cast("string")).alias("size"),
+        word_count(text).alias("size"), F.xxhash64(text).alias("_th"),
+        *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")] if whole else []),
     ).withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "size")))
 
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -113,7 +118,7 @@ def mix(docs: DataFrame, ratio: float = 1.5, most: int = 2, weights=WEIGHTS, blo
     parts = F.ceil(F.col("source_size") / shard) + 1
     right = targets.select(F.col("source").alias("_source"), parts.alias("_parts"))
     dealt = sized.join(right, sized.source.eqNullSafe(right["_source"])).withColumn(
-        "shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.col("_parts"))).drop("_source", "_parts")
+        "shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.coalesce("doc_id", "_th")), F.col("_parts"))).drop("_source", "_parts")
 
     shards = dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     blocks = F.ceil(F.col("shard_size") / block)
@@ -121,11 +126,12 @@ def mix(docs: DataFrame, ratio: float = 1.5, most: int = 2, weights=WEIGHTS, blo
     seats = cut(_shard_seats(shards.join(named, shards.source.eqNullSafe(named["_source"])).select(
         "source", "shard", "shard_size", blocks.alias("blocks"), (blocks * most).alias("most"), "seats", "source_size", "target")))
 
-    stream = W.partitionBy("source", "shard").orderBy("_order", "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    stream = W.partitionBy("source", "shard").orderBy("_order", "doc_id", "_th").rowsBetween(W.unboundedPreceding, W.currentRow)
     laid = dealt.withColumn("_end", F.sum("size").over(stream)).withColumn("_start", F.col("_end") - F.col("size"))
     quota = seats.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "blocks", "seats", "source_size", "target")
     placed = laid.join(quota, laid.source.eqNullSafe(quota["_source"]) & (laid.shard == quota["_shard"]))
-    return placed.select("doc_id", "source", "size", "source_size", "target", _taken(block).alias("taken"))
+    own = ["_row.*"] if whole else ["doc_id", "source"]
+    return placed.select(*own, "size", "source_size", "target", _taken(block).alias("taken"))
 
 
 def _taken(block: int) -> Column:

@@ -56,6 +56,20 @@ def test_mixing_stage(spark, docs):
     assert all(0 <= r.taken <= 2 * len(brute.WORD.findall(r.text or "")) for r in mix.collect())
 
 
+def test_mixing_stage_keeps_rows_without_a_key_of_their_own(spark, docs):
+    """Null ids, repeated rows and two texts of one id come out once each, with their own size."""
+    more = [(None, "a second text of six words", None, "src1", 26), (None, "a second text of six words", None, "src1", 26),
+            (-2, "one", "en", "src1", 3), (-2, "two words", "en", "src1", 9), (-3, "five", "en", "src1", 4), (-3, "four", "en", "src1", 4)]
+    docs = docs.unionAll(spark.createDataFrame(more, docs.schema))
+    one = pipeline.mixed(spark, docs, SF)
+    assert one.columns == [*COLUMNS, "size", "source_size", "target", "taken"]
+    assert brute.by_none(rows(one)) == brute.by_none(rows(docs))
+    got = one.collect()
+    assert all(r["size"] == len(brute.WORD.findall(r.text or "")) and 0 <= r.taken <= 2 * r["size"] for r in got)
+    two = pipeline.mixed(spark, docs.orderBy("text").repartition(5), SF).collect()
+    assert sorted(map(str, got)) == sorted(map(str, two))
+
+
 def test_stages_and_run(spark):
     assert [n for n, _ in pipeline.STAGES] == ["quality_classifier", "near_dedup", "decontamination", "personal_data", "mixing"]
     out = entry.queries()["pipeline"](spark, SF)
