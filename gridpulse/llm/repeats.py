@@ -35,10 +35,10 @@ BUCKET = 32768  # contexts of one gram that a task sorts
 
 
 def _base(docs: DataFrame) -> DataFrame:
-    """Rows with a key that holds for null and repeated ids: doc_id and 16 bits of the text."""
+    """Rows with a key that holds for null and repeated ids: doc_id and a hash of the text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.pmod(F.xxhash64(text), F.lit(1 << 16)).alias("th"), text.alias("text"))
+                       F.xxhash64(text).alias("th"), text.alias("text"))
 
 
 def _smallest(keys: np.ndarray, w: int) -> np.ndarray:
@@ -78,11 +78,11 @@ def find_anchors(data: np.ndarray, at: np.ndarray, length: int, gram: int):
 
 
 def entries(base: DataFrame, length: int, gram: int) -> DataFrame:
-    """One row per anchor and run of windows: doc_id, place (anchor, th, left, right in one number), hk, hc."""
+    """One row per anchor and run of windows: doc_id, th, place (anchor, left, right in one number), hk, hc."""
 
     def run(batches):
         for b in batches:
-            ids, ths = b.column("doc_id"), b.column("th").to_numpy()
+            ids, ths = b.column("doc_id"), b.column("th")
             for lo, hi, data, at in groups(b.column("text")):
                 for s in range(0, max(1, len(data)), PIECE_BYTES) if hi - lo == 1 else (0,):
                     part = data[s: s + PIECE_BYTES + length - 1] if hi - lo == 1 else data
@@ -91,12 +91,13 @@ def entries(base: DataFrame, length: int, gram: int) -> DataFrame:
                     if not len(a):
                         continue
                     local = a - bounds[text] + s
-                    place = (local << 32) | (ths[lo + text] << 16) | ((a - first) << 8) | (end - a)
+                    place = (local << 16) | ((a - first) << 8) | (end - a)
+                    rows = pa.array(lo + text)
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(lo + text)), pa.array(place), pa.array(hk.view(np.int64)), pa.array(hc.view(np.int64))],
-                        ["doc_id", "place", "hk", "hc"])
+                        [ids.take(rows), ths.take(rows), pa.array(place), pa.array(hk.view(np.int64)), pa.array(hc.view(np.int64))],
+                        ["doc_id", "th", "place", "hk", "hc"])
 
-    return base.mapInArrow(run, "doc_id bigint, place bigint, hk bigint, hc bigint")
+    return base.mapInArrow(run, "doc_id bigint, th bigint, place bigint, hk bigint, hc bigint")
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -146,7 +147,7 @@ def bucket_spans(contexts: list[bytes], lefts: list[int], length: int, gram: int
 
 def _place(name="place"):
     place = F.col(name)
-    return F.shiftright(place, 32), F.shiftright(place, 8).bitwiseAND(255), place.bitwiseAND(255)
+    return F.shiftright(place, 16), F.shiftright(place, 8).bitwiseAND(255), place.bitwiseAND(255)
 
 
 def _with_texts(base: DataFrame, wanted: DataFrame, how: str) -> DataFrame:
@@ -167,16 +168,16 @@ def _contexts(base: DataFrame, wanted: DataFrame) -> DataFrame:
             values = flat.field("place").to_numpy(zero_copy_only=False)
             for row, text in enumerate(unpacked(b.column("packed"))):
                 for v in values[ends[row] - ends[0]: ends[row + 1] - ends[0]].tolist():
-                    a = v >> 32
+                    a = v >> 16
                     texts.append(text[a - (v >> 8 & 255): a + (v & 255)])
                     rows.append(row)
-            columns = [b.column("doc_id").take(pa.array(rows, pa.int64())), *(flat.field(c) for c in ("place", "hk", "n", "m"))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], ["doc_id", "place", "hk", "n", "m", "context"])
+            columns = [*(b.column(c).take(pa.array(rows, pa.int64())) for c in ("doc_id", "th")), *(flat.field(c) for c in ("place", "hk", "n", "m"))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], ["doc_id", "th", "place", "hk", "n", "m", "context"])
 
-    per_doc = wanted.withColumn("th", F.shiftright("place", 16).bitwiseAND(65535)).groupBy("doc_id", "th").agg(
+    per_doc = wanted.groupBy("doc_id", "th").agg(
         F.collect_list(F.struct("place", "hk", "n", "m")).alias("places"))
     return _with_texts(base, per_doc, "inner").mapInArrow(
-        run, "doc_id bigint, place bigint, hk bigint, n bigint, m bigint, context binary")
+        run, "doc_id bigint, th bigint, place bigint, hk bigint, n bigint, m bigint, context binary")
 
 
 def _bucket_repeats(contexts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -184,17 +185,17 @@ def _bucket_repeats(contexts: DataFrame, length: int, gram: int) -> DataFrame:
 
     def flush(hk, rows):
         rows = list(dict.fromkeys(rows))  # rows repeated as a whole give a context twice
-        spans = bucket_spans([r[3] for r in rows], [r[1] >> 8 & 255 for r in rows], length, gram)
+        spans = bucket_spans([r[4] for r in rows], [r[2] >> 8 & 255 for r in rows], length, gram)
         for i, left, right in spans:
-            doc, place, n, _ = rows[i]
+            doc, th, place, n, _ = rows[i]
             if n == 1:
-                yield doc, place >> 16 & 65535, (place >> 32) - left, (place >> 32) + right
+                yield doc, th, (place >> 16) - left, (place >> 16) + right
 
     def run(batches):
         hk, rows = None, []
         for b in batches:
             out = []
-            for k, *row in zip(*(b.column(c).to_pylist() for c in ("hk", "doc_id", "place", "n", "context"))):
+            for k, *row in zip(*(b.column(c).to_pylist() for c in ("hk", "doc_id", "th", "place", "n", "context"))):
                 if k != hk:
                     out.extend(flush(hk, rows))
                     hk, rows = k, []
@@ -202,7 +203,7 @@ def _bucket_repeats(contexts: DataFrame, length: int, gram: int) -> DataFrame:
             yield _span_batch(out)
         yield _span_batch(list(flush(hk, rows)))
 
-    columns = contexts.select("hk", "doc_id", "place", "n", "context")
+    columns = contexts.select("hk", "doc_id", "th", "place", "n", "context")
     ordered = columns.repartition("hk").sortWithinPartitions("hk")
     return ordered.mapInArrow(run, "doc_id bigint, th bigint, start bigint, end bigint")
 
@@ -217,21 +218,21 @@ def _window_repeats(contexts: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ids, ends = b.column("doc_id"), np.cumsum([0, *(len(c) for c in b.column("context").to_pylist())])
+            ids, ths, ends = b.column("doc_id"), b.column("th"), np.cumsum([0, *(len(c) for c in b.column("context").to_pylist())])
             data = np.frombuffer(b"".join(b.column("context").to_pylist()), np.uint8)
             places, hk = b.column("place").to_numpy(), b.column("hk").to_numpy()
             counts = np.diff(ends) - length + 1
             row = np.repeat(np.arange(len(counts)), counts)
             k = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             first = ends[row] + k
-            start = (places[row] >> 32) - (places[row] >> 8 & 255) + k
+            start = (places[row] >> 16) - (places[row] >> 8 & 255) + k
             yield pa.RecordBatch.from_arrays([
-                ids.take(pa.array(row)), pa.array(places[row] >> 16 & 65535), pa.array(start), pa.array(hk[row]),
+                ids.take(pa.array(row)), ths.take(pa.array(row)), pa.array(start), pa.array(hk[row]),
                 pa.array(Rolling(data).spans(first, first + length).view(np.int64)),
                 pa.array(b.column("n").to_numpy()[row]),
             ], ["doc_id", "th", "start", "hk", "wh", "n"])
 
-    windows = cut(contexts.dropDuplicates(["hk", "doc_id", "place"]).mapInArrow(
+    windows = cut(contexts.dropDuplicates(["hk", "doc_id", "th", "place"]).mapInArrow(
         run, "doc_id bigint, th bigint, start bigint, hk bigint, wh bigint, n bigint"))
     again = cut(windows.groupBy("hk", "wh").count().where("count > 1").select("hk", "wh"))
     return windows.where("n = 1").join(again, ["hk", "wh"], "left_semi").select(
@@ -247,12 +248,12 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, bucket:
     found = entries(base, length, gram)
     grams = cut(found.groupBy("hk").count().where("count > 1").select("hk"))
     shared = cut(found.join(grams, "hk", "left_semi"))
-    contexts = cut(shared.groupBy("hk", "hc").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "place")).alias("one")))
+    contexts = cut(shared.groupBy("hk", "hc").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "th", "place")).alias("one")))
     anchor, left, right = _place()
     whole = shared.join(contexts.where("n > 1").select("hk", "hc"), ["hk", "hc"], "left_semi").select(
-        "doc_id", F.shiftright("place", 16).bitwiseAND(65535).alias("th"), (anchor - left).alias("start"), (anchor + right).alias("end"))
+        "doc_id", "th", (anchor - left).alias("start"), (anchor + right).alias("end"))
     buckets = cut(contexts.groupBy("hk").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
-    several = contexts.join(buckets, "hk").select("one.doc_id", "one.place", "hk", "n", "m")
+    several = contexts.join(buckets, "hk").select("one.doc_id", "one.th", "one.place", "hk", "n", "m")
     texts = cut(_contexts(base, several))
     spans = whole.unionAll(_bucket_repeats(texts.where(F.col("m") <= bucket), length, gram))
     if not texts.where(F.col("m") > bucket).isEmpty():

@@ -23,6 +23,17 @@ def test_long_texts_in_pieces(spark, monkeypatch):
     assert brute.by_none(map(tuple, got)) == brute.by_none(brute.repeats(docs))
 
 
+@pytest.mark.parametrize("bucket", [repeats.BUCKET, 1])
+def test_many_rows_without_an_id(spark, bucket):
+    """Thousands of texts share the null id; each loses its own spans only."""
+    shared = "".join(chr(97 + (i * i + i // 7) % 23) for i in range(400))
+    word = lambda i, n: " ".join(f"{i}x{k}" for k in range(n))
+    docs = [(None, word(i, 60) + (shared[i % 50: i % 50 + 250] if i % 2 else "")) for i in range(4000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = repeats.remove_repeats(df, bucket=bucket).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+    assert brute.by_none(map(tuple, got)) == brute.by_none(brute.repeats(docs))
+
+
 def test_intervals_of_a_prefix_tree():
     assert list(repeats.intervals([3, 5, 5, 2])) == [(5, 1, 3), (3, 0, 3), (2, 0, 4)]
     assert list(repeats.intervals([])) == []
