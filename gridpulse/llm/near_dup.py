@@ -3,12 +3,15 @@
 1. One pass over the texts gives each document the size and a 128-bit fingerprint of its shingle set, and a MinHash
    signature. Documents with equal sets form a class at once (combined map-side, however many copies there are).
 2. The signature is read as several short keys, one per tree. Each tree is one sorted order of the classes; the
-   neighbours of a class in that order which share a long enough prefix of the key are candidates. The depth adapts
-   by itself: in a sparse region neighbours meet at the least depth, in a dense one the nearest in order are those
-   with the longest common prefix. Orders are range-partitioned, so a region that holds a third of the rows is split
+   neighbours of a class in that order which share a long enough prefix of the key are candidates, those with the
+   longest common prefix first. Orders are range-partitioned, so a region that holds a third of the rows is split
    like any other; rows at the edges of a range are compared in a second, small pass.
 3. Candidates whose signatures agree too little are dropped, the others are confirmed on the full shingle sets.
 4. Connected components of the links.
+5. A run of classes with one prefix that is longer than the neighbours reach is crowded. Where its classes are not all
+   in one component yet, all of its pairs from different components are candidates too: signatures are compared in
+   salted blocks of bounded size, and likely pairs are confirmed like the others. A pair inside a component adds
+   nothing, so no candidate of a shared prefix is dropped.
 """
 
 from __future__ import annotations
@@ -20,12 +23,14 @@ from pyspark.sql import DataFrame, functions as F
 from gridpulse.llm.components import components
 from gridpulse.llm.packed import packed_texts, unpacked
 from gridpulse.llm.texthash import groups, mix, shingle_hashes, word_hashes
+from gridpulse.llm.vectors import grouped
 from gridpulse.sources.scratch import cut
 
 TREES = 16
 DEPTH = 6  # MinHash values in the key of a tree
 LEAST_DEPTH = 4  # common values that make neighbours candidates
 NEIGHBOURS = 3  # how far along a sorted order candidates are taken
+CHUNK = 256  # classes of a crowded run in a part; a block compares two parts
 SLACK = 0.16  # candidates may seem that much less similar by signature (over 4 standard deviations)
 
 _SIGNATURE = TREES * DEPTH
@@ -157,6 +162,60 @@ def _pairs(rows, done):
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *no_row], ["a", "b", "tree", "key", "rep"])
 
 
+def _prefixes(classes: DataFrame) -> DataFrame:
+    """(tree, prefix, rep): one row per class and tree; ``prefix`` holds the values that make candidates."""
+
+    def run(batches):
+        for b in batches:
+            values = np.frombuffer(b"".join(b.column("signature").to_pylist()), ">u4").reshape(b.num_rows, TREES, DEPTH)
+            for t in range(TREES):
+                prefix = [v.tobytes() for v in np.ascontiguousarray(values[:, t, :LEAST_DEPTH])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(b.num_rows, t, np.int32)), pa.array(prefix, pa.binary()), b.column("rep")], ["tree", "prefix", "rep"])
+
+    return classes.select("rep", "signature").mapInArrow(run, "tree int, prefix binary, rep bigint")
+
+
+def crowded(classes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Likely pairs (a, b), a < b, of different components of ``found`` in runs that the neighbours don't cover."""
+    labels = found.select(F.col("id").alias("_id"), F.col("component").alias("_component"))
+    named = classes.join(labels, F.col("rep") == F.col("_id"), "left").select(
+        "rep", "n_shingles", "signature", F.coalesce("_component", "rep").alias("component"))
+    keys = ["tree", "prefix"]
+    places = cut(_prefixes(classes))
+    # any two of a run of NEIGHBOURS + 1 classes are neighbours
+    long_runs = cut(places.groupBy(*keys).count().where(F.col("count") > NEIGHBOURS + 1))
+    members = cut(cut(places.join(long_runs, keys)).join(named.select("rep", "component"), "rep"))
+    runs = cut(members.groupBy(*keys).agg(
+        F.min("component").alias("_first"), F.max("component").alias("_last")).where("_first <> _last").select(*keys))
+    parts = F.ceil(F.col("count") / CHUNK).cast("int")
+    dealt = members.join(runs, keys).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep", "tree"), F.col("parts")).cast("int"))
+    cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
+        F.least("part", j).alias("i"), F.greatest("part", j).alias("j")))
+    signed = dealt.select(*keys, "parts", "part", "rep").join(named, "rep")
+    spread = signed.select(*keys, "part", "rep", "component", "n_shingles", "signature", F.explode(cells).alias("cell")).select(
+        *keys, "cell.i", "cell.j", "part", "rep", "component", "n_shingles", "signature")
+    least = (percent / 100 - SLACK) * _SIGNATURE
+    block = [*keys, "i", "j"]
+
+    def run(batches):
+        for g in grouped(batches, block):
+            ids, component, size, part = (g.column(c).to_numpy() for c in ("rep", "component", "n_shingles", "part"))
+            x = np.frombuffer(b"".join(g.column("signature").to_pylist()), np.uint32).reshape(len(ids), _SIGNATURE)
+            left, right = (np.flatnonzero(part == g.column(c)[0].as_py()) for c in ("i", "j"))
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for k in left:
+                able = right[(component[right] != component[k]) & (ids[right] > ids[k] if len(left) == len(ids) else True)]
+                # sets of very different sizes can't be similar enough
+                able = able[np.minimum(size[able], size[k]) * 100 >= np.maximum(size[able], size[k]) * percent]
+                near = able[(x[able] == x[k]).sum(axis=1) >= least]
+                a.append(np.minimum(ids[near], ids[k]))
+                b.append(np.maximum(ids[near], ids[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    return spread.repartition(*block).sortWithinPartitions(*block).mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose signatures agree in nearly enough places."""
     least = (percent / 100 - SLACK) * _SIGNATURE
@@ -211,8 +270,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = cut(linked.groupBy("n_shingles", "f1", "f2").agg(
         F.min("doc_id").alias("rep"), F.first("signature").alias("signature")))
     pairs = cut(likely(candidates(classes), classes, percent))
-    links = confirmed(pairs, docs, words, percent)
+    links = cut(confirmed(pairs, docs, words, percent))
     found = components(links)
+    more = cut(crowded(classes, found, percent).join(pairs, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
+        found = components(links.unionAll(confirmed(more, docs, words, percent)))
     keys = classes.select("n_shingles", "f1", "f2", "rep")
     named = keys.join(found, keys.rep == found.id, "left").select(
         "n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component"))

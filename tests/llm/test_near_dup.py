@@ -25,6 +25,14 @@ def test_large_group_and_chain(spark):
     assert {c for _, _, c, _ in got} == {0} and sum(k for *_, k in got) == 1
 
 
+def test_pairs_in_a_crowded_region(spark):
+    """A hundred pairs on one template: every document is 0.70 similar to all others, and 0.88 to its partner."""
+    template = [f"t{k}" for k in range(300)]
+    docs = [(i, " ".join([*template, *(f"p{i // 2}w{k}" for k in range(40)), *(f"d{i}w{k}" for k in range(24))])) for i in range(200)]
+    got = rows(near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 1, 80))
+    assert all(c == i - i % 2 for i, _, c, _ in got)
+
+
 def test_empty(empty_documents):
     assert near_dup.near_duplicates(empty_documents).count() == 0
 
