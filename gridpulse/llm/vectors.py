@@ -5,12 +5,13 @@
    number of hyperplanes follows the number of classes, and the number of codes per class follows from it, so that two
    vectors at the threshold share a code with probability ``1 - MISS``.
 3. NN-descent: the neighbours of a vertex, in both directions, are compared with each other, and every list keeps the
-   best; until few lists change.
+   best; until few lists change. A saturated list has no room for all links of its vertex, so wherever vectors are
+   compared a spanning forest of their links is kept beside the lists: what links connect stays connected.
 4. Edges at or above the threshold, checked in double precision, are links; components of links.
 5. A list that is full of links is saturated: there are more links than it can hold. Lists are therefore enlarged to
    the whole component, in blocks of bounded size that are multiplied as matrices; only counts leave a block.
-6. Recall is audited: a bounded sample of vectors is compared with all; below ``RECALL`` another round starts from new
-   hyperplanes and the graph so far.
+6. Recall is audited, of all links and per vector: a bounded sample of vectors is compared with all; below ``RECALL``
+   another round starts from new hyperplanes and the graph so far, and after the last one it is an error.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ MISS = 0.002
 RECALL, AUDIT, ROUNDS, DESCENTS = 0.95, 512, 3, 4
 
 _EDGES = "a bigint, b bigint, sim double"
+_FOUND = f"{_EDGES}, tie boolean"
 
 
 def _unit(rows: list) -> np.ndarray:
@@ -45,8 +47,9 @@ def _matrix(column: pa.Array, n: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(n, -1)
 
 
-def _edge_batch(a, b, sim) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64())], ["a", "b", "sim"])
+def _edge_batch(a, b, sim, tie: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(sim, pa.float64()), pa.array(np.full(len(a), tie))], ["a", "b", "sim", "tie"])
 
 
 def grouped(batches, keys: list[str]):
@@ -105,7 +108,7 @@ def _codes(stored: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
 
 
 def first_graph(stored: DataFrame, threshold: float, seed: int) -> DataFrame:
-    """Edges (a, b, sim) between classes that share a code, the best of each row of a chunk."""
+    """Edges between classes that share a code: the best of each row of a chunk, and a forest (tie) of its links."""
     n = stored.count()
     bits = max(4, math.ceil(math.log2(max(2, n / BUCKET))))
     share = (1 - math.acos(threshold) / math.pi) ** bits
@@ -119,12 +122,12 @@ def first_graph(stored: DataFrame, threshold: float, seed: int) -> DataFrame:
     def run(batches):
         for g in grouped(batches, [*keys, "part"]):
             ids, x = g.column("rep").to_numpy(), _matrix(g.column("unit"), g.num_rows)
-            for lo in range(0, len(ids), CHUNK):  # a part is about a chunk
-                sims = x[lo: lo + CHUNK] @ x.T
-                yield _best(ids[lo: lo + CHUNK], ids, sims)
+            sims = x @ x.T  # a part is about a chunk
+            yield _best(ids, ids, sims)
+            yield _ties(ids, sims, threshold)
 
     cells = dealt.select(*keys, "part", "rep", "unit").repartition(*keys, "part").sortWithinPartitions(*keys, "part")
-    return cells.mapInArrow(run, _EDGES)
+    return cells.mapInArrow(run, _FOUND)
 
 
 def _best(rows: np.ndarray, ids: np.ndarray, sims: np.ndarray, keep: int = LIST) -> pa.RecordBatch:
@@ -136,17 +139,37 @@ def _best(rows: np.ndarray, ids: np.ndarray, sims: np.ndarray, keep: int = LIST)
         top = np.broadcast_to(np.arange(sims.shape[1]), sims.shape)
     best = np.take_along_axis(sims, top, axis=1)
     r, c = np.nonzero(best >= FLOOR)
-    return _edge_batch(rows[r], ids[top[r, c]], best[r, c])
+    return _edge_batch(rows[r], ids[top[r, c]], best[r, c], False)
+
+
+def _ties(ids: np.ndarray, sims: np.ndarray, threshold: float) -> pa.RecordBatch:
+    """A spanning forest of the links among ``ids``: fewer edges than vertices, the same components."""
+    near = sims >= threshold
+    np.fill_diagonal(near, False)
+    unseen, left, right = np.ones(len(ids), bool), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for start in np.flatnonzero(near.any(axis=1)):
+        queue = [start] if unseen[start] else []
+        unseen[start] = False
+        while queue:
+            k = queue.pop()
+            new = np.flatnonzero(near[k] & unseen)
+            unseen[new] = False
+            left.append(np.full(len(new), k))
+            right.append(new)
+            queue.extend(new)
+    a, b = np.concatenate(left), np.concatenate(right)
+    return _edge_batch(ids[a], ids[b], sims[a, b], True)
 
 
 def _lists(edges: DataFrame) -> DataFrame:
-    """The best edges of every vertex; the limit is applied before the shuffle too."""
-    single = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"))
+    """(a, b, sim, tie, top): the best edges of every vertex (top), and all ties; an edge may be there as both."""
+    single = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.max("tie").alias("tie"))
     order = W.partitionBy("a").orderBy(F.desc("sim"), "b")
-    return single.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= LIST).drop("_k")
+    top = single.withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= LIST).drop("_k")
+    return top.withColumn("top", F.lit(True)).unionAll(single.where("tie").withColumn("top", F.lit(False)))
 
 
-def descend(lists: DataFrame, stored: DataFrame) -> DataFrame:
+def descend(lists: DataFrame, stored: DataFrame, threshold: float = 0.95) -> DataFrame:
     """One round of neighbours of neighbours: new edges among the lists that meet at a vertex."""
     back = W.partitionBy("a").orderBy(F.desc("sim"), "b")
     reverse = lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim").withColumn(
@@ -158,20 +181,24 @@ def descend(lists: DataFrame, stored: DataFrame) -> DataFrame:
     def run(batches):
         for g in grouped(batches, ["a"]):
             ids, x = g.column("b").to_numpy(), _matrix(g.column("unit"), g.num_rows)
-            yield _best(ids, ids, x @ x.T)
+            sims = x @ x.T
+            yield _best(ids, ids, sims)
+            yield _ties(ids, sims, threshold)
 
-    return meeting.join(units, "b").select("a", "b", "unit").repartition("a").sortWithinPartitions("a").mapInArrow(run, _EDGES)
+    return meeting.join(units, "b").select("a", "b", "unit").repartition("a").sortWithinPartitions("a").mapInArrow(run, _FOUND)
 
 
 def neighbour_graph(stored: DataFrame, threshold: float, seed: int, before: DataFrame | None = None) -> DataFrame:
-    """Neighbour lists after descents, until less than a thousandth of the entries is new."""
+    """Neighbour lists and ties after descents, until less than a thousandth of the entries is new."""
+    found = ["a", "b", "sim", "tie"]
     edges = first_graph(stored, threshold, seed)
-    lists = cut(_lists(edges if before is None else edges.unionAll(before)))
+    lists = cut(_lists(edges if before is None else edges.unionAll(before.select(found))))
     for _ in range(DESCENTS):
-        better = cut(_lists(lists.unionAll(descend(lists, stored))))
-        changed = better.join(lists, ["a", "b"], "left_anti").count()
-        lists = better
-        if changed <= 0.001 * max(1, lists.count()):
+        old = lists.where("top").select("a", "b", "sim")
+        lists = cut(_lists(lists.select(found).unionAll(descend(old, stored, threshold))))
+        new = lists.where("top")
+        changed = new.join(old, ["a", "b"], "left_anti").count()
+        if changed <= 0.001 * max(1, new.count()):
             break
     return lists
 
@@ -206,7 +233,10 @@ def block_counts(members: DataFrame, threshold: float) -> DataFrame:
 
 
 def audit(stored: DataFrame, counts: DataFrame, threshold: float, queries: int = AUDIT) -> float:
-    """Share of the true links of a sample of classes that were found; the sample is bounded, so it is broadcast."""
+    """Share of the true links of a sample of classes that were found, or the mean share of a class if that is less.
+
+    The sample is bounded, so it is broadcast.
+    """
     chosen = stored.orderBy(F.xxhash64("rep")).limit(queries)
     rows = chosen.select("rep", "dim", "unit").collect()
     shared = stored.sparkSession.sparkContext.broadcast([(r.rep, r.dim, bytes(r.unit)) for r in rows])
@@ -225,8 +255,9 @@ def audit(stored: DataFrame, counts: DataFrame, threshold: float, queries: int =
                         [pa.array(ids), pa.array((near @ b.column("n").to_numpy()).astype(np.int64))], ["rep", "links"])
 
     true = stored.select("rep", "n", "dim", "unit").mapInArrow(run, "rep bigint, links bigint").groupBy("rep").agg(F.sum("links").alias("true"))
-    found = true.join(counts, "rep", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("links", F.lit(0))))).first()
-    return found[1] / found[0] if found[0] else 1.0
+    hit = F.least("true", F.coalesce("links", F.lit(0)))
+    found = true.where(F.col("true") > 0).join(counts, "rep", "left").agg(F.sum("true"), F.sum(hit), F.avg(hit / F.col("true"))).first()
+    return min(found[1] / found[0], found[2]) if found[0] else 1.0
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float = RECALL, rounds: int = ROUNDS) -> DataFrame:
@@ -236,7 +267,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
     component_id is the smallest vec_id reachable. Vectors that are null, empty, zero or hold null or non-finite
     components link with nothing, nor do vectors of different lengths with each other; repeated rows are vectors of
     their own and link with each other; a row with a null vec_id links with nothing and is kept. Other columns are
-    ignored; an empty table gives no rows.
+    ignored; an empty table gives no rows. A result whose audited recall stays below ``recall`` is an error.
     """
     rows, stored = classes(vectors)
     graph, counts, found = None, None, None
@@ -246,8 +277,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
         found = components(links)
         members = stored.select("rep", "n", "unit").join(found, F.col("rep") == F.col("id")).select("component", "rep", "n", "unit")
         counts = cut(block_counts(members, threshold))
-        if audit(stored, counts, threshold) >= recall:
+        reached = audit(stored, counts, threshold)
+        if reached >= recall:
             break
+    else:
+        raise RuntimeError(f"recall of {reached:.3f} after {rounds} rounds, below {recall}")
     told = cut(stored.select("rep", "n", "v").join(found, F.col("rep") == F.col("id"), "left").join(counts, "rep", "left").select(
         "v", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links")))
     known = rows.join(told, (rows.v == told.v) & rows.vec_id.isNotNull(), "left")

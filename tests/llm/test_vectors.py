@@ -37,6 +37,26 @@ def test_descent_finds_neighbours_of_neighbours(spark):
     assert (0, 2) in found and (2, 0) in found and (0, 8) not in found
 
 
+def test_links_across_dense_groups(spark):
+    """Two groups of 20 fill every list with their own members; the 400 links across (0.955) are found all the same."""
+    rng = np.random.default_rng(5)
+    across, own = np.sqrt(0.955), np.sqrt(0.01)
+    data = []
+    for i in range(40):
+        v = np.zeros(44)
+        v[0], v[1 + i // 20], v[4 + i] = across, np.sqrt(0.99 - 0.955), own
+        data.append((i, [float(x) for x in v * (1 + rng.random())]))
+    got = rows(vectors.near_duplicates(spark.createDataFrame(data, SCHEMA), 0.95))
+    assert sorted(got) == [(i, 39, 0, i == 0) for i in range(40)]
+
+
+def test_recall_below_the_bound_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "audit", lambda *_: 0.5)
+    df = spark.createDataFrame([(i, [1.0, i / 1000]) for i in range(4)], SCHEMA)
+    with pytest.raises(RuntimeError, match="recall of 0.500"):
+        vectors.near_duplicates(df, rounds=1)
+
+
 def test_audit_measures_recall(spark):
     stored = vectors.classes(spark.createDataFrame([(i, [1.0, i / 1000]) for i in range(10)], SCHEMA))[1]
     half = spark.createDataFrame([(i, 9 if i < 5 else 0) for i in range(10)], "rep bigint, links bigint")
