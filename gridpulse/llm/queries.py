@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridpulse.llm import chat, decontaminate, mixing, near_dup, pii, quality, repeats, urls, vectors, warc
+from gridpulse.llm import bpe, chat, decontaminate, dual_tree, mixing, near_dup, pii, quality, repeats, resample, urls, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -86,3 +86,28 @@ def op9_suffix_array_repeats(spark, sf_dir):
 @query
 def op10_minhash_lsh_forest(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query
+def op11_importance_resampling(spark, sf_dir):
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op12_dual_tree_search(spark, sf_dir):
+    return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+SQL["op12_dual_tree_search"] = dual_tree.sql()
+
+
+@query
+def op13_byte_bpe(spark, sf_dir):
+    import public_tokenizers  # only the driver needs the file
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    read = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return read.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(bpe.ids_text(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
