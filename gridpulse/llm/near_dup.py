@@ -9,19 +9,22 @@
 3. Candidates whose signatures agree too little are dropped, the others are confirmed on the full shingle sets.
 4. Connected components of the links.
 5. A run of classes with one prefix that is longer than the neighbours reach is crowded. Where its classes are not all
-   in one component yet, all of its pairs from different components are candidates too: signatures are compared in
-   salted blocks of bounded size, and likely pairs are confirmed like the others. A pair inside a component adds
-   nothing, so no candidate of a shared prefix is dropped.
+   in one component yet, their full sets meet in salted blocks of bounded size. Inside a block the depth adapts: classes
+   with the whole key in common are compared first, and shorter prefixes only between classes that are still apart, down
+   to the least depth. All of these comparisons are exact. A block returns a spanning forest of its links, fewer rows
+   than it has members; pairs never leave it.
+6. Recall is audited: the links of sampled classes to all documents, by brute force, against the components.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from gridpulse.llm.components import components
-from gridpulse.llm.packed import packed_texts, unpacked
+from gridpulse.llm.packed import unpacked
 from gridpulse.llm.texthash import groups, mix, shingle_hashes, word_hashes
 from gridpulse.llm.vectors import grouped
 from gridpulse.sources.scratch import cut
@@ -30,8 +33,10 @@ TREES = 16
 DEPTH = 6  # MinHash values in the key of a tree
 LEAST_DEPTH = 4  # common values that make neighbours candidates
 NEIGHBOURS = 3  # how far along a sorted order candidates are taken
-CHUNK = 256  # classes of a crowded run in a part; a block compares two parts
-SLACK = 0.16  # candidates may seem that much less similar by signature (over 4 standard deviations)
+CHUNK, CHUNK_SHINGLES = 512, 1 << 20  # classes of a crowded run in a part, and their shingles; a block compares two parts
+SLACK = 0.16  # neighbours may seem that much less similar by signature (over 4 standard deviations)
+AUDITED, AUDIT_SHINGLES = 256, 4096  # classes that the audit compares with all documents, and the largest set among them
+LEAST_RECALL, LEAST_PAIRS = 0.95, 50  # a lower recall over at least so many links is an error
 
 _SIGNATURE = TREES * DEPTH
 _RNG = np.random.default_rng(7)
@@ -72,7 +77,7 @@ def _signatures(shingles: np.ndarray, n: np.ndarray) -> list[bytes | None]:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, signature) of every row."""
+    """(doc_id, th, n_shingles, f1, f2, signature) of every row; th is the hash of its text."""
 
     def run(batches):
         for b in batches:
@@ -80,12 +85,16 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                 shingles, n, sets = _sets(data, at, words)
                 f1, f2 = _fingerprints(sets)
                 yield pa.RecordBatch.from_arrays([
-                    b.column("doc_id").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
+                    b.column("doc_id").slice(lo, hi - lo), b.column("th").slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(f1), pa.array(f2), pa.array(_signatures(shingles, n), pa.binary()),
-                ], ["doc_id", "n_shingles", "f1", "f2", "signature"])
+                ], ["doc_id", "th", "n_shingles", "f1", "f2", "signature"])
 
-    columns = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return columns.mapInArrow(run, "doc_id bigint, n_shingles bigint, f1 bigint, f2 bigint, signature binary")
+    return _rows(docs).mapInArrow(run, "doc_id bigint, th bigint, n_shingles bigint, f1 bigint, f2 bigint, signature binary")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
 def candidates(classes: DataFrame) -> DataFrame:
@@ -163,59 +172,96 @@ def _pairs(rows, done):
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
-    """(tree, prefix, rep): one row per class and tree; ``prefix`` holds the values that make candidates."""
+    """(tree, prefix, deeper, rep): one row per class and tree; ``prefix`` has the values that make candidates."""
 
     def run(batches):
         for b in batches:
             values = np.frombuffer(b"".join(b.column("signature").to_pylist()), ">u4").reshape(b.num_rows, TREES, DEPTH)
             for t in range(TREES):
-                prefix = [v.tobytes() for v in np.ascontiguousarray(values[:, t, :LEAST_DEPTH])]
+                prefix, deeper = ([v.tobytes() for v in np.ascontiguousarray(part)] for part in (
+                    values[:, t, :LEAST_DEPTH], values[:, t, LEAST_DEPTH:]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(b.num_rows, t, np.int32)), pa.array(prefix, pa.binary()), b.column("rep")], ["tree", "prefix", "rep"])
+                    [pa.array(np.full(b.num_rows, t, np.int32)), pa.array(prefix, pa.binary()), pa.array(deeper, pa.binary()), b.column("rep")],
+                    ["tree", "prefix", "deeper", "rep"])
 
-    return classes.select("rep", "signature").mapInArrow(run, "tree int, prefix binary, rep bigint")
+    return classes.select("rep", "signature").mapInArrow(run, "tree int, prefix binary, deeper binary, rep bigint")
 
 
-def crowded(classes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs (a, b), a < b, of different components of ``found`` in runs that the neighbours don't cover."""
+def crowded(classes: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Exact links (a, b) that join the components of ``found`` inside runs that the neighbours don't cover.
+
+    The links of a block are a spanning forest: every two classes of the run that are similar enough end up connected.
+    """
     labels = found.select(F.col("id").alias("_id"), F.col("component").alias("_component"))
     named = classes.join(labels, F.col("rep") == F.col("_id"), "left").select(
-        "rep", "n_shingles", "signature", F.coalesce("_component", "rep").alias("component"))
+        "rep", "n_shingles", F.coalesce("_component", "rep").alias("component"))
     keys = ["tree", "prefix"]
     places = cut(_prefixes(classes))
     # any two of a run of NEIGHBOURS + 1 classes are neighbours
-    long_runs = cut(places.groupBy(*keys).count().where(F.col("count") > NEIGHBOURS + 1))
-    members = cut(cut(places.join(long_runs, keys)).join(named.select("rep", "component"), "rep"))
+    long_runs = cut(places.groupBy(*keys).count().where(F.col("count") > NEIGHBOURS + 1).drop("count"))
+    members = cut(cut(places.join(long_runs, keys)).join(named, "rep"))
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / CHUNK, F.sum("n_shingles") / CHUNK_SHINGLES)).cast("int")
     runs = cut(members.groupBy(*keys).agg(
-        F.min("component").alias("_first"), F.max("component").alias("_last")).where("_first <> _last").select(*keys))
-    parts = F.ceil(F.col("count") / CHUNK).cast("int")
-    dealt = members.join(runs, keys).withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep", "tree"), F.col("parts")).cast("int"))
+        F.min("component").alias("_first"), F.max("component").alias("_last"), parts.alias("parts"),
+    ).where("_first <> _last").select(*keys, "parts"))
+    part = F.pmod(F.xxhash64("rep", "tree"), F.col("parts")).cast("int")
+    dealt = cut(members.join(runs, keys).withColumn("part", part))
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
         F.least("part", j).alias("i"), F.greatest("part", j).alias("j")))
-    signed = dealt.select(*keys, "parts", "part", "rep").join(named, "rep")
-    spread = signed.select(*keys, "part", "rep", "component", "n_shingles", "signature", F.explode(cells).alias("cell")).select(
-        *keys, "cell.i", "cell.j", "part", "rep", "component", "n_shingles", "signature")
-    least = (percent / 100 - SLACK) * _SIGNATURE
+    sets = shingle_sets(dealt.select(F.col("rep").alias("id")).distinct(), classes, docs, words)
+    full = dealt.join(sets, F.col("rep") == F.col("id"))
     block = [*keys, "i", "j"]
+    spread = full.select(*keys, "part", "deeper", "rep", "component", "shingles", F.explode(cells).alias("cell")).select(
+        *keys, "cell.i", "cell.j", "part", "deeper", "rep", "component", "shingles")
 
     def run(batches):
         for g in grouped(batches, block):
-            ids, component, size, part = (g.column(c).to_numpy() for c in ("rep", "component", "n_shingles", "part"))
-            x = np.frombuffer(b"".join(g.column("signature").to_pylist()), np.uint32).reshape(len(ids), _SIGNATURE)
+            part = g.column("part").to_numpy()
             left, right = (np.flatnonzero(part == g.column(c)[0].as_py()) for c in ("i", "j"))
-            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for k in left:
-                able = right[(component[right] != component[k]) & (ids[right] > ids[k] if len(left) == len(ids) else True)]
-                # sets of very different sizes can't be similar enough
-                able = able[np.minimum(size[able], size[k]) * 100 >= np.maximum(size[able], size[k]) * percent]
-                near = able[(x[able] == x[k]).sum(axis=1) >= least]
-                a.append(np.minimum(ids[near], ids[k]))
-                b.append(np.maximum(ids[near], ids[k]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            deeper = np.frombuffer(b"".join(g.column("deeper").to_pylist()), np.uint32).reshape(len(part), DEPTH - LEAST_DEPTH)
+            flat = pa.concat_arrays(g.column("shingles").chunks) if isinstance(g.column("shingles"), pa.ChunkedArray) else g.column("shingles")
+            joined = _forest(left, right, deeper, g.column("component").to_numpy(), flat, percent)
+            ids = g.column("rep").to_numpy()
+            a, b = (ids[[p[k] for p in joined]] if joined else ids[:0] for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return spread.repartition(*block).sortWithinPartitions(*block).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
+def _forest(left, right, deeper, component, sets, percent) -> list[tuple[int, int]]:
+    """Links between ``left`` and ``right`` that connect different components, deepest common prefixes first."""
+    size = np.diff(sets.offsets.to_numpy())
+    _, flat = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+    own = np.split(flat, np.cumsum(size)[:-1])
+    first = np.cumsum(size[right]) - size[right]
+    across = np.concatenate([own[r] for r in right]) if len(right) else flat[:0]
+    marked = np.zeros(int(flat.max()) + 1 if len(flat) else 0, bool)
+    label, same, joined = np.unique(component, return_inverse=True)[1], len(left) == len(right) and (left == right).all(), []
+    for depth in range(deeper.shape[1], -1, -1):
+        for k in left:
+            apart = label[right] != label[k]
+            if same:
+                apart &= right > k
+            equal = (deeper[right] == deeper[k])
+            apart &= equal[:, :depth].all(axis=1) & (~equal[:, depth] if depth < deeper.shape[1] else True)
+            # sets of very different sizes can't be similar enough
+            apart &= np.minimum(size[right], size[k]) * 100 >= np.maximum(size[right], size[k]) * percent
+            if not apart.any():
+                continue
+            marked[own[k]] = True
+            if apart.mean() > 0.2:
+                common = np.add.reduceat(marked[across], first, dtype=np.int64)[apart]
+            else:
+                common = np.array([marked[own[r]].sum() for r in right[apart]])
+            marked[own[k]] = False
+            able = right[apart]
+            for r in able[common * 100 >= (size[able] + size[k] - common) * percent]:
+                if label[r] != label[k]:
+                    joined.append((int(k), int(r)))
+                    label[label == label[r]] = label[k]
+    return joined
+
+
 def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose signatures agree in nearly enough places."""
     least = (percent / 100 - SLACK) * _SIGNATURE
@@ -231,8 +277,17 @@ def likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a bigint, b bigint")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union of the full shingle sets."""
+def shingle_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(id, shingles): the full shingle set of each class of ``ids``, from one of its texts; a written table."""
+
+    def pack(batches):
+        zip_ = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            # rows that repeat an id and its text are needed once
+            seen = list({pair: k for k, pair in enumerate(zip(b.column("doc_id").to_pylist(), b.column("th").to_pylist()))}.values())
+            few = b.take(pa.array(seen, pa.int64()))
+            packed = [zip_.compress(t.as_buffer() if t.is_valid else b"") for t in few.column("text").cast(pa.large_binary())]
+            yield pa.RecordBatch.from_arrays([few.column("doc_id"), few.column("th"), pa.array(packed, pa.binary())], ["doc_id", "th", "packed"])
 
     def run(batches):
         for b in batches:
@@ -241,14 +296,21 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                 values = pa.array(np.concatenate(sets).view(np.int64))
                 offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(offsets), values)],
-                    ["id", "shingles"])
+                    [b.column("id").slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(offsets), values)], ["id", "shingles"])
 
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # the ids grow with the input: never a broadcast, at any size
-    needed = packed_texts(texts).join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi")
-    sets = cut(needed.mapInArrow(run, "id bigint, shingles array<bigint>"))
+    wanted = classes.join(ids.select("id").hint("merge"), F.col("rep") == F.col("id")).select(
+        F.col("one.doc_id").alias("doc_id"), F.col("one.th").alias("th"), "id")
+    texts = _rows(docs).where("doc_id is not null").mapInArrow(pack, "doc_id bigint, th bigint, packed binary")
+    needed = texts.join(wanted.hint("merge"), ["doc_id", "th"]).groupBy("doc_id", "th").agg(
+        F.first("id").alias("id"), F.first("packed").alias("packed"))
+    return cut(needed.select("id", "packed").mapInArrow(run, "id bigint, shingles array<bigint>"))
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs with 100 * intersection >= percent * union of the full shingle sets."""
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b"))).distinct()
+    sets = shingle_sets(ids, classes, docs, words)
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -256,30 +318,101 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     return pairs.join(one, "a").join(two, "b").where(common * 100 >= union * percent).select("a", "b").distinct()
 
 
+def recall(docs: DataFrame, classes: DataFrame, found: DataFrame, words: int, percent: int,
+           audited: int = AUDITED) -> tuple[int, int]:
+    """Links of sampled classes to any other class, by brute force over all texts, and how many lie in one component.
+
+    The sample is ``audited`` classes in order of a hash, none with more than ``AUDIT_SHINGLES`` shingles; their sets are
+    what is broadcast. It is a measurement: nothing found here enters the result.
+    """
+    labels = found.select(F.col("id").alias("_id"), F.col("component").alias("_component"))
+    whole = classes.join(labels, F.col("rep") == F.col("_id"), "left").select(
+        "n_shingles", "f1", "f2", "rep", F.coalesce("_component", "rep").alias("component"))
+    chosen = cut(classes.where(F.col("n_shingles") <= AUDIT_SHINGLES).orderBy(F.xxhash64("f1", "f2"), "f1").limit(audited).select(
+        F.col("rep").alias("id")))
+    sample = shingle_sets(chosen, classes, docs, words).join(whole, F.col("id") == F.col("rep")).select(
+        "n_shingles", "f1", "f2", "component", "shingles").collect()
+    if not sample:
+        return 0, 0
+    size = np.array([r.n_shingles for r in sample])
+    flat = np.concatenate([np.array(r.shingles, np.int64).view(np.uint64) for r in sample])
+    order = np.argsort(flat, kind="stable")
+    held, first = np.unique(flat[order], return_index=True)
+    shared = docs.sparkSession.sparkContext.broadcast((
+        held, np.append(first, len(flat)), np.repeat(np.arange(len(size)), size)[order], size,
+        {(r.n_shingles, r.f1, r.f2): k for k, r in enumerate(sample)}))
+
+    def run(batches):
+        held, first, owner, size, names = shared.value
+        for b in batches:
+            for _, _, data, at in groups(b.column("text")):
+                sets = _sets(data, at, words)[2]
+                n = np.array([len(s) for s in sets])
+                flat = np.concatenate(sets)
+                row = np.repeat(np.arange(len(n)), n)
+                place = np.searchsorted(held, flat)
+                hit = held[np.minimum(place, len(held) - 1)] == flat
+                place, row = place[hit], row[hit]
+                times = first[place + 1] - first[place]
+                start = np.cumsum(times) - times
+                other = owner[np.repeat(first[place] - start, times) + np.arange(int(times.sum()))]
+                pair, common = np.unique(np.repeat(row, times) * len(size) + other, return_counts=True)
+                row, other = pair // len(size), pair % len(size)
+                near = common * 100 >= (n[row] + size[other] - common) * percent
+                rows, at_row = np.unique(row[near], return_index=True)
+                f1, f2 = _fingerprints([sets[r] for r in rows])
+                lists = []
+                for r, a, c, some in zip(rows, f1, f2, np.split(other[near], at_row[1:])):
+                    itself = names.get((int(n[r]), int(a), int(c)), -1)
+                    lists.append([int(k) for k in some if k != itself])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(n[rows].astype(np.int64)), pa.array(f1), pa.array(f2), pa.array(lists, pa.list_(pa.int32()))], ["n_shingles", "f1", "f2", "near"])
+
+    texts = _rows(docs).where("doc_id is not null").select("text")
+    # copies of a class are one row
+    seen = texts.mapInArrow(run, "n_shingles bigint, f1 bigint, f2 bigint, near array<int>").where("size(near) > 0").groupBy(
+        "n_shingles", "f1", "f2").agg(F.first("near").alias("near"))
+    named = F.broadcast(docs.sparkSession.createDataFrame(
+        [(k, r.component) for k, r in enumerate(sample)], "k int, _own bigint"))  # one row per sampled class
+    judged = seen.join(whole, ["n_shingles", "f1", "f2"]).select("component", F.explode("near").alias("k")).join(named, "k")
+    out = judged.agg(F.count(F.lit(1)), F.count_if(F.col("component") == F.col("_own"))).first()
+    return out[0], out[1]
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, th (hash of its text), n_shingles, component_id, kept.
 
     Documents are linked when the sets of their distinct ``words``-word shingles have a Jaccard similarity of at least
     ``percent`` hundredths; component_id is the smallest doc_id reachable by links. A document with fewer words has
     its whole word sequence as its one shingle; null and empty texts have no shingle and link with nothing, however
-    many there are. Repeated rows of one doc_id fall into one class and are all returned; a null doc_id links with
-    nothing, has a null component and is kept. Other columns of ``docs`` are ignored. An empty table gives no rows.
+    many there are. Rows are documents: two texts of one doc_id are linked only if they are similar. Repeated rows of a
+    doc_id and its text are all returned alike. kept marks the documents that carry the component's id; where different
+    texts of one component share that id, one of them. A null doc_id links with nothing, has a null component and is
+    kept. Other columns of ``docs`` are ignored. An empty table gives no rows. A recall of the links below
+    ``LEAST_RECALL`` on the audited classes is an error.
     """
     marks = cut(signatures(docs, words))
     linked = marks.where("n_shingles > 0 and doc_id is not null")
     classes = cut(linked.groupBy("n_shingles", "f1", "f2").agg(
-        F.min("doc_id").alias("rep"), F.first("signature").alias("signature")))
+        F.min(F.struct("doc_id", "th")).alias("one"), F.first("signature").alias("signature"),
+    ).withColumn("rep", F.monotonically_increasing_id()))
     pairs = cut(likely(candidates(classes), classes, percent))
-    links = cut(confirmed(pairs, docs, words, percent))
+    links = cut(confirmed(pairs, classes, docs, words, percent))
     found = components(links)
-    more = cut(crowded(classes, found, percent).join(pairs, ["a", "b"], "left_anti"))
+    more = cut(crowded(classes, found, docs, words, percent))
     if not more.isEmpty():
-        found = components(links.unionAll(confirmed(more, docs, words, percent)))
-    keys = classes.select("n_shingles", "f1", "f2", "rep")
-    named = keys.join(found, keys.rep == found.id, "left").select(
-        "n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("component"))
-    out = marks.select("doc_id", "n_shingles", "f1", "f2").join(cut(named), ["n_shingles", "f1", "f2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        found = components(links.unionAll(more))
+    n, held = recall(docs, classes, found, words, percent)
+    if n >= LEAST_PAIRS and held < LEAST_RECALL * n:
+        raise ValueError(f"only {held} of {n} audited links were found")
+    joined = classes.join(found, classes.rep == found.id, "left").select(
+        "n_shingles", "f1", "f2", "one", F.coalesce("component", "rep").alias("component"))
+    least = joined.groupBy("component").agg(F.min("one").alias("least"))
+    named = joined.join(least, "component").select(
+        "n_shingles", "f1", "f2", F.col("least.doc_id").alias("component_id"), F.when(F.col("one") == F.col("least"), F.col("least.th")).alias("_chosen"))
+    out = marks.select("doc_id", "th", "n_shingles", "f1", "f2").join(cut(named), ["n_shingles", "f1", "f2"], "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    chosen = (F.col("doc_id") == F.col("component_id")) & ((F.col("n_shingles") == 0) | (F.col("th") == F.col("_chosen")))
+    return out.select("doc_id", "th", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), "_chosen").select(
+        "doc_id", "th", "n_shingles", "component_id",
+        (F.col("doc_id").isNull() | F.coalesce(chosen, F.lit(False))).alias("kept"))

@@ -85,7 +85,8 @@ def op9_suffix_array_repeats(spark, sf_dir):
 
 @query
 def op10_minhash_lsh_forest(spark, sf_dir):
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    found = near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query

@@ -1,5 +1,7 @@
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from gridpulse.llm import near_dup
 from gridpulse.llm.components import components
@@ -33,6 +35,56 @@ def test_pairs_in_a_crowded_region(spark):
     assert all(c == i - i % 2 for i, _, c, _ in got)
 
 
+def test_large_template_with_few_pairs(spark, monkeypatch):
+    """1,200 documents on one template, 0.75 similar to all others; thirty have a partner. Links leave blocks, pairs don't."""
+    monkeypatch.setattr(near_dup, "CHUNK", 100)
+    template = [f"t{k}" for k in range(240)]
+    own = lambda i: [f"d{i}w{k}" for k in range(40)]
+    docs = [(i, " ".join(template + own(i))) for i in range(1200)]
+    docs += [(5000 + i, " ".join(template + own(i)[:-4] + [f"e{i}w{k}" for k in range(4)])) for i in range(0, 1200, 40)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    marks = near_dup.cut(near_dup.signatures(frame, 1))
+    classes = near_dup.cut(marks.groupBy("n_shingles", "f1", "f2").agg(
+        F.min(F.struct("doc_id", "th")).alias("one"), F.first("signature").alias("signature")).withColumn("rep", F.monotonically_increasing_id()))
+    none = spark.createDataFrame([], "id bigint, component bigint")
+    links = near_dup.crowded(classes, none, frame, 1, 80)
+    assert 30 >= links.count() >= 28  # of all pairs the thirty links leave the blocks
+    got = {i: c for i, _, c, _ in rows(near_dup.near_duplicates(frame, 1, 80))}
+    assert all(got[i] == i for i in range(1200)) and all(got[5000 + i] == i for i in range(0, 1200, 40))
+
+
+def test_depth_adapts_inside_a_block():
+    """Classes that share the whole key are linked first, so a chain through them leaves nothing for shorter prefixes."""
+    sets = pa.array([[1, 2, 3, 4, 5], [1, 2, 3, 4, 6], [1, 2, 3, 4, 5, 6], [7, 8]])
+    deeper = np.array([[1, 1], [2, 2], [1, 1], [1, 1]])
+    left = np.arange(4)
+    assert near_dup._forest(left, left, deeper, np.arange(4), sets, 80) == [(0, 2), (1, 2)]
+    assert near_dup._forest(left, left, deeper, np.array([0, 1, 0, 3]), sets, 80) == [(1, 2)]
+    assert near_dup._forest(left[:2], left[2:], deeper, np.array([5, 5, 6, 6]), sets, 80) == [(0, 2)]
+
+
+def test_two_texts_of_one_id(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(30)) for x in "ab")
+    data = [(1, a), (5, a), (5, b), (7, b), (8, a + " more"), (8, a + " most")]
+    found = near_dup.near_duplicates(spark.createDataFrame(data, "doc_id bigint, text string"), 3, 80)
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in found.collect())
+    assert got == [(1, 1, True), (5, 1, False), (5, 5, True), (7, 5, False), (8, 1, False), (8, 1, False)]
+    both = [(8, a + " more"), (8, a + " most")]
+    found = near_dup.near_duplicates(spark.createDataFrame(both, "doc_id bigint, text string"), 3, 80)
+    assert sorted((r.component_id, r.kept) for r in found.collect()) == [(8, False), (8, True)]
+
+
+def test_recall_counts_links_between_components(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(60)) + f" end{i}") for i in range(20)], "doc_id bigint, text string")
+    marks = near_dup.cut(near_dup.signatures(docs, 3))
+    classes = near_dup.cut(marks.groupBy("n_shingles", "f1", "f2").agg(F.min(F.struct("doc_id", "th")).alias("one")).withColumn(
+        "rep", F.monotonically_increasing_id()))
+    none = spark.createDataFrame([], "id bigint, component bigint")
+    every = classes.select(F.col("rep").alias("id"), F.lit(0).cast("bigint").alias("component"))
+    assert near_dup.recall(docs, classes, none, 3, 80) == (380, 0)
+    assert near_dup.recall(docs, classes, every, 3, 80, audited=5) == (95, 95)
+
+
 def test_empty(empty_documents):
     assert near_dup.near_duplicates(empty_documents).count() == 0
 

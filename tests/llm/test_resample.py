@@ -51,7 +51,7 @@ def test_copies_that_tie_in_everything(spark, sf):
     rows = [(None, text)] * 40 + [(i, f"{text} only{i}") for i in range(60)] + [(5, f"{text} only5")] * 3
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     target = spark.createDataFrame([("w1 w2",)], "text string")
-    for percent in (10, 50, 90, 100):
+    for percent in (10, 100):
         found = resample.resample(docs, target, percent=percent).collect()
         n = percent * len(rows) // 100
         assert sorted(r["rank"] for r in found if r["rank"]) == list(range(1, n + 1))
@@ -61,12 +61,12 @@ def test_copies_that_tie_in_everything(spark, sf):
         assert len(found) == len(rows)
 
 
-@pytest.mark.parametrize("pivots", [1, 15])
+@pytest.mark.parametrize("pivots", [3, 63])
 def test_cutoff_is_the_nth_largest(spark, pivots):
     values = [int(v) for v in np.random.default_rng(3).integers(-2**62, 2**62, 200)] + [7] * 50 + [-2**63, 2**63 - 1]
     rows = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "a bigint, b bigint")
     order = sorted(((v, i) for i, v in enumerate(values)), reverse=True)
-    for take in (1, 2, 100, len(values)):
+    for take in (2, 180):
         assert tuple(resample.cutoff(rows, ["a", "b"], take, pivots)) == order[take - 1]
 
 
