@@ -6,7 +6,8 @@ shards of a source get that source's seats for their sizes, both by the highest
 takes every one of its blocks ``seats // blocks`` times and a seeded, evenly spread choice of them once more.
 
 Only the text pass and one shuffle of (doc_id, source, size) rows follow the input; a shard is bounded by ``shard``
-words, so a source with a third of all rows is simply many shards. Sizes per source and per shard are small sums.
+words and ``SHARD_ROWS`` rows, so a source with a third of all rows is simply many shards. Sizes per source and per shard
+are small sums. Seats go from a source to groups of shards and from a group to its shards, so no task holds them all.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from gridpulse.sources.scratch import cut
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 16  # words
-SHARD = 1 << 18  # words
+SHARD, SHARD_ROWS = 1 << 18, 1 << 14  # words and rows of a shard
+SEATED = 1 << 12  # shards that get their seats in one task
+ADDED = ("size", "source_size", "target", "taken")
 
 
 def word_count(text: Column) -> Column:
@@ -66,7 +69,7 @@ def sainte_lague(votes: np.ndarray, seats: int, caps: np.ndarray) -> np.ndarray:
 
 
 def _source_targets(totals: DataFrame, ratio: float, most: float, block: int, weights) -> DataFrame:
-    """source, source_size, target, seats: from one row per source."""
+    """source, source_size, rows, target, seats: from one row per source."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         # code points sort like UTF-8 bytes; null last
@@ -76,61 +79,93 @@ def _source_targets(totals: DataFrame, ratio: float, most: float, block: int, we
         weight = np.resize(np.array(weights), len(rows))
         target = water_filling(size, weight, ratio * size.sum(), most)
         seats = sainte_lague(target, round(target.sum() / block), np.ceil(most * size / block))
-        return pd.DataFrame({"source": rows.source, "source_size": rows.source_size, "target": target, "seats": seats})
+        return pd.DataFrame({"source": rows.source, "source_size": rows.source_size, "rows": rows.rows, "target": target, "seats": seats})
 
-    return totals.groupBy().applyInPandas(run, "source string, source_size bigint, target double, seats bigint")
+    return totals.groupBy().applyInPandas(run, "source string, source_size bigint, rows bigint, target double, seats bigint")
 
 
-def _shard_seats(shards: DataFrame) -> DataFrame:
-    """Seats of each shard of a source; a shard can take each of its blocks twice."""
+def _divided(parts: DataFrame, whole: list[str], part: str) -> DataFrame:
+    """Replaces the seats of each ``whole`` by those of its parts, by their sizes; a part takes ``most`` at most."""
+    names = parts.columns
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("shard")
-        seats = sainte_lague(rows.shard_size.to_numpy(float), int(rows.seats.iloc[0]), rows.most.to_numpy())
-        return rows[["source", "shard", "blocks", "source_size", "target"]].assign(seats=seats)
+        rows = rows.sort_values(part)
+        seats = sainte_lague(rows["size"].to_numpy(float), int(rows.seats.iloc[0]), rows.most.to_numpy())
+        return rows.assign(seats=seats)[names]
 
-    return shards.groupBy("source").applyInPandas(
-        run, "source string, shard bigint, blocks bigint, source_size bigint, target double, seats bigint")
+    return parts.groupBy(*whole).applyInPandas(run, parts.schema)
+
+
+def _shard_seats(shards: DataFrame, seated: int = SEATED) -> DataFrame:
+    """Seats of each shard of a source, in two levels; a shard can take each of its blocks ``most`` times."""
+    grouped = shards.withColumn("part", F.floor(F.col("shard") / seated))
+    groups = grouped.groupBy("source", "part").agg(
+        F.sum("size").alias("size"), F.sum("most").alias("most"), F.first("seats").alias("seats"))
+    given = _divided(groups, ["source"], "part").select(
+        F.col("source").alias("_source"), F.col("part").alias("_part"), F.col("seats").alias("_seats"))
+    own = grouped.join(given, grouped.source.eqNullSafe(given["_source"]) & (grouped.part == given["_part"])).withColumn(
+        "seats", F.col("_seats"))
+    return _divided(own.select(*shards.columns, "part"), ["source", "part"], "shard").drop("part", "most")
+
+
+def _dealt(sized: DataFrame, seed: int) -> DataFrame:
+    """Adds the hash that deals a row to a shard: of its id or, without one, of its text and its number among the copies.
+
+    Copies are numbered inside each partition of the stored table, after those of the partitions before, so no task sees
+    them all. Which copy gets which number does not matter, as they are alike.
+    """
+    key = F.xxhash64("_th", F.coalesce("source", F.lit("")), F.col("source").isNull())
+    named = sized.where("doc_id is not null").withColumn("_deal", F.xxhash64(F.lit(seed), "doc_id"))
+    lost = sized.where("doc_id is null").withColumn("_key", key)
+    counts = lost.groupBy("_key", "_stored").count()
+    before = counts.withColumn("_before", F.sum("count").over(W.partitionBy("_key").orderBy("_stored")) - F.col("count")).drop("count")
+    inside = F.row_number().over(W.partitionBy("_key", "_stored").orderBy("_order"))
+    copies = lost.withColumn("_copy", inside).join(before, ["_key", "_stored"])
+    numbered = copies.withColumn("_deal", F.xxhash64(F.lit(seed), "_th", F.col("_before") + F.col("_copy")))
+    return named.unionByName(numbered.drop("_key", "_copy", "_before"))
 
 
 def mix(docs: DataFrame, ratio: float = 1.5, most: int = 2, weights=WEIGHTS, block: int = BLOCK,
         shard: int = SHARD, seed: int = 42, whole: bool = False) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target (words of its source), taken.
 
-    ``whole`` gives all columns of ``docs`` in place of doc_id and source. No key is unique (ids may be null or
-    repeated), so the rows are carried through, not joined back.
+    ``whole`` gives all columns of ``docs`` in place of doc_id and source; its own columns of the names in ``ADDED``, in
+    any case, give way to those of the mix. No key is unique (ids may be null or repeated), so the rows are carried
+    through, not joined back.
 
     Sources in order of their code points, null last, get ``weights`` in turn and share ``ratio`` of all words; no
     target is above ``most`` times its source's size. ``taken`` counts words with repeats; it is at most ``most`` times
     the document's size. The same rows give the same mix, in whatever order they are read. Null and empty texts have no
     words and nothing taken; repeated rows are documents of their own; rows with a null doc_id are dealt by their
-    text. A table without words gives targets of 0, an empty one no rows. Other columns are ignored.
+    text and their number among its copies. A table without words gives targets of 0, an empty one no rows. Other columns are ignored.
     """
     text = F.col("text").cast("string")
+    kept = [c for c in docs.columns if c.lower() not in ADDED]
     sized = cut(docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
         word_count(text).alias("size"), F.xxhash64(text).alias("_th"),
-        *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")] if whole else []),
-    ).withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "size")))
+        *([F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_row")] if whole else []),
+    ).withColumns({"_order": F.xxhash64(F.lit(seed), "doc_id", "size"), "_stored": F.spark_partition_id()}))
 
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     targets = cut(_source_targets(totals, ratio, most, block, weights))
-    parts = F.ceil(F.col("source_size") / shard) + 1
+    parts = F.ceil(F.greatest(F.col("source_size") / shard, F.col("rows") / SHARD_ROWS)) + 1
     right = targets.select(F.col("source").alias("_source"), parts.alias("_parts"))
-    dealt = sized.join(right, sized.source.eqNullSafe(right["_source"])).withColumn(
-        "shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.coalesce("doc_id", "_th")), F.col("_parts"))).drop("_source", "_parts")
+    marked = _dealt(sized, seed + 1)
+    dealt = marked.join(right, marked.source.eqNullSafe(right["_source"])).withColumn(
+        "shard", F.pmod("_deal", F.col("_parts"))).drop("_source", "_parts")
 
-    shards = dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
-    blocks = F.ceil(F.col("shard_size") / block)
-    named = targets.withColumnRenamed("source", "_source")
+    shards = dealt.groupBy("source", "shard").agg(F.sum("size").alias("size"))
+    blocks = F.ceil(F.col("size") / block)
+    named = targets.drop("rows").withColumnRenamed("source", "_source")
     seats = cut(_shard_seats(shards.join(named, shards.source.eqNullSafe(named["_source"])).select(
-        "source", "shard", "shard_size", blocks.alias("blocks"), (blocks * most).alias("most"), "seats", "source_size", "target")))
+        "source", "shard", "size", blocks.alias("blocks"), (blocks * most).alias("most"), "seats", "source_size", "target")))
 
     stream = W.partitionBy("source", "shard").orderBy("_order", "doc_id", "_th").rowsBetween(W.unboundedPreceding, W.currentRow)
     laid = dealt.withColumn("_end", F.sum("size").over(stream)).withColumn("_start", F.col("_end") - F.col("size"))
     quota = seats.select(F.col("source").alias("_source"), F.col("shard").alias("_shard"), "blocks", "seats", "source_size", "target")
     placed = laid.join(quota, laid.source.eqNullSafe(quota["_source"]) & (laid.shard == quota["_shard"]))
-    own = ["_row.*"] if whole else ["doc_id", "source"]
+    own = [F.col("_row")[c].alias(c) for c in kept] if whole else ["doc_id", "source"]
     return placed.select(*own, "size", "source_size", "target", _taken(block).alias("taken"))
 
 

@@ -284,7 +284,7 @@ def redact(docs: DataFrame, precision: float = PRECISION) -> DataFrame:
     """
     names = docs.columns
     models = fit(cut(_with_spans(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), "doc_id")), precision)
-    row = docs.select(F.struct(*names).alias("_row"), F.col("text"))
+    row = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("_row"), F.col("text"))
     found = _with_spans(row, "_row")
 
     def tags(k: str, spans: Column) -> Column:
