@@ -24,6 +24,14 @@ NO_ROWS = "File contains header but no data rows"
 EMPTY_FILE = "File is empty"
 WRONG_ORDER = "columns are in an unexpected order"
 WRONG_FIELD_COUNT = "wrong field count"
+FIELD_LIMIT = 131072  # characters of one field
+TOO_LONG = "Quality validation error: field larger than field limit (131072)"
+# what surrounds a value without being part of it
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+# A quoted field up to before its closing quote, and a whole field: only a quote in front makes a field quoted, and
+# what follows the closing quote belongs to the field as it is.
+QUOTED = r'"[^"]*+(?:""[^"]*+)*+'
+RECORD_FIELD = rf'(?:{QUOTED}"[^,]*+|[^",][^,]*+|)'
 
 
 def _failure(label: str, detail: Column | None = None) -> Column:
@@ -41,13 +49,14 @@ def is_plain(line: Column) -> Column:
     One pattern and one cast; what it does not cover is judged rule by rule.
     """
     start = F.substring_index(line, ",", 1)
-    return line.rlike(PLAIN_ROW) & start.try_cast("timestamp_ntz").isNotNull()
+    return line.rlike(PLAIN_ROW) & (F.length(line) <= FIELD_LIMIT) & start.try_cast("timestamp_ntz").isNotNull()
 
 
 def _rule_by_rule(fields: Column) -> Column:
-    text = {c: F.trim(F.coalesce(F.get(fields, F.lit(i)), F.lit(""))) for i, c in enumerate(RAW_COLUMNS)}
+    text = {c: F.btrim(F.coalesce(F.get(fields, F.lit(i)), F.lit("")), F.lit(BLANKS)) for i, c in enumerate(RAW_COLUMNS)}
     blank = {c: text[c] == "" for c in RAW_COLUMNS}
     rules: list[tuple[Column, Column]] = [
+        (F.exists(fields, lambda f: F.length(f) > FIELD_LIMIT), _failure(TOO_LONG)),
         (F.size(fields) != len(RAW_COLUMNS), _failure(WRONG_FIELD_COUNT)),
         (blank["datetime"], _failure("missing datetime")),
         (parse_timestamp(text["datetime"]).isNull(),
@@ -72,7 +81,7 @@ def _rule_by_rule(fields: Column) -> Column:
 def first_failure(line: Column, fields: Column) -> Column:
     """struct(label, detail) of the first rule a row breaks, null for a good row.
 
-    Order of rules: field count, datetime, CellID, countrycode, then each
+    Order of rules: length of fields, field count, datetime, CellID, countrycode, then each
     measure numeric and not negative. Blank measures and a blank countrycode
     are legal. ``fields`` is only computed for rows that are not plain.
     """
@@ -95,8 +104,13 @@ def row_failure() -> Column:
 
 
 def _listed(names: Column) -> Column:
-    """['a', 'b'] as text."""
-    quoted = F.transform(names, lambda n: F.concat(F.lit("'"), n, F.lit("'")))
+    """['a', 'b'] as text; backslashes and breaks inside a name are written out."""
+    def shown(name: Column) -> Column:
+        for plain, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            name = F.replace(name, F.lit(plain), F.lit(written))
+        return F.concat(F.lit("'"), name, F.lit("'"))
+
+    quoted = F.transform(names, shown)
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
@@ -114,10 +128,16 @@ def header_failure(header: Column) -> Column:
 
 
 def split_line(line: Column) -> Column:
-    """Fields of one CSV line; quoted fields may hold commas."""
+    """Fields of one CSV record; quoted fields may hold commas and line feeds.
+
+    A quote counts only at the start of a field; inside such a field two quotes are one. A quote that is never closed
+    ends with the record.
+    """
     plain = F.split(line, ",")
+    closed = F.concat(line, F.when(line.rlike(rf"\A(?:{RECORD_FIELD},)*+{QUOTED}\z"), '",').otherwise(","))
+    inner = rf'\A{QUOTED.replace("[", "([", 1)})"([^,]*)\z'
     quoted = F.transform(
-        F.split(line, ',(?=(?:[^"]*"[^"]*")*[^"]*$)'),
-        lambda f: F.regexp_replace(F.regexp_replace(f, '^"|"$', ""), '""', '"'),
-    )
+        F.regexp_extract_all(closed, F.lit(rf"({RECORD_FIELD}),"), F.lit(1)),
+        lambda f: F.when(F.startswith(f, F.lit('"')), F.concat(
+            F.replace(F.regexp_extract(f, inner, 1), F.lit('""'), F.lit('"')), F.regexp_extract(f, inner, 2))).otherwise(f))
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain)

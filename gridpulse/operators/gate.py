@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from gridpulse.functions.rowrules import (
-    BATCH_PASSED, EMPTY_FILE, NO_ROWS, PASSED, header_failure, line_failure, row_failure, split_line,
+    BATCH_PASSED, EMPTY_FILE, NO_ROWS, PASSED, TOO_LONG, header_failure, line_failure, row_failure, split_line,
 )
 from gridpulse.operators.sizes import broadcast_if_small
 from gridpulse.sources.scratch import cut
@@ -49,7 +49,8 @@ def verdicts(facts: DataFrame, passed_text: str = PASSED) -> DataFrame:
     """One row per file: filename, valid, row_count, reason.
 
     ``row_count`` is the total for a valid file, the number of the first
-    failing row for a file with a bad row, and 0 for a refused header.
+    failing row for a file with a bad row, and 0 for a refused header. A row
+    with a field beyond the limit cannot be read: only those before it count.
     """
     if "header_reason" not in facts.columns:
         facts = facts.withColumn("header_reason", F.lit(None).cast("string"))
@@ -66,15 +67,16 @@ def verdicts(facts: DataFrame, passed_text: str = PASSED) -> DataFrame:
         F.min(F.when(F.col("row_no").isNotNull(),
                      F.struct("row_no", F.col("bad.failure").alias("failure")))).alias("first"),
     )
-    failing = F.concat(F.col("first.failure.label"), F.lit(" at row "),
-                       F.col("first.row_no").cast("string"), F.col("first.failure.detail"))
+    unread = F.col("first.failure.label") == TOO_LONG
+    failing = F.when(unread, TOO_LONG).otherwise(F.concat(
+        F.col("first.failure.label"), F.lit(" at row "), F.col("first.row_no").cast("string"), F.col("first.failure.detail")))
     header_bad = F.col("header_reason").isNotNull()
     row_bad = F.col("first").isNotNull()
     no_rows = F.col("rows") == 0
     return per_file.select(
         "filename",
         (~header_bad & ~row_bad & ~no_rows).alias("valid"),
-        F.when(header_bad, F.lit(0)).when(row_bad, F.col("first.row_no"))
+        F.when(header_bad, F.lit(0)).when(row_bad, F.col("first.row_no") - unread.cast("int"))
         .otherwise(F.col("rows")).cast("bigint").alias("row_count"),
         F.when(header_bad, F.col("header_reason")).when(row_bad, failing)
         .when(no_rows, F.lit(NO_ROWS)).otherwise(F.lit(passed_text)).alias("reason"),

@@ -20,7 +20,7 @@ from gridpulse.operators.checks import Rules
 from gridpulse.schemas import (
     ACTIVITY_COLUMNS, CLEAN_COLUMNS, CLEAN_GRAIN, HOURLY_COLUMNS, HOURLY_GRAIN, MEASURES, TOTALS,
 )
-from gridpulse.sources.delimited import list_files, read_lines
+from gridpulse.sources.delimited import list_files, read_records
 from gridpulse.sources.geojson import require_cells
 from gridpulse.sources.sinks import read_ledger, verify, write_csv, write_zone
 from gridpulse.sources.tables import present, read_table
@@ -193,7 +193,7 @@ def delivery_summary(spark: SparkSession, run: Run, zones: Zones) -> DataFrame:
 
 def validate_landing(spark: SparkSession, landing: str, out: str) -> DataFrame:
     """Verdicts of all landing files without routing them, kept as JSON rows."""
-    found = gate.batch_verdicts(read_lines(spark, landing), list_files(spark, landing))
+    found = gate.batch_verdicts(read_records(spark, landing), list_files(spark, landing))
     write_zone(found.select("file_path", "valid", "row_count", "reason"), out, "results")
     return spark.read.schema("file_path string, valid boolean, row_count bigint, reason string").json(out)
 

@@ -28,6 +28,21 @@ judged AS (
   FROM placed)
 """
 
+# Line breaks in quotes: only days 2 and 3 of eight have a row that fails for it, their last one.
+BROKEN = RAW + """,
+placed AS (
+  SELECT *, row_no = max(row_no) OVER (PARTITION BY source_filename) AS hit, day(h) % 8 AS d FROM raw),
+judged AS (
+  SELECT source_filename, row_no,
+    CASE WHEN TRY_CAST(datetime AS TIMESTAMP) IS NULL THEN 'invalid datetime at row ' || row_no || ': ' || datetime
+         WHEN "CellID" IS NULL THEN 'missing CellID at row ' || row_no
+         WHEN hit AND d = 2 THEN 'non-numeric smsin at row ' || row_no || ': a' || chr(10) || '"b'
+         WHEN smsin < 0 THEN 'negative smsin at row ' || row_no || ': -1.0'
+         WHEN hit AND d = 3 THEN 'negative smsout at row ' || row_no || ': -1.0'
+    END AS reason
+  FROM placed)
+"""
+
 ACCEPTED = VERDICTS + CLEAN[len(RAW):].replace(
     "FROM kept)", "FROM kept WHERE source_filename IN (SELECT filename FROM verdicts WHERE valid))")
 
@@ -45,6 +60,11 @@ SELECT source_filename AS filename, max(d) NOT IN (13, 14) AND count(reason) = 0
        CASE max(d) WHEN 13 THEN 'missing columns: [''internet'']' WHEN 14 THEN 'columns are in an unexpected order'
             ELSE coalesce(arg_min(reason, row_no) FILTER (WHERE reason IS NOT NULL), 'Minimum quality checks passed')
        END AS reason
+FROM judged GROUP BY 1"""),
+        "line_break_verdicts": _with(BROKEN, """
+SELECT source_filename AS filename, count(reason) = 0 AS valid,
+       coalesce(min(row_no) FILTER (WHERE reason IS NOT NULL), count(*)) AS row_count,
+       coalesce(arg_min(reason, row_no) FILTER (WHERE reason IS NOT NULL), 'Minimum quality checks passed') AS reason
 FROM judged GROUP BY 1"""),
         "validation_results": _with(VERDICTS, """
 SELECT filename AS file_path, valid, row_count, CASE WHEN valid THEN 'Validation passed' ELSE reason END AS reason

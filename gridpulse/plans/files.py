@@ -100,7 +100,29 @@ def line_file_verdicts(spark, sf_dir):
     """Verdicts from text lines: every rule is broken by some file."""
     raw = fixture.raw_activity(spark, sf_dir)
     landing = place_files(spark, damaged_lines(raw), scratch_path(spark, "landing"))
-    return gate.file_verdicts(delimited.read_lines(spark, landing), delimited.list_files(spark, landing))
+    return gate.file_verdicts(delimited.read_records(spark, landing), delimited.list_files(spark, landing))
+
+
+def broken_lines(raw: DataFrame) -> DataFrame:
+    """Deliveries with quoted line breaks: around a value, inside one, and with an empty line between."""
+    keys = F.struct("h", "g", "cc")
+    ends = cut(raw.groupBy("source_filename").agg(F.min(keys).alias("_first"), F.max(keys).alias("_last")))
+    rows = raw.join(ends, "source_filename")
+    day, first, last = F.dayofmonth("h") % 8, F.col("_first") == keys, F.col("_last") == keys
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_COLUMNS}
+    text["CellID"] = F.when(last & (day == 1), F.concat(F.lit('"'), text["CellID"], F.lit('\n"'))).otherwise(text["CellID"])
+    text["countrycode"] = F.when(first & day.isin(1, 3), F.concat(F.lit('"\n\n'), text["countrycode"], F.lit('"'))).otherwise(text["countrycode"])
+    text["smsin"] = F.when(last & (day == 2), '"a\n""b"').otherwise(text["smsin"])
+    text["smsout"] = F.when(last & (day == 3), "-1").otherwise(text["smsout"])
+    return delivery_lines(rows, F.concat_ws(",", *text.values()))
+
+
+@query
+def line_break_verdicts(spark, sf_dir):
+    """Verdicts of files whose quoted fields hold line breaks; row numbers count records, not lines."""
+    raw = fixture.raw_activity(spark, sf_dir)
+    landing = place_files(spark, broken_lines(raw), scratch_path(spark, "landing"))
+    return gate.file_verdicts(delimited.read_records(spark, landing), delimited.list_files(spark, landing))
 
 
 @query

@@ -6,7 +6,10 @@ from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gridpulse.operators.sizes import broadcast_if_small
 from gridpulse.schemas import FILE_PATTERN, RAW_TEXT_SCHEMA
+from gridpulse.sources.records import opens_quote, quoted_records
+from gridpulse.sources.scratch import cut
 
 # any CSV whose name contains "mi-", whatever the case
 LOOSE_PATTERN = "*[mM][iI]-*.[cC][sS][vV]"
@@ -60,9 +63,33 @@ def positioned(lines: DataFrame) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> DataFrame:
-    """Lines of all matching files, with the file and split each came from."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(path)
-    return positioned(with_origin(lines))
+    """Physical lines of all matching files, with the file and split each came from; blank ones are left out."""
+    return positioned(physical_lines(spark, path, pattern))
+
+
+def physical_lines(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> DataFrame:
+    return with_origin(spark.read.option("pathGlobFilter", pattern).text(path))
+
+
+def read_records(spark: SparkSession, path: str, pattern: str = FILE_PATTERN) -> DataFrame:
+    """CSV records of all matching files, as :func:`read_lines` gives lines."""
+    return joined_records(physical_lines(spark, path, pattern))
+
+
+def joined_records(lines: DataFrame) -> DataFrame:
+    """Lines as positioned records: a quoted line break does not end one.
+
+    Files without such a line keep their lines as they come from the scan. Which files have one is found first, by a
+    test that only lines with a quote take; only their lines are shuffled.
+    """
+    open_ended = cut(lines.where(opens_quote(F.col("value"))).select("filename").distinct())
+    plain = positioned(lines)
+    if open_ended.isEmpty():
+        return plain
+    names = broadcast_if_small(open_ended)
+    every = lines.withColumn("position", F.monotonically_increasing_id())
+    records = quoted_records(every.join(names, "filename", "left_semi"))
+    return plain.join(names, "filename", "left_anti").unionByName(records)
 
 
 def with_origin(lines: DataFrame) -> DataFrame:

@@ -13,10 +13,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from gridpulse.functions.rowrules import EMPTY_FILE, split_line
+from gridpulse.functions.rowrules import BLANKS, EMPTY_FILE, split_line
 from gridpulse.operators import gate
 from gridpulse.schemas import FILE_PATTERN, RAW_COLUMNS, RAW_TEXT_SCHEMA
-from gridpulse.sources.delimited import list_files, positioned, read_lines, with_origin
+from gridpulse.sources.delimited import joined_records, list_files, positioned, read_lines, read_records, with_origin
 from gridpulse.sources.scratch import cut
 from gridpulse.sources.sinks import append_ledger, read_ledger, write_zone
 
@@ -43,7 +43,9 @@ class Zones:
 def delivered_rows(lines: DataFrame) -> DataFrame:
     """Data rows of accepted files. The header is the one line that equals it:
     a file with a second copy would have been refused."""
-    fields = split_line(F.col("value"))
+    # line breaks around a value, inside its quotes, are no part of it
+    fields = F.transform(split_line(F.col("value")), lambda f: F.when(
+        F.contains(f, F.lit("\n")), F.btrim(f, F.lit(BLANKS))).otherwise(f))
     header = F.array(*[F.lit(c) for c in RAW_COLUMNS])
     return (
         lines.where(F.col("value") != "").withColumn("_f", fields).where(F.col("_f") != header)
@@ -60,9 +62,11 @@ def has_glob_name(names: list[str]) -> bool:
     return any(GLOB_CHARACTERS & set(n) for n in names)
 
 
-def settle(spark: SparkSession, lines: DataFrame, zones: Zones, verdict: DataFrame,
+def settle(spark: SparkSession, records: DataFrame, lines: DataFrame, zones: Zones, verdict: DataFrame,
            processed_at: datetime | None = None) -> DataFrame:
-    """Route judged files, write the lines of each to its zone, record them; returns the routing.
+    """Route judged files, write the rows of each to its zone, record them; returns the routing.
+
+    Accepted files go as records, refused ones as the lines they were delivered in.
 
     The ledger tells which names a zone already holds, so no zone is scanned.
     Lines find their file's status by a join; names never pass the driver.
@@ -73,13 +77,13 @@ def settle(spark: SparkSession, lines: DataFrame, zones: Zones, verdict: DataFra
     # one row per file, needed by the jobs below
     routed = cut(gate.route(verdict, known[gate.ACCEPTED], known[gate.REJECTED]))
 
-    def of(status: str) -> DataFrame | None:
+    def of(rows: DataFrame, status: str) -> DataFrame | None:
         chosen = routed.where((F.col("status") == status) & (F.col("reason") != EMPTY_FILE))
-        return None if chosen.isEmpty() else gate.rows_of(lines, routed, status)
+        return None if chosen.isEmpty() else gate.rows_of(rows, routed, status)
 
-    if (good := of(gate.ACCEPTED)) is not None:
+    if (good := of(records, gate.ACCEPTED)) is not None:
         write_zone(delivered_rows(good), zones.raw, "raw")
-    if (bad := of(gate.REJECTED)) is not None:
+    if (bad := of(lines, gate.REJECTED)) is not None:
         write_zone(bad.select(F.col("filename").alias("source_filename"), "value"), zones.rejected, "rejected")
     append_ledger(gate.ledger_entries(routed, stamp), zones.ledger)
     return routed
@@ -88,9 +92,9 @@ def settle(spark: SparkSession, lines: DataFrame, zones: Zones, verdict: DataFra
 def ingest(spark: SparkSession, landing: str, zones: Zones, pattern: str = FILE_PATTERN,
            processed_at: datetime | None = None) -> DataFrame:
     """One batch run over everything in the landing zone."""
-    lines = read_lines(spark, landing, pattern)
-    verdict = gate.file_verdicts(lines, list_files(spark, landing, pattern))
-    return settle(spark, lines, zones, verdict, processed_at)
+    records = read_records(spark, landing, pattern)
+    verdict = gate.file_verdicts(records, list_files(spark, landing, pattern))
+    return settle(spark, records, read_lines(spark, landing, pattern), zones, verdict, processed_at)
 
 
 def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
@@ -108,15 +112,15 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
     )
 
     def take(batch: DataFrame, _id: int) -> None:
-        session, lines = batch.sparkSession, positioned(batch)
-        verdict = cut(gate.file_verdicts(lines))
+        session, records, lines = batch.sparkSession, joined_records(batch), positioned(batch)
+        verdict = cut(gate.file_verdicts(records))
         # bounded by files_per_batch
         names = [r.filename for r in verdict.select("filename").collect()]
         if has_glob_name(names):
             # the file stream reads other files twice next to such a name: its batch is read from the folder
-            lines = gate.of_files(read_lines(session, landing, pattern), verdict)
-            verdict = gate.file_verdicts(lines)
-        settle(session, lines, zones, verdict)
+            records, lines = (gate.of_files(read(session, landing, pattern), verdict) for read in (read_records, read_lines))
+            verdict = gate.file_verdicts(records)
+        settle(session, records, lines, zones, verdict)
 
     run = (
         with_origin(arriving).writeStream.foreachBatch(take)
@@ -128,7 +132,7 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
     silent = cut(listed.join(recorded, "filename", "left_anti"))
     if not silent.isEmpty():
         no_lines = read_lines(spark, landing, pattern).where(F.lit(False))
-        settle(spark, no_lines, zones, gate.file_verdicts(no_lines, silent))
+        settle(spark, no_lines, no_lines, zones, gate.file_verdicts(no_lines, silent))
 
 
 def read_raw(spark: SparkSession, zones: Zones, files: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridpulse.operators import gate
 from gridpulse.plans import fixture
 from gridpulse.schemas import RAW_COLUMNS, RAW_MEASURES
-from gridpulse.sources.delimited import list_files, read_lines, require_files
+from gridpulse.sources.delimited import list_files, read_lines, read_records, require_files
 from gridpulse.streaming.arrivals import Zones, ingest, ingest_new, read_raw
 
 HEADER = ",".join(RAW_COLUMNS)
@@ -93,6 +93,18 @@ CONTENT = {
     "with space": [HEADER, GOOD],
     "with+plus": [HEADER, GOOD],
     "glob[1]": [HEADER, GOOD],
+    "break-around": [HEADER, '"2013-11-01 00:00:00\n","\n1",39,0.5,,1,,2', GOOD],
+    "break-inside": [HEADER, GOOD, '2013-11-01 00:00:00,1,39,"1\n\n2",,1,,2', GOOD],
+    "break-then-bad": [HEADER, '2013-11-01 00:00:00,1,"39\n\n\n",0.5,,1,,2', "", GOOD, GOOD.replace("39", "3x")],
+    "break-in-header": [HEADER.replace("CellID", '"Cell\nID"'), GOOD],
+    "two-breaks": [HEADER, '"2013-11-01 00:00:00\n","1\n",39,"0.5\n",,1,,"2\n"', GOOD, GOOD + ",9"],
+    "never-closed": [HEADER, GOOD, '2013-11-01 00:00:00,1,39,"0.5,,1,,2', GOOD, "", GOOD],
+    "closed-at-the-end": [HEADER, GOOD, GOOD, GOOD.replace(",2", ',"2')],
+    "quote-in-the-middle": [HEADER, '2013-11-01 00:00:00,1,39,0"5,,1,,2', GOOD],
+    "quotes-in-two-fields": [HEADER, '2013-11-01 00:00:00,1,39,0"5,,1"2,,2', GOOD],
+    "text-after-quote": [HEADER, '2013-11-01 00:00:00,"1"2,39,0.5,,1,,"2"', GOOD],
+    "doubled-quotes": [HEADER, '2013-11-01 00:00:00,1,39,"a""b\n""",,1,,2', GOOD],
+    "tabs": [HEADER, "2013-11-01 00:00:00\t,\t1,39,0.5,,1,,2"],
 }
 
 
@@ -106,6 +118,9 @@ def landing(tmp_path):
     big[4001] = "2013-11-01 00:00:00,1,39,1,1,1,1,-3"
     (d / "sms-call-internet-mi-big.csv").write_text("\r\n".join(big))
     (d / "sms-call-internet-mi-bigok.csv").write_text("\n".join([HEADER] + [GOOD] * 7000))
+    wide = [HEADER] + [GOOD] * 700  # a field of many lines, over several splits, and more rows after it
+    wide[300] = '2013-11-01 00:00:00,1,"39' + "\n" * 40_000 + '",1,1,1,1,1'
+    (d / "sms-call-internet-mi-wide.csv").write_text("\n".join(wide + [GOOD.replace("39", "3x")]))
     (d / "other.csv").write_text("x\n")
     return d
 
@@ -115,7 +130,7 @@ def test_file_verdicts(spark, landing, split_bytes):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
-        lines = read_lines(spark, str(landing))
+        lines = read_records(spark, str(landing))
         rows = gate.file_verdicts(lines, list_files(spark, str(landing))).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -201,3 +216,23 @@ def test_latest_entries_and_ledger(spark, sf):
     entries = gate.ledger_entries(gate.route(verdict, none, none), datetime(2024, 2, 1))
     assert entries.columns == ["filename", "status", "row_count", "reason", "processed_at"]
     assert gate.latest_entries(entries, 3).count() == 3
+
+
+@pytest.mark.parametrize("split_bytes", ["128m", "200000"])
+def test_fields_beyond_the_limit(spark, tmp_path, split_bytes):
+    """A quote that is never closed makes the rest of a file one field; only the rows before it are read."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    text = {"line": [HEADER, GOOD, "2013-11-01 00:00:00,1,39," + "9" * 131_073 + ",1,1,1,1"], "fits": [HEADER, GOOD.replace("39", "3" * 131_072)],
+            "rest": [HEADER, GOOD, GOOD, '2013-11-01 00:00:00,1,39,"1,1,1,1,1', *[GOOD] * 60_000]}
+    for name, lines in text.items():
+        (folder / f"sms-call-internet-mi-{name}.csv").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        rows = gate.file_verdicts(read_records(spark, str(folder)), list_files(spark, str(folder))).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = {r.filename[len("sms-call-internet-mi-"):-4]: (r.valid, r.row_count, r.reason) for r in rows}
+    limit = "Quality validation error: field larger than field limit (131072)"
+    assert got == {"line": (False, 1, limit), "rest": (False, 2, limit), "fits": (True, 1, "Minimum quality checks passed")}
