@@ -21,7 +21,8 @@ from gridpulse.schemas import (
     ACTIVITY_COLUMNS, CLEAN_COLUMNS, CLEAN_GRAIN, HOURLY_COLUMNS, HOURLY_GRAIN, MEASURES, TOTALS,
 )
 from gridpulse.sources.delimited import list_files, read_records
-from gridpulse.sources.geojson import require_cells
+from gridpulse.sources.geojson import cell_lookup, read_features, require_cells
+from gridpulse.sources.scratch import cut
 from gridpulse.sources.sinks import read_ledger, verify, write_csv, write_zone
 from gridpulse.sources.tables import present, read_table
 from gridpulse.streaming.arrivals import Zones, ingest, ingest_new, read_raw
@@ -199,8 +200,12 @@ def validate_landing(spark: SparkSession, landing: str, out: str) -> DataFrame:
 
 
 def quality(run: Run, detail: DataFrame, hourly: DataFrame, activity: DataFrame, lookup: DataFrame,
-            star_tables: tuple[DataFrame, DataFrame, DataFrame], expected: Expected, earlier_rows: int = 0) -> DataFrame:
-    """The check table of one run; ``earlier_rows`` are clean rows of earlier runs."""
+            star_tables: tuple[DataFrame, DataFrame, DataFrame], expected: Expected, earlier_rows: int = 0,
+            features: DataFrame | None = None) -> DataFrame:
+    """The check table of one run; ``earlier_rows`` are clean rows of earlier runs.
+
+    ``features`` are those of the reference as delivered, unusable ones included.
+    """
     m = run.metrics["processed/detail"]
     detail_rules = Rules(
         grain=CLEAN_GRAIN, required=CLEAN_COLUMNS, not_null=[c for c in CLEAN_COLUMNS if c != "country_code"],
@@ -213,8 +218,9 @@ def quality(run: Run, detail: DataFrame, hourly: DataFrame, activity: DataFrame,
         distinct={"timestamp": expected.timestamps} if expected.timestamps else {},
         distinct_dates=expected.dates,
         id_range=("grid_id", expected.cells) if expected.cells else None)
-    features = lookup.select(
-        F.lit("FeatureCollection").alias("document_type"), F.col("grid_id").cast("string").alias("cell_id"), "geometry")
+    if features is None:
+        features = lookup.select(
+            F.lit("FeatureCollection").alias("document_type"), F.col("grid_id").cast("string").alias("cell_id"), "geometry")
     broken = star.constraint_summary(*star_tables).agg(F.sum("violations").alias("violations"))
     parts = [
         checks.table_checks(detail, "clean", detail_rules),
@@ -236,23 +242,30 @@ def quality(run: Run, detail: DataFrame, hourly: DataFrame, activity: DataFrame,
     return checks.collect_checks(*parts)
 
 
-def run_day(spark: SparkSession, landing: str, root: str, lookup: DataFrame, run_id: str,
+def run_day(spark: SparkSession, landing: str, root: str, lookup: DataFrame | str, run_id: str,
             expected: Expected = Expected(), strict: bool = False, rebuild: bool = False) -> Run:
     """Gate, clean, aggregate, enrich, roll up, alert, load, check and record.
 
     A run judges the files that are new in the landing zone, reads only these
     from the raw zone and replaces only the dates they hold; rollups over all
     dates, alerts and the warehouse follow from the hourly table. ``rebuild``
-    judges all of landing again and makes every table anew.
+    judges all of landing again and makes every table anew. ``lookup`` is the
+    path of the delivered reference, whose features are then checked as they
+    came, or a table of cells. Totals of the deliveries are recorded too.
     """
     run, zones = Run(root), Zones(root)
+    features = None
+    if isinstance(lookup, str):
+        features = cut(read_features(spark, lookup))
+        lookup = cut(cell_lookup(features).dropDuplicates(["grid_id"]))
     require_cells(lookup)
     tasks = {}
     if rebuild:
-        ingest(spark, landing, zones)
+        ingest(spark, landing, zones, owner=run_id)
     else:
         ingest_new(spark, landing, zones, run.path("logs/arrivals"))
     tasks["ingest"] = "SUCCESS"
+    delivery_summary(spark, run, zones)
     done = _stored(spark, run.path("processed/detail"))
     files = None if rebuild or done is None else new_files(spark, run, zones)
     earlier = done.where(F.col("row_status") == "clean").count() if files is not None else 0
@@ -272,7 +285,7 @@ def run_day(spark: SparkSession, landing: str, root: str, lookup: DataFrame, run
     tasks["load_warehouse"] = "SUCCESS"
 
     verify(spark, run.path("processed/activity"), run.metrics["processed/hourly_grid"]["rows"])
-    verdicts = quality(run, detail, hourly, activity, lookup, (fact, times, grids), expected, earlier)
+    verdicts = quality(run, detail, hourly, activity, lookup, (fact, times, grids), expected, earlier, features)
     write_zone(verdicts, run.path("logs/quality"), "analytics")
     stored = read_table(spark, run.path("logs/quality"))
     failed = stored.where(~F.col("passed")).limit(1).count()

@@ -168,12 +168,15 @@ def geojson_cells(spark, sf_dir):
     cells = cut(fixture.cell_lookup(spark, sf_dir))
     feature = F.concat(F.lit('{"type":"Feature","id":'), (F.col("grid_id") - 1).cast("string"), F.lit(',"properties":{"cellId":'),
                        F.col("grid_id").cast("string"), F.lit('},"geometry":'), F.col("geometry"), F.lit("}"))
-    lines = cells.select(feature.alias("value"))
-    per_line, document = scratch_path(spark, "geojson"), scratch_path(spark, "geojson")
-    lines.write.text(per_line)
-    whole = lines.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['),
-                               F.array_join(F.array_sort(F.collect_list("value")), ","), F.lit("]}")).alias("value"))
-    whole.write.text(document)
+    per_line, staged = scratch_path(spark, "geojson"), scratch_path(spark, "geojson")
+    cells.select(feature.alias("value")).write.text(per_line)
+    # a document is one file, so one task writes it, row by row; the features before each comma end at no line
+    ends = cut(cells.agg(F.min("grid_id").alias("low"), F.max("grid_id").alias("high")))
+    opening = F.when(F.col("grid_id") == F.col("low"), '{"type":"FeatureCollection","features":[').otherwise("")
+    closing = F.when(F.col("grid_id") == F.col("high"), "]}").otherwise(",")
+    row = cells.join(F.broadcast(ends)).select("grid_id", F.concat(opening, feature, closing).alias("value"))
+    row.repartition(1).sortWithinPartitions("grid_id").select("value").write.option("lineSep", " ").text(staged)
+    document = staged
     sources = {"document": geojson.read_lookup(spark, document), "lines": geojson.read_lookup(spark, per_line, one_per_line=True)}
     out = [geojson.require_cells(df).withColumn("source", F.lit(n)) for n, df in sources.items()]
     return out[0].unionByName(out[1])

@@ -7,6 +7,7 @@ the ledger is appended last, so a repeated attempt ends in the same state.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -18,7 +19,7 @@ from gridpulse.operators import gate
 from gridpulse.schemas import FILE_PATTERN, RAW_COLUMNS, RAW_TEXT_SCHEMA
 from gridpulse.sources.delimited import joined_records, list_files, positioned, read_lines, read_records, with_origin
 from gridpulse.sources.scratch import cut
-from gridpulse.sources.sinks import append_ledger, read_ledger, write_zone
+from gridpulse.sources.sinks import append_ledger, claim, read_ledger, release, write_zone
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,9 @@ class Zones:
     def ledger(self) -> str:
         return f"{self.root}/logs/ingestion"
 
+    def claims(self, status: str) -> str:
+        return f"{self.root}/logs/claims/{status.lower()}"
+
 
 def delivered_rows(lines: DataFrame) -> DataFrame:
     """Data rows of accepted files. The header is the one line that equals it:
@@ -62,20 +66,40 @@ def has_glob_name(names: list[str]) -> bool:
     return any(GLOB_CHARACTERS & set(n) for n in names)
 
 
+def claimed(spark: SparkSession, routed: DataFrame, zones: Zones, status: str, owner: str) -> DataFrame:
+    """Names of files with this status that another run has taken in the meantime."""
+    names = (r.filename for r in routed.where(F.col("status") == status).select("filename").toLocalIterator())
+    return spark.createDataFrame([(n,) for n in claim(spark, zones.claims(status), names, owner)], "filename string")
+
+
+def release_claims(spark: SparkSession, zones: Zones) -> int:
+    """Free the names that runs took and never recorded, after a failure and while no run is active."""
+    ledger = cut(read_ledger(spark, zones.ledger))
+    names = lambda s: (r.filename for r in ledger.where(F.col("status") == s).select("filename").distinct().toLocalIterator())
+    return sum(release(spark, zones.claims(s), names(s)) for s in (gate.ACCEPTED, gate.REJECTED))
+
+
 def settle(spark: SparkSession, records: DataFrame, lines: DataFrame, zones: Zones, verdict: DataFrame,
-           processed_at: datetime | None = None) -> DataFrame:
+           processed_at: datetime | None = None, owner: str | None = None) -> DataFrame:
     """Route judged files, write the rows of each to its zone, record them; returns the routing.
 
     Accepted files go as records, refused ones as the lines they were delivered in.
 
     The ledger tells which names a zone already holds, so no zone is scanned.
-    Lines find their file's status by a join; names never pass the driver.
+    What it does not hold is claimed name by name, so of two runs at once one
+    takes a file and the other records a duplicate. ``owner`` names the run: a
+    repeated attempt with the same one keeps its claims. Lines find their
+    file's status by a join.
     """
     stamp = processed_at or datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
     ledger = read_ledger(spark, zones.ledger)
     known = {s: ledger.where(F.col("status") == s).select("filename") for s in (gate.ACCEPTED, gate.REJECTED)}
+    verdict = cut(verdict)
     # one row per file, needed by the jobs below
     routed = cut(gate.route(verdict, known[gate.ACCEPTED], known[gate.REJECTED]))
+    taken = {s: claimed(spark, routed, zones, s, owner or uuid.uuid4().hex) for s in known}
+    if not all(t.isEmpty() for t in taken.values()):
+        routed = cut(gate.route(verdict, *(known[s].unionByName(taken[s]) for s in (gate.ACCEPTED, gate.REJECTED))))
 
     def of(rows: DataFrame, status: str) -> DataFrame | None:
         chosen = routed.where((F.col("status") == status) & (F.col("reason") != EMPTY_FILE))
@@ -90,11 +114,11 @@ def settle(spark: SparkSession, records: DataFrame, lines: DataFrame, zones: Zon
 
 
 def ingest(spark: SparkSession, landing: str, zones: Zones, pattern: str = FILE_PATTERN,
-           processed_at: datetime | None = None) -> DataFrame:
+           processed_at: datetime | None = None, owner: str | None = None) -> DataFrame:
     """One batch run over everything in the landing zone."""
     records = read_records(spark, landing, pattern)
     verdict = gate.file_verdicts(records, list_files(spark, landing, pattern))
-    return settle(spark, records, read_lines(spark, landing, pattern), zones, verdict, processed_at)
+    return settle(spark, records, read_lines(spark, landing, pattern), zones, verdict, processed_at, owner)
 
 
 def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
@@ -120,7 +144,8 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
             # the file stream reads other files twice next to such a name: its batch is read from the folder
             records, lines = (gate.of_files(read(session, landing, pattern), verdict) for read in (read_records, read_lines))
             verdict = gate.file_verdicts(records)
-        settle(session, records, lines, zones, verdict)
+        # a batch that is tried again finds its own claims
+        settle(session, records, lines, zones, verdict, owner=f"{checkpoint}#{_id}")
 
     run = (
         with_origin(arriving).writeStream.foreachBatch(take)
@@ -132,7 +157,7 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
     silent = cut(listed.join(recorded, "filename", "left_anti"))
     if not silent.isEmpty():
         no_lines = read_lines(spark, landing, pattern).where(F.lit(False))
-        settle(spark, no_lines, no_lines, zones, gate.file_verdicts(no_lines, silent))
+        settle(spark, no_lines, no_lines, zones, gate.file_verdicts(no_lines, silent), owner=f"{checkpoint}#silent")
 
 
 def read_raw(spark: SparkSession, zones: Zones, files: list[str] | None = None) -> DataFrame:

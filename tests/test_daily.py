@@ -189,3 +189,27 @@ def test_cut_reads_back_what_it_wrote(spark):
 
 def test_gate_states_are_the_ledger_states(spark):
     assert {gate.REJECTED, gate.REJECTED_AGAIN} == {"REJECTED", "REJECTED_DUPLICATE"}
+
+
+def test_damaged_reference_fails_the_run(spark, sf, landing, tmp_path):
+    """Checks see the reference as delivered: a cell twice, one without id, one without geometry."""
+    def feature(cell, geometry):
+        return {"type": "Feature", "properties": {"cellId": cell}, "geometry": geometry}
+
+    cells = fixture.cell_lookup(spark, sf).orderBy("grid_id").collect()
+    good = [feature(r.grid_id, json.loads(r.geometry)) for r in cells]
+    bad = [feature(cells[0].grid_id, good[0]["geometry"]), feature(None, good[0]["geometry"]), feature("7x", good[0]["geometry"]), feature(99_999, None)]
+    failing = {}
+    for name, features in (("good", good), ("bad", good + bad)):
+        path = tmp_path / f"{name}.geojson"
+        path.write_text(json.dumps({"type": "FeatureCollection" if name == "good" else "Other", "features": features}))
+        done = daily.run_day(spark, str(landing), str(tmp_path / name), str(path), "r")
+        stored = spark.read.parquet(done.path("logs/quality")).where("dataset = 'reference' and not passed")
+        failing[name] = {(r.check_name, int(float(r.observed))) for r in stored.collect()}
+    assert failing["good"] == set()
+    n = len(good + bad)
+    assert failing["bad"] == {("features outside a collection", n), ("missing ids", 1), ("ids not integer", 1),
+                              ("ids more than once", 1), ("missing geometry", 1)}
+    totals = spark.read.json(done.path("logs/delivery_totals")).first()
+    assert totals.row_count == read_raw(spark, Zones(done.root)).count()
+    assert spark.read.json(done.path("logs/delivery_files")).count() == totals.unique_source_filename

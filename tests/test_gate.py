@@ -1,5 +1,6 @@
 import csv
 import math
+import threading
 from datetime import datetime
 
 import pytest
@@ -9,7 +10,9 @@ from gridpulse.operators import gate
 from gridpulse.plans import fixture
 from gridpulse.schemas import RAW_COLUMNS, RAW_MEASURES
 from gridpulse.sources.delimited import list_files, read_lines, read_records, require_files
-from gridpulse.streaming.arrivals import Zones, ingest, ingest_new, read_raw
+from gridpulse.sources.scratch import cut
+from gridpulse.streaming import arrivals
+from gridpulse.streaming.arrivals import Zones, ingest, ingest_new, read_raw, release_claims
 
 HEADER = ",".join(RAW_COLUMNS)
 GOOD = "2013-11-01 00:00:00,1,39,0.5,,1,,2"
@@ -236,3 +239,61 @@ def test_fields_beyond_the_limit(spark, tmp_path, split_bytes):
     got = {r.filename[len("sms-call-internet-mi-"):-4]: (r.valid, r.row_count, r.reason) for r in rows}
     limit = "Quality validation error: field larger than field limit (131072)"
     assert got == {"line": (False, 1, limit), "rest": (False, 2, limit), "fits": (True, 1, "Minimum quality checks passed")}
+
+
+def test_two_runs_at_once_take_a_name_once(spark, tmp_path, monkeypatch):
+    """Both runs read the ledger before either writes: every file is taken by one of them."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for k in range(6):
+        (folder / f"sms-call-internet-mi-{k}.csv").write_text(f"{HEADER}\n{GOOD if k else 'x'}\n")
+    zones, meet, found, failed = Zones(str(tmp_path / "lake")), threading.Barrier(2), {}, []
+    read = arrivals.read_ledger
+
+    def together(*args):
+        ledger = cut(read(*args))
+        meet.wait(60)
+        return ledger
+
+    def run(name):
+        try:
+            found[name] = {r.filename: r for r in ingest(spark, str(folder), zones, owner=name).collect()}
+        except Exception as e:
+            failed.append(e)
+
+    monkeypatch.setattr(arrivals, "read_ledger", together)
+    runs = [threading.Thread(target=run, args=(n,)) for n in "ab"]
+    [t.start() for t in runs]
+    [t.join() for t in runs]
+    assert not failed
+    for name in found["a"]:
+        pair = {found["a"][name].status, found["b"][name].status}
+        assert pair == ({"REJECTED", "REJECTED_DUPLICATE"} if name.endswith("-0.csv") else {"ACCEPTED", "SKIPPED_DUPLICATE"})
+    monkeypatch.undo()
+    assert read_raw(spark, zones).count() == 5
+    assert sorted(s for _, s in _statuses(spark, zones)) == ["ACCEPTED"] * 5 + ["REJECTED", "REJECTED_DUPLICATE"] + ["SKIPPED_DUPLICATE"] * 5
+
+
+def test_claims_of_a_run_that_broke_off(spark, tmp_path, monkeypatch):
+    """The same run goes on with its claims; another one must have them released first."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "sms-call-internet-mi-a b.csv").write_text(f"{HEADER}\n{GOOD}\n")
+    zones = Zones(str(tmp_path / "lake"))
+
+    def fail(*_):
+        raise RuntimeError("broke off")
+
+    monkeypatch.setattr(arrivals, "write_zone", fail)
+    with pytest.raises(RuntimeError, match="broke off"):
+        ingest(spark, str(folder), zones, owner="one")
+    monkeypatch.undo()
+    assert [r.status for r in ingest(spark, str(folder), zones, owner="two").collect()] == ["SKIPPED_DUPLICATE"]
+    assert [r.status for r in ingest(spark, str(folder), zones, owner="one").collect()] == ["ACCEPTED"]
+    (folder / "sms-call-internet-mi-c.csv").write_text(f"{HEADER}\n{GOOD}\n")
+    monkeypatch.setattr(arrivals, "write_zone", fail)
+    with pytest.raises(RuntimeError, match="broke off"):
+        ingest(spark, str(folder), zones, owner="three")
+    monkeypatch.undo()
+    assert release_claims(spark, zones) == 1
+    assert sorted(r.status for r in ingest(spark, str(folder), zones).collect()) == ["ACCEPTED", "SKIPPED_DUPLICATE"]
