@@ -72,14 +72,41 @@ def read_turns(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
+def pieces(formatted: Column) -> Column:
+    """A formatted conversation cut into one piece per turn, marks included; joined they are the conversation."""
+    blocks = F.filter(F.split(formatted, BLOCK_END, -1), lambda b: b != "")
+
+    def turns(block: Column) -> Column:
+        parts = F.split(block, r" \[TURN\] ", -1)
+        return F.transform(parts, lambda p, i: F.concat(
+            F.when(i > 0, NEXT_TURN).otherwise(""), p, F.when(i == F.size(parts) - 1, BLOCK_END).otherwise("")))
+
+    return F.flatten(F.transform(blocks, turns))
+
+
+def under_mask(formatted: Column, loss_runs: Column) -> Column:
+    """The text that the loss mask covers, cut out of the formatted text and unescaped.
+
+    A run is applied to the piece of its turn, so cutting takes one pass whatever the number of turns; a mask that does
+    not cover the text exactly is an error.
+    """
+    def cut_out(piece: Column, run: Column) -> Column:
+        fits = F.length(piece) == run["skip"] + run["take"] + run["pass"]
+        return F.when(fits, F.substring(piece, run["skip"] + 1, run["take"])).otherwise(
+            F.raise_error(F.lit("the loss mask does not fit the text")).cast("string"))
+
+    return unescape(F.array_join(F.zip_with(pieces(formatted), loss_runs, cut_out), ""))
+
+
 def digests(formatted: DataFrame) -> DataFrame:
     """What reads back from the formatted text: turns, their hash, the text under the loss mask and its hash."""
-    read = formatted.select("conv_id", "formatted", read_turns(F.col("formatted")).alias("_read"))
+    read = formatted.select(
+        "conv_id", "formatted", read_turns(F.col("formatted")).alias("_read"),
+        under_mask(F.col("formatted"), F.col("loss_runs")).alias("_loss"))
     told = F.array_join(F.transform("_read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("_read", lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
     return read.select(
         "conv_id", F.size("_read").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
-        F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("_loss").cast("bigint").alias("loss_chars"), F.sha2("_loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 

@@ -1,3 +1,5 @@
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from gridpulse.llm import chat
@@ -49,5 +51,18 @@ def test_same_roles_share_a_block_and_the_mask_covers_answers(spark):
         assert plain == "".join(text for *_, role, text in want if role == "assistant")
 
 
+def test_loss_comes_from_the_mask(spark):
+    """The mask is part of the plan; a shifted one changes the digests, one of another length is an error."""
+    formatted = chat.format_chats(spark.createDataFrame(ROWS, SCHEMA))
+    assert "loss_runs" in chat.digests(formatted)._jdf.queryExecution().optimizedPlan().toString()
+    moved = lambda skip, last: formatted.withColumn("loss_runs", F.transform("loss_runs", lambda r: F.struct(
+        (r["skip"] + skip).alias("skip"), r["take"].alias("take"), (r["pass"] + last).alias("pass"))))
+    right = {r.conv_id: r.loss_sha256 for r in chat.digests(formatted).collect()}
+    wrong = {r.conv_id: r.loss_sha256 for r in chat.digests(moved(-1, 1)).collect()}
+    assert {c for c in right if right[c] != wrong[c]} == {1, 5}  # the others have no text under the mask
+    with pytest.raises(PySparkException, match="does not fit"):
+        chat.digests(moved(1, 0)).collect()
+
+
 def test_empty(spark):
     assert chat.digests(chat.format_chats(spark.createDataFrame([], SCHEMA))).count() == 0
