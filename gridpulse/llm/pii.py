@@ -5,8 +5,10 @@
    carries a few small integers: format and context features, without the marks that define the base pattern.
 3. Candidates are counted by (feature values, overlapped by a base span or not). That table has at most one row per
    combination of feature values, whatever the corpus, and is all that boosting sees: every candidate takes part.
-4. Trees of depth two are boosted per kind on one half of the documents. A threshold is calibrated on the other half:
-   the lowest score at and above which the share of candidates that are base spans is at least ``precision``.
+4. Trees of depth two are boosted per kind on one half of the documents, with base spans as the positive rows. The other
+   rows are unlabelled, not negative: personal data written without the mark is among them. What share of it is marked is
+   read off rows with evidence of their own, a cue word of the kind in front and a format that marked ones have. On the
+   other half a threshold is calibrated: the lowest score down to which every level has at least ``precision`` of that share.
 5. The trees become column expressions; accepted candidates that no base span overlaps are added.
 """
 
@@ -22,6 +24,8 @@ from gridpulse.sources.scratch import cut
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, RATE, PRECISION, LEAST_SUPPORT = 12, 0.5, 0.99, 20
+# a kind that is marked more rarely than this where cue words announce it is not trusted to be it
+LEAST_MARKED = 0.2
 
 _LOCAL, _LABEL = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 # A match can start where a run of its first class starts, or where the last match ended; so no start is tried twice.
@@ -35,6 +39,8 @@ _WRITTEN = (rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++ ?(?:@|\(at\)|\[at\]|\{{at\}}) ?{_L
             rf"(?: ?(?:\.|\(dot\)|\[dot\]|\{{dot\}}) ?{_LABEL}++)++")
 _STEP = 256
 FEATURES = ("family", "length", "parts", "dots", "paren", "luhn", "octets", "before", "cue")
+FORMAT = FEATURES[:7]
+CUES = {"phone": 1, "card": 2, "ip": 3, "email": 4}
 
 
 def _sum(numbers: Column) -> Column:
@@ -116,8 +122,16 @@ def _bucket(value: Column, bounds: tuple[int, ...]) -> Column:
     return out
 
 
+def _unmarked(value: Column, family: int) -> Column:
+    """A candidate as it reads without, or with, the mark of the strict pattern: both give the same text."""
+    if family == 0:
+        return F.regexp_replace(value, r"\A[+(]+", "")
+    at = F.regexp_replace(value, r" ?(?:@|\(at\)|\[at\]|\{at\}) ?", "@")
+    return F.regexp_replace(at, r" ?(?:\.|\(dot\)|\[dot\]|\{dot\}) ?", ".")
+
+
 def _candidate(span: Column, family: int) -> Column:
-    value, before = span["value"], span["before"]
+    value, before = _unmarked(span["value"], family), span["before"]
     digits = _digits(value)
     last = F.right(before, F.lit(1))
     low = F.lower(before)
@@ -129,7 +143,7 @@ def _candidate(span: Column, family: int) -> Column:
         (_bucket(F.length(value), (8, 16, 32)) if mail else _bucket(F.length(digits), (8, 10, 12, 14, 16, 20))).alias("length"),
         _bucket(F.size(F.split(value, "[^A-Za-z0-9]+" if mail else "[^0-9]+", -1)), (2, 3, 4, 5, 6)).alias("parts"),
         _bucket(F.length(value) - F.length(F.replace(value, F.lit("."), F.lit(""))), (1, 3, 4)).alias("dots"),
-        value.contains("(").cast("int").alias("paren"),
+        F.substring(value, 2, 64).contains("(").cast("int").alias("paren"),
         (F.length(digits).between(12, 19) & F.coalesce(F.call_function("luhn_check", digits), F.lit(False))).cast("int").alias("luhn"),
         (value.rlike(r"\A[0-9]+(\.[0-9]+){3}\z") & _octets(value)).cast("int").alias("octets"),
         F.when(last.rlike(r"\A\s?\z"), 0).when(last.rlike("[A-Za-z]"), 1).otherwise(2).alias("before"), cue.alias("cue"))
@@ -197,8 +211,25 @@ def _grow(rows, depth: int):
     return best[1], best[2], _grow(best[3], depth - 1), _grow(best[4], depth - 1)
 
 
-def boost(table: list[dict], precision: float = PRECISION) -> Model:
-    """Fit one kind on rows of feature values with ``fold``, ``n`` candidates and ``hits`` among them."""
+def marked_share(table: list[dict], kind: str) -> float:
+    """Share of a kind's true spans that are base spans, among rows that a cue word of the kind announces.
+
+    Only rows of a format that base spans of the kind have on the other half count. 1 where such rows are too few, or
+    too seldom marked to be what the cue says.
+    """
+    formats = {tuple(r[f] for f in FORMAT) for r in table if r["fold"] == 0 and r[kind]}
+    told = [r for r in table if r["fold"] == 1 and r["cue"] == CUES[kind] and tuple(r[f] for f in FORMAT) in formats]
+    hits = sum(r[kind] for r in told)
+    n = sum(r["n"] - sum(r[k] for k in KINDS if k != kind) for r in told)
+    return hits / n if n >= LEAST_SUPPORT and hits >= LEAST_MARKED * n else 1.0
+
+
+def boost(table: list[dict], precision: float = PRECISION, marked: float = 1.0) -> Model:
+    """Fit one kind on rows of feature values with ``fold``, ``n`` candidates and ``hits`` among them.
+
+    ``marked`` is the share of true spans that are hits. A level of scores is accepted when its share of hits is at least
+    ``precision`` of that, but for two standard errors, and all higher levels are; levels of few rows count together.
+    """
     train = [r for r in table if r["fold"] == 0]
     n, hits = sum(r["n"] for r in train), sum(r["hits"] for r in train)
     if not hits:
@@ -218,8 +249,10 @@ def boost(table: list[dict], precision: float = PRECISION) -> Model:
     for k, r in enumerate(held):
         seen, right = seen + r["n"], right + r["hits"]
         last = k + 1 == len(held) or total(held[k + 1]) < total(r)
-        if last and seen >= LEAST_SUPPORT and right >= precision * seen:
-            threshold = 1 / (1 + math.exp(-total(r))) - 1e-9
+        if last and seen >= LEAST_SUPPORT:
+            if right + 2 * math.sqrt(seen * marked * (1 - marked)) < precision * marked * seen:
+                break
+            threshold, seen, right = 1 / (1 + math.exp(-total(r))) - 1e-9, 0, 0
     return Model(start, tuple(trees), threshold)
 
 
@@ -230,7 +263,8 @@ def fit(spans: DataFrame, precision: float = PRECISION) -> dict[str, Model]:
         F.count(F.lit(1)).alias("n"), *(F.count_if(F.col("x.base") == k).alias(k) for k in KINDS))
     rows = [r.asDict() for r in counted.orderBy("fold", *FEATURES).collect()]
     family = lambda k: 1 if k == "email" else 0
-    return {k: boost([r | {"hits": r[k]} for r in rows if r["family"] == family(k)], precision) for k in KINDS}
+    of = lambda k: [r | {"hits": r[k]} for r in rows if r["family"] == family(k)]
+    return {k: boost(of(k), precision, marked_share(of(k), k)) for k in KINDS}
 
 
 def _added(models: dict[str, Model]) -> dict[str, Column]:

@@ -116,6 +116,30 @@ def personal(text):
     return [f"{k}:{m.start()}:{m.end()}" for k, p in PII.items() for m in p.finditer(text or "") if good(k, m[0])]
 
 
+def pii_candidates(text):
+    """(start, end, features) of what may be personal data, numbers and written mail addresses."""
+    bucket = lambda v, bounds: sum(v >= b for b in bounds)
+    local = "A-Za-z0-9._%+-"
+    mail = re.compile(rf"(?<![{local}])[{local}]+ ?(?:@|\(at\)|\[at\]|\{{at\}}) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]|\{{dot\}}) ?[A-Za-z0-9-]+)+")
+    for family, pattern in enumerate((re.compile(r"[+(]?[0-9][0-9 ().\-/]{5,}[0-9]"), mail)):
+        last = 0
+        for m in pattern.finditer(text):
+            value = m[0].lstrip("+(") if family == 0 else re.sub(
+                r" ?(\.|\(dot\)|\[dot\]|\{dot\}) ?", ".", re.sub(r" ?(@|\(at\)|\[at\]|\{at\}) ?", "@", m[0]))
+            before, last = text[last:m.start()][-12:], m.end()
+            digits, low = re.sub("[^0-9]", "", value), before.lower()
+            cue = next((n for n, w in enumerate(("tel|phone|call|mob|fax", "card|visa|pay", "ip|host|addr", "mail|contact"), 1)
+                        if re.search(w, low)), 0)
+            octets = value.split(".")
+            yield m.start(), m.end(), {
+                "family": family, "cue": cue, "dots": bucket(value.count("."), (1, 3, 4)), "paren": int("(" in value[1:65]),
+                "length": bucket(len(value), (8, 16, 32)) if family else bucket(len(digits), (8, 10, 12, 14, 16, 20)),
+                "parts": bucket(len(re.split("[^A-Za-z0-9]+" if family else "[^0-9]+", value)), (2, 3, 4, 5, 6)),
+                "luhn": int(12 <= len(digits) <= 19 and luhn(digits)),
+                "octets": int(len(octets) == 4 and all(o.isdigit() and int(o) <= 255 for o in octets)),
+                "before": 0 if before[-1:].strip() == "" else 1 if before[-1].isalpha() else 2}
+
+
 def warc(rows):
     """rows: (page_id, html) -> (page_id, bytes, digest, type, refers_to)."""
     top = {}

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +48,59 @@ def test_model_adds_what_looks_like_base_spans(spark):
     assert all(got[i].spans == "" for i in range(200, 400))
 
 
+def phones_of_both_kinds():
+    """As many phones without the mark as with it, some with no cue, and numbers that look alike."""
+    lead = ("call {} now", "tel {}", "or {} then")
+    rows = [(i, lead[i % 3].format(f"+1 (377) 555-{1000 + i}")) for i in range(400)]
+    rows += [(i, lead[i % 3].format(f"1 (377) 555-{1000 + i}")) for i in range(400, 800)]
+    rows += [(i, f"build {i}00200{i} of 2024-01-0{i % 9 + 1} 10") for i in range(800, 1200)]
+    rows += [(i, f"mail to bob{i}@ex{i}.org") for i in range(1200, 1400)]
+    return rows + [(i, f"contact bob{i} (at) ex{i} (dot) org") for i in range(1400, 1600)] + [(1600, "they met @ noon"), (1601, None)]
+
+
+def test_unmarked_spans_are_added_and_look_alikes_are_not(spark):
+    docs = spark.createDataFrame(phones_of_both_kinds(), "doc_id bigint, text string")
+    got = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    assert sum(got[i].startswith("phone:") for i in range(400, 800)) > 380
+    assert sum(got[i].startswith("email:") for i in range(1400, 1600)) > 190
+    assert all(got[i] == "" for i in (*range(800, 1200), 1600, 1601))
+
+
+def test_added_spans_equal_brute_force(spark):
+    """Candidates, features and scores once more in Python, with the fitted trees."""
+    rows = phones_of_both_kinds()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    models = pii.fit(pii.cut(pii._with_spans(docs, "doc_id")))
+    got = {r.doc_id: r.spans for r in pii.find_pii(docs).collect()}
+    for i, text in rows:
+        base = brute.personal(text)
+        taken = [tuple(map(int, s.split(":")[1:])) for s in base]
+        want = list(base)
+        for start, end, features in brute.pii_candidates(text or ""):
+            if any(s < end and e > start for s, e in taken):
+                continue
+            scores = {}
+            for kind, m in models.items():
+                if (kind == "email") == bool(features["family"]) and m.threshold <= 1:
+                    margin = m.start + sum(pii._tree_value(t, features) for t in m.trees)
+                    scores[kind] = 1 / (1 + math.exp(-margin))
+            top = max(scores, key=scores.get, default=None)
+            if top and scores[top] >= models[top].threshold:
+                want.append(f"{top}:{start}:{end}")
+        order = lambda s: (pii.KINDS.index(s.split(":")[0]), int(s.split(":")[1]))
+        assert got[i] == ",".join(sorted(want, key=order)), text
+
+
+def test_share_of_marked_spans():
+    row = dict.fromkeys((*pii.FEATURES, *pii.KINDS), 0) | {"length": 3}
+    table = [row | {"fold": 0, "n": 50, "phone": 50}, row | {"fold": 1, "cue": 1, "n": 100, "phone": 60, "card": 20}]
+    assert pii.marked_share(table, "phone") == 0.75
+    assert pii.marked_share(table, "card") == 1.0  # no format of marked cards
+    assert pii.marked_share([table[0], table[1] | {"phone": 5}], "phone") == 1.0
+    rows = [row | {"fold": f, "parts": p, "n": 100, "hits": 50 * p} for f in (0, 1) for p in (0, 1)]
+    assert pii.boost(rows).threshold > 1 and pii.boost(rows, marked=0.5).threshold < 1
+
+
 def test_boosting_calibrates_or_stays_silent():
     row = dict.fromkeys(pii.FEATURES, 0)
     clear = [row | {"fold": f, "parts": p, "n": 100, "hits": 100 * p} for f in (0, 1) for p in (0, 1)]
