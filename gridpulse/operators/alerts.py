@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from gridpulse.operators.ordering import ordinal, previous_value
-from gridpulse.operators.quantiles import exact_quantiles
+from gridpulse.operators.quantiles import exact_quantiles, histogram_quantiles
 from gridpulse.schemas import ALERT_COLUMNS, require_columns
 from gridpulse.sources.scratch import cut
 
@@ -36,13 +36,19 @@ class Limits:
     low_activity: float | None
 
 
-def thresholds(hourly: DataFrame, high: float = HIGH_PERCENTILE,
-               low: float = LOW_PERCENTILE) -> Limits:
+# metrics that thresholds are taken of
+LIMITED = ["total_activity", "internet_activity"]
+
+
+def thresholds(hourly: DataFrame, high: float = HIGH_PERCENTILE, low: float = LOW_PERCENTILE,
+               histogram: DataFrame | None = None) -> Limits:
     """The three exact quantile thresholds over all hourly rows.
 
-    ``hourly`` is read once per counting pass and should be a stored table.
+    ``hourly`` is read once per counting pass and should be a stored table. With its stored
+    ``histogram`` (``quantiles.value_histogram`` of ``LIMITED``) only rows near a threshold are read.
     """
-    q = exact_quantiles(hourly, {"total_activity": [high, low], "internet_activity": [high]})
+    wanted = {"total_activity": [high, low], "internet_activity": [high]}
+    q = exact_quantiles(hourly, wanted) if histogram is None else histogram_quantiles(histogram, hourly, wanted)
     return Limits(q["total_activity", high], q["internet_activity", high], q["total_activity", low])
 
 

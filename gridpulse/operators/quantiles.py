@@ -103,18 +103,30 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[tuple
     stored table (see ``sources.scratch.cut``).
     """
     metrics = list(wanted)
-    typed = df.select(*[F.col(m).cast("double").alias(m) for m in metrics])
+    typed = _typed(df, metrics)
     counted = typed.agg(*[
         F.count_if(F.col(m).isNotNull() & ~F.isnan(m)).alias(m) for m in metrics
     ]).first()
     totals = {m: counted[m] for m in metrics}
 
-    position = {(m, p): (totals[m] - 1) * p for m in metrics for p in wanted[m] if totals[m]}
-    ranks = {m: sorted({k for (q, _), x in position.items() if q == m
-                        for k in (math.floor(x), math.ceil(x))}) for m in metrics}
+    ranks = _ranks(totals, wanted)
+    return _settled(wanted, totals, ranks, _first_brackets(typed, metrics, totals, ranks),
+                    lambda brackets: _narrow(typed, brackets, ranks))
 
+
+def _typed(df: DataFrame, metrics: list[str], *keep: str) -> DataFrame:
+    return df.select(*keep, *[F.col(m).cast("double").alias(m) for m in metrics])
+
+
+def _ranks(totals: dict[str, int], wanted: dict[str, list[float]]) -> dict[str, list[int]]:
+    return {m: sorted({k for p in wanted[m] for x in [(totals[m] - 1) * p] for k in (math.floor(x), math.ceil(x))})
+            if totals[m] else [] for m in wanted}
+
+
+def _settled(wanted: dict[str, list[float]], totals: dict[str, int], ranks: dict[str, list[int]],
+             brackets: list[Bracket], narrow) -> dict[tuple[str, float], float | None]:
+    """Narrow the brackets until each holds one value, then interpolate."""
     value: dict[tuple[str, int], float] = {}
-    brackets = _first_brackets(typed, metrics, totals, ranks)
     while brackets:
         still_open = []
         for b in brackets:
@@ -124,15 +136,59 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[tuple
                         value[b.metric, k] = b.low
             else:
                 still_open.append(b)
-        brackets = _narrow(typed, still_open, ranks) if still_open else []
+        brackets = narrow(still_open) if still_open else []
 
     result: dict[tuple[str, float], float | None] = {}
-    for m in metrics:
+    for m in wanted:
         for p in wanted[m]:
             if not totals[m]:
                 result[m, p] = None
                 continue
-            x = position[m, p]
+            x = (totals[m] - 1) * p
             lo, hi = value[m, math.floor(x)], value[m, math.ceil(x)]
             result[m, p] = lo + (hi - lo) * (x - math.floor(x)) if hi != lo else lo
     return result
+
+
+def value_histogram(df: DataFrame, metrics: list[str], by: str = "date") -> DataFrame:
+    """(``by``, metric, code, n, low, high): values of each date counted by their order code.
+
+    Histograms of dates add up, so a stored one spares the first pass over all
+    rows; a date that changes brings its own rows anew. Null and NaN are left out.
+    """
+    long = _typed(df, metrics, by).unpivot([by], metrics, "metric", "v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    return long.groupBy(by, "metric", order_code(F.col("v")).alias("code")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
+def histogram_quantiles(histogram: DataFrame, df: DataFrame, wanted: dict[str, list[float]],
+                        by: str = "date") -> dict[tuple[str, float], float | None]:
+    """``exact_quantiles`` of ``df`` with the first pass read off its stored histogram.
+
+    Later passes read only rows of dates whose histogram has values in an open
+    bracket, and of these the rows inside it; both filters reach the scan.
+    """
+    metrics = list(wanted)
+    counted = {r.metric: r.n for r in histogram.where(F.col("metric").isin(metrics)).groupBy("metric").agg(F.sum("n").alias("n")).collect()}
+    totals = {m: counted.get(m, 0) for m in metrics}
+    ranks = _ranks(totals, wanted)
+    brackets = []
+    for m in metrics:
+        if totals[m]:
+            one = histogram.where(F.col("metric") == m).groupBy("code").agg(
+                F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+            ahead = W.orderBy("code").rowsBetween(W.unboundedPreceding, -1)
+            # at most a few thousand codes per power of two that occurs, whatever the number of rows
+            placed = one.withColumn("before", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
+            holds = F.exists(F.array(*[F.lit(k) for k in ranks[m]]), lambda k: (k >= F.col("before")) & (k < F.col("before") + F.col("n")))
+            brackets += [Bracket(m, r.low, r.high, r.before, r.n) for r in placed.where(holds).collect()]
+
+    def narrow(still_open: list[Bracket]) -> list[Bracket]:
+        meets = [(F.col("metric") == b.metric) & (F.col("high") >= b.low) & (F.col("low") <= b.high) for b in still_open]
+        any_of = meets[0]
+        for c in meets[1:]:
+            any_of = any_of | c
+        dates = [r[0] for r in histogram.where(any_of).select(by).distinct().collect()]
+        return _narrow(_typed(df.where(F.col(by).isin(dates)), metrics), still_open, ranks)
+
+    return _settled(wanted, totals, ranks, brackets, narrow)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from gridpulse.functions.columns import calendar
 from gridpulse.operators.aggregate import grid_geometry
@@ -53,6 +53,19 @@ def fact_activity(hourly: DataFrame, times: DataFrame,
     )
 
 
+def dated_fact(hourly: DataFrame) -> DataFrame:
+    """Facts under (date, time_no, grid_id): the number of the timestamp inside its date, which no other date moves."""
+    stamps = hourly.where(F.col("timestamp").isNotNull()).select("date", "timestamp").distinct()
+    numbers = stamps.select("timestamp", F.row_number().over(W.partitionBy("date").orderBy("timestamp")).alias("time_no"))
+    return hourly.join(numbers, "timestamp").select("date", "time_no", F.col("grid_id").cast("int").alias("grid_id"), *FACT_MEASURES)
+
+
+def numbered_fact(dated: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``fact_activity`` out of dated facts: ``offsets`` (date, before) has a row per date, so a late date rewrites no facts."""
+    joined = dated.join(broadcast_if_small(offsets), "date")
+    return joined.select((F.col("before") + F.col("time_no")).cast("int").alias("time_id"), "grid_id", *FACT_MEASURES)
+
+
 def orphan_rows(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """One row: fact rows whose key the dimension lacks.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridpulse.functions.columns import parse_timestamp
 from gridpulse.operators import (
-    aggregate, alerts, checks, clean, compare, enrich, gate, ordering, profile, reports, star,
+    aggregate, alerts, checks, clean, compare, datestates, enrich, gate, ordering, profile, quantiles, reports, star,
 )
 from gridpulse.operators.checks import Rules
 from gridpulse.schemas import (
@@ -62,7 +62,20 @@ TABLES = {
     "analytics/alerts": "analytics",
     "warehouse/dim_time": "analytics",
     "warehouse/dim_grid": "analytics",
-    "warehouse/fact_network_activity": "analytics",
+    # by date, with the number of the timestamp inside its date; ``read_fact`` gives the time keys
+    "warehouse/fact_network_activity": "processed",
+}
+
+# facts per date beside the tables; a run replaces the dates it changed
+STATES = {
+    "states/detail": "processed",
+    "states/hourly": "processed",
+    "states/reconciled": "processed",
+    "states/histogram": "processed",
+    "states/ids": "processed",
+    "states/files": "by_file",
+    "states/deliveries": "by_file",
+    "states/delivered_ids": "by_file",
 }
 
 
@@ -78,25 +91,26 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _state(spark: SparkSession, run: Run, name: str) -> DataFrame:
+    return spark.read.parquet(run.path(f"states/{name}"))
+
+
 def new_files(spark: SparkSession, run: Run, zones: Zones) -> list[str]:
-    """Accepted files whose rows are not in the detail table yet.
+    """Accepted files whose rows are not in all tables yet, by the states of files, which a run writes last.
 
-    The list is as long as a run has new deliveries. A run that broke off before
-    its rows were written is made up for by the next one.
+    The list is as long as a run has new deliveries. A run that broke off is made up for by the next one.
     """
     accepted = read_ledger(spark, zones.ledger).where(F.col("status") == gate.ACCEPTED).select("filename").distinct()
-    done = _stored(spark, run.path("processed/detail"))
-    if done is not None:
-        accepted = accepted.join(done.select(F.col("source_filename").alias("filename")).distinct(), "filename", "left_anti")
-    return sorted(r.filename for r in accepted.collect())
+    done = _state(spark, run, "files").select(F.col("source_filename").alias("filename")).distinct()
+    return sorted(r.filename for r in accepted.join(done, "filename", "left_anti").collect())
 
 
-def build_detail(spark: SparkSession, run: Run, zones: Zones, files: list[str] | None = None) -> DataFrame:
-    """Raw zone to clean and rejected rows in one pass; returns all clean rows.
+def build_detail(spark: SparkSession, run: Run, text: DataFrame) -> DataFrame:
+    """Rows of the raw zone to clean and rejected rows in one pass; returns all clean rows.
 
-    With ``files`` only those are read, and their partitions replaced.
+    Partitions of the files that ``text`` holds are replaced.
     """
-    coerced = clean.coerce(clean.canonical_names(read_raw(spark, zones, files)))
+    coerced = clean.coerce(clean.canonical_names(text))
     filled = sum((F.col(m).isNull().cast("int") for m in MEASURES[1:]), F.col(MEASURES[0]).isNull().cast("int"))
     counted = coerced.withColumn("_filled", F.when(clean.is_rejected(), 0).otherwise(filled))
     table = _publish(
@@ -111,25 +125,49 @@ def build_detail(spark: SparkSession, run: Run, zones: Zones, files: list[str] |
     return table.where(F.col("row_status") == "clean")
 
 
+@dataclass(frozen=True)
+class Changed:
+    """The dates a run changed (None: all of them), and the files that hold rows of these dates."""
+
+    dates: list | None
+    files: list[str] | None
+
+    def detail(self, detail: DataFrame) -> DataFrame:
+        """Clean rows of the dates; files are partitions, so no other file is read."""
+        if self.dates is None:
+            return detail
+        return detail.where(F.col("source_filename").isin(self.files) & F.col("date").isin(self.dates))
+
+    def of(self, dated: DataFrame) -> DataFrame:
+        return dated if self.dates is None else dated.where(F.col("date").isin(self.dates))
+
+
+def changed_by(spark: SparkSession, run: Run, files: list[str] | None) -> tuple[Changed, DataFrame]:
+    """What the stored rows of new files change, and the state rows of these files."""
+    rows = spark.read.parquet(run.path("processed/detail"))
+    fresh = cut(datestates.file_states(rows if files is None else rows.where(F.col("source_filename").isin(files))))
+    if files is None:
+        return Changed(None, None), fresh
+    held = fresh.where("clean_rows > 0")
+    dates = [r.date for r in held.select("date").distinct().collect()]
+    known = _state(spark, run, "files").where("clean_rows > 0").select("source_filename", "date")
+    sharing = held.select("source_filename", "date").unionByName(known).where(F.col("date").isin(dates))
+    return Changed(dates, [r.source_filename for r in sharing.select("source_filename").distinct().collect()]), fresh
+
+
 def build_activity(spark: SparkSession, run: Run, detail: DataFrame, lookup: DataFrame,
-                   files: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                   changed: Changed = Changed(None, None)) -> tuple[DataFrame, DataFrame]:
     """Hourly grid, and the same rows with geometry.
 
-    With ``files`` only the dates that they hold are summed again, from the
-    detail rows of all files with these dates, and replaced in both tables.
+    Only changed dates are summed again, from the detail rows of all files with
+    these dates, and replaced in both tables.
     """
-    before = None
-    if files is not None:
-        dates = [r.date for r in detail.where(F.col("source_filename").isin(files)).select("date").distinct().collect()]
-        affected = F.col("date").isin(dates)
-        detail = detail.where(affected)
-        before = _stored(spark, run.path("processed/hourly_grid"))
-    kept = 0 if before is None else before.where(~affected).count()
-    hourly = _publish(spark, run, "processed/hourly_grid", aggregate.hourly_grid(detail), rebalance=True)
+    before = None if changed.dates is None else _stored(spark, run.path("processed/hourly_grid"))
+    kept = 0 if before is None else before.where(~F.col("date").isin(changed.dates)).count()
+    hourly = _publish(spark, run, "processed/hourly_grid", aggregate.hourly_grid(changed.detail(detail)), rebalance=True)
     run.metrics["processed/hourly_grid"] = {"rows": run.metrics["processed/hourly_grid"]["rows"] + kept}
-    fresh = hourly if files is None else hourly.where(affected)
     # the storage partition is the date, which the published columns leave out
-    dated = enrich.enrich(fresh, lookup).withColumn("date", F.to_date("timestamp"))
+    dated = enrich.enrich(changed.of(hourly), lookup).withColumn("date", F.to_date("timestamp"))
     activity = _publish(spark, run, "processed/activity", dated).select(*ACTIVITY_COLUMNS)
     run.metrics["processed/activity"] = {"rows": run.metrics["processed/activity"]["rows"] + kept}
     # one row per timestamp and cell already: summing again would change nothing
@@ -137,6 +175,20 @@ def build_activity(spark: SparkSession, run: Run, detail: DataFrame, lookup: Dat
     return hourly, activity
 
 
+def build_states(spark: SparkSession, run: Run, detail: DataFrame, hourly: DataFrame, changed: Changed) -> None:
+    """State rows of the changed dates; those of other dates stay as they are."""
+    own, fresh = changed.detail(detail), changed.of(hourly)
+    detail_rules, hourly_rules = table_rules()
+    for name, df in {
+        "detail": datestates.rule_states(own, detail_rules),
+        "hourly": datestates.rule_states(fresh, hourly_rules),
+        "reconciled": datestates.reconcile_states(own, fresh),
+        "histogram": quantiles.value_histogram(fresh, alerts.LIMITED),
+        "ids": datestates.id_bitmaps(fresh, {"grid_id": F.col("grid_id")}),
+    }.items():
+        write_zone(df, run.path(f"states/{name}"), STATES[f"states/{name}"], rebalance=True)
+
+
 def build_rollups(spark: SparkSession, run: Run, hourly: DataFrame) -> None:
     for name, df in {
         "grid_performance": aggregate.grid_performance(hourly),
@@ -148,15 +200,23 @@ def build_rollups(spark: SparkSession, run: Run, hourly: DataFrame) -> None:
 
 
 def build_alerts(spark: SparkSession, run: Run, hourly: DataFrame) -> DataFrame:
-    limits = alerts.thresholds(hourly)
+    limits = alerts.thresholds(hourly, histogram=_state(spark, run, "histogram"))
     return _publish(spark, run, "analytics/alerts", alerts.alert_table(hourly, limits))
 
 
-def build_star(spark: SparkSession, run: Run, hourly: DataFrame, lookup: DataFrame):
+def read_fact(spark: SparkSession, run: Run) -> DataFrame:
+    """The fact table under its time keys, which follow from the dates that are there."""
+    dated = spark.read.parquet(run.path("warehouse/fact_network_activity"))
+    return star.numbered_fact(dated, datestates.time_offsets(_state(spark, run, "hourly")))
+
+
+def build_star(spark: SparkSession, run: Run, hourly: DataFrame, lookup: DataFrame, changed: Changed = Changed(None, None)):
+    """Both dimensions anew, and the facts of the changed dates."""
     times = _publish(spark, run, "warehouse/dim_time", star.dim_time(hourly))
     grids = _publish(spark, run, "warehouse/dim_grid", star.dim_grid(hourly, lookup))
-    fact = _publish(spark, run, "warehouse/fact_network_activity", star.fact_activity(hourly, times))
-    return fact, times, grids
+    if changed.dates != []:
+        _publish(spark, run, "warehouse/fact_network_activity", star.dated_fact(changed.of(hourly)))
+    return read_fact(spark, run), times, grids
 
 
 def export_csv(spark: SparkSession, run: Run) -> None:
@@ -182,12 +242,43 @@ def delivery_totals(text: DataFrame) -> DataFrame:
     )
 
 
-def delivery_summary(spark: SparkSession, run: Run, zones: Zones) -> DataFrame:
-    """Facts of the accepted deliveries: totals row and one row per file."""
-    text = read_raw(spark, zones)
-    totals = delivery_totals(text)
-    per_file = aggregate.file_summary(clean.coerce(clean.canonical_names(text)))
-    write_zone(totals, run.path("logs/delivery_totals"), "results")
+def delivery_states(text: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Facts per delivered file, and the ids it holds as bitmaps: both add up over files."""
+    raw = clean.coerce(clean.canonical_names(text)).withColumn("date", F.to_date("timestamp"))
+    blank = F.trim(F.coalesce("datetime", F.lit(""))) == ""
+    invalid = text.groupBy("source_filename").agg(
+        F.count_if(~blank & parse_timestamp("datetime").isNull()).alias("invalid_timestamps"))
+    nulls = raw.groupBy("source_filename").agg(*[
+        F.max(F.col(c).isNull().cast("int")).alias(f"no_{c}") for c in ("date", "grid_id", "country_code")])
+    facts = aggregate.file_summary(raw).join(invalid, "source_filename").join(nulls, "source_filename")
+    ids = {"date": F.unix_date("date"), "grid_id": F.col("grid_id"), "country_code": F.col("country_code")}
+    return facts, datestates.id_bitmaps(raw, ids, by="source_filename")
+
+
+def totals_of(facts: DataFrame, ids: DataFrame, columns: int) -> DataFrame:
+    """``delivery_totals`` from the states of all files."""
+    names = ["date", "grid_id", "country_code"]
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    held = facts.agg(
+        *[F.coalesce(F.max(f"no_{c}"), F.lit(0)).alias(f"no_{c}") for c in names],
+        F.count_distinct("source_filename").alias("unique_source_filename"), total("rows").alias("row_count"),
+        F.lit(columns).alias("column_count"), total("invalid_timestamps").alias("invalid_timestamps"))
+    counts = datestates.bitmap_counts(ids, names)
+    held = held.withColumns({f"unique_{c}": counts.select(f"unique_{c}").scalar() + F.col(f"no_{c}") for c in names})
+    return held.drop(*[f"no_{c}" for c in names])
+
+
+def delivery_summary(spark: SparkSession, run: Run, zones: Zones, text: DataFrame | None = None) -> DataFrame:
+    """Facts of the accepted deliveries: totals row and one row per file.
+
+    Only the files in ``text`` (all of the raw zone without it) are read; the rest is known from their states.
+    """
+    text = read_raw(spark, zones) if text is None else text
+    for name, df in zip(("deliveries", "delivered_ids"), delivery_states(text)):
+        write_zone(df, run.path(f"states/{name}"), STATES[f"states/{name}"], rebalance=True)
+    facts = _state(spark, run, "deliveries")
+    write_zone(totals_of(facts, _state(spark, run, "delivered_ids"), len(text.columns)), run.path("logs/delivery_totals"), "results")
+    per_file = facts.drop("invalid_timestamps", "no_date", "no_grid_id", "no_country_code")
     write_zone(per_file, run.path("logs/delivery_files"), "results")
     return per_file
 
@@ -199,46 +290,58 @@ def validate_landing(spark: SparkSession, landing: str, out: str) -> DataFrame:
     return spark.read.schema("file_path string, valid boolean, row_count bigint, reason string").json(out)
 
 
-def quality(run: Run, detail: DataFrame, hourly: DataFrame, activity: DataFrame, lookup: DataFrame,
-            star_tables: tuple[DataFrame, DataFrame, DataFrame], expected: Expected, earlier_rows: int = 0,
-            features: DataFrame | None = None) -> DataFrame:
-    """The check table of one run; ``earlier_rows`` are clean rows of earlier runs.
-
-    ``features`` are those of the reference as delivered, unusable ones included.
-    """
-    m = run.metrics["processed/detail"]
-    detail_rules = Rules(
-        grain=CLEAN_GRAIN, required=CLEAN_COLUMNS, not_null=[c for c in CLEAN_COLUMNS if c != "country_code"],
-        non_negative=[*MEASURES, *TOTALS], rows=earlier_rows + m["rows"] - m["rejected_rows"], all_hours=True)
+def table_rules(expected: Expected = Expected(), detail_rows: int | None = None, clean_rows: int | None = None,
+                hourly_rows: int | None = None) -> tuple[Rules, Rules]:
+    """The rules of the detail and the hourly table; sizes that are None are not checked."""
     bound = expected.timestamps and expected.cells and expected.timestamps * expected.cells
-    hourly_rules = Rules(
+    return Rules(
+        grain=CLEAN_GRAIN, required=CLEAN_COLUMNS, not_null=[c for c in CLEAN_COLUMNS if c != "country_code"],
+        non_negative=[*MEASURES, *TOTALS], rows=detail_rows, all_hours=True,
+    ), Rules(
         grain=HOURLY_GRAIN, required=HOURLY_COLUMNS, forbidden=["country_code"], not_null=HOURLY_COLUMNS,
-        non_negative=[*MEASURES, *TOTALS], rows=run.metrics["processed/hourly_grid"]["rows"],
-        max_rows=bound, fewer_rows_than=earlier_rows + m["clean_rows"] + 1, all_hours=True,
+        non_negative=[*MEASURES, *TOTALS], rows=hourly_rows,
+        max_rows=bound, fewer_rows_than=None if clean_rows is None else clean_rows + 1, all_hours=True,
         distinct={"timestamp": expected.timestamps} if expected.timestamps else {},
         distinct_dates=expected.dates,
-        id_range=("grid_id", expected.cells) if expected.cells else None)
+        # states keep the range of ids whether or not it is checked
+        id_range=("grid_id", expected.cells) if expected.cells or hourly_rows is None else None)
+
+
+def quality(spark: SparkSession, run: Run, detail: DataFrame, hourly: DataFrame, activity: DataFrame, lookup: DataFrame,
+            star_tables: tuple[DataFrame, DataFrame, DataFrame], expected: Expected,
+            features: DataFrame | None = None) -> DataFrame:
+    """The check table of one run. Facts of the detail rows come from the states of all dates, not from the rows.
+
+    ``features`` are those of the reference as delivered, unusable ones included.
+    """
+    files, state = _state(spark, run, "files"), lambda n: _state(spark, run, n)
+    delivered = files.agg(F.coalesce(F.sum("clean_rows"), F.lit(0)).alias("n"), F.count_distinct("source_filename").alias("files")).first()
+    detail_rules, hourly_rules = table_rules(
+        expected, delivered.n, delivered.n, run.metrics["processed/hourly_grid"]["rows"])
+    cells = datestates.bitmap_counts(state("ids"), ["grid_id"])
+    stamps = state("detail").agg(F.coalesce(F.sum("stamps"), F.lit(0)).alias("stamps"))
+    settled = state("reconciled").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias("off") for c in ["mismatched_keys"]])
     if features is None:
         features = lookup.select(
             F.lit("FeatureCollection").alias("document_type"), F.col("grid_id").cast("string").alias("cell_id"), "geometry")
     broken = star.constraint_summary(*star_tables).agg(F.sum("violations").alias("violations"))
     parts = [
-        checks.table_checks(detail, "clean", detail_rules),
-        checks.table_checks(hourly, "hourly grid", hourly_rules),
+        datestates.state_checks(state("detail"), "clean", detail_rules, detail.columns),
+        datestates.state_checks(state("hourly"), "hourly grid", hourly_rules, hourly.columns, cells),
         checks.reference_checks(features, "reference", expected.cells),
-        checks.cadence_check(detail),
+        checks.value_check(stamps, "clean", "timestamp cadence", "stamps", delivered.files * 24),
         checks.gap_check(ordering.timestamp_gaps(hourly)),
         checks.value_check(enrich.coverage(hourly, lookup), "enriched", "coverage percent", "coverage_pct", 100.0),
         checks.preserved_check(hourly, activity, "enriched", "join keeps rows"),
         checks.value_check(
             compare.key_sets(hourly.select("grid_id"), lookup.select("grid_id"), ["grid_id"]),
             "enriched", "cells beyond the reference", "only_left", 0),
-        checks.value_check(compare.reconcile(detail, hourly), "hourly grid", "keys that do not reconcile",
-                           "mismatched_keys", 0),
+        checks.value_check(settled, "hourly grid", "keys that do not reconcile", "off", 0),
         checks.value_check(broken, "warehouse", "broken constraints", "violations", 0),
     ]
     if expected.files is not None:
-        parts.append(checks.file_count_check(detail, expected.files))
+        held = files.where("clean_rows > 0").agg(F.count_distinct("source_filename").alias("files"))
+        parts.append(checks.value_check(held, "raw", "source files", "files", expected.files))
     return checks.collect_checks(*parts)
 
 
@@ -247,8 +350,9 @@ def run_day(spark: SparkSession, landing: str, root: str, lookup: DataFrame | st
     """Gate, clean, aggregate, enrich, roll up, alert, load, check and record.
 
     A run judges the files that are new in the landing zone, reads only these
-    from the raw zone and replaces only the dates they hold; rollups over all
-    dates, alerts and the warehouse follow from the hourly table. ``rebuild``
+    from the raw zone and replaces only the dates they hold, in the tables and
+    in the states per date that checks, alert limits and time keys are made of;
+    rollups, alerts and dimensions follow from the hourly table. ``rebuild``
     judges all of landing again and makes every table anew. ``lookup`` is the
     path of the delivered reference, whose features are then checked as they
     came, or a table of cells. Totals of the deliveries are recorded too.
@@ -265,27 +369,32 @@ def run_day(spark: SparkSession, landing: str, root: str, lookup: DataFrame | st
     else:
         ingest_new(spark, landing, zones, run.path("logs/arrivals"))
     tasks["ingest"] = "SUCCESS"
-    delivery_summary(spark, run, zones)
-    done = _stored(spark, run.path("processed/detail"))
-    files = None if rebuild or done is None else new_files(spark, run, zones)
-    earlier = done.where(F.col("row_status") == "clean").count() if files is not None else 0
+    known = _stored(spark, run.path("states/files"))
+    files = None if rebuild or known is None else new_files(spark, run, zones)
+    changed = Changed([], [])
     if files == []:
         run.metrics = {"processed/detail": dict.fromkeys(["rows", "rejected_rows", "clean_rows", "nulls_handled"], 0)}
         read = lambda n: spark.read.parquet(run.path(n))
         detail, hourly = read("processed/detail").where(F.col("row_status") == "clean"), read("processed/hourly_grid")
-        activity = read("processed/activity")
+        activity = read("processed/activity").select(*ACTIVITY_COLUMNS)
         run.metrics |= {n: {"rows": hourly.count()} for n in ("processed/hourly_grid", "processed/activity")}
     else:
-        detail = build_detail(spark, run, zones, files)
-        hourly, activity = build_activity(spark, run, detail, lookup, files)
+        text = read_raw(spark, zones) if files is None else read_raw(spark, zones, files)
+        delivery_summary(spark, run, zones, text)
+        detail = build_detail(spark, run, text)
+        changed, taken_in = changed_by(spark, run, files)
+        hourly, activity = build_activity(spark, run, detail, lookup, changed)
+        build_states(spark, run, detail, hourly, changed)
         build_rollups(spark, run, hourly)
         build_alerts(spark, run, hourly)
     tasks["spark_process"] = "SUCCESS"
-    fact, times, grids = build_star(spark, run, hourly, lookup)
+    fact, times, grids = build_star(spark, run, hourly, lookup, changed)
+    if files != []:
+        write_zone(taken_in, run.path("states/files"), STATES["states/files"])
     tasks["load_warehouse"] = "SUCCESS"
 
     verify(spark, run.path("processed/activity"), run.metrics["processed/hourly_grid"]["rows"])
-    verdicts = quality(run, detail, hourly, activity, lookup, (fact, times, grids), expected, earlier, features)
+    verdicts = quality(spark, run, detail, hourly, activity, lookup, (fact, times, grids), expected, features)
     write_zone(verdicts, run.path("logs/quality"), "analytics")
     stored = read_table(spark, run.path("logs/quality"))
     failed = stored.where(~F.col("passed")).limit(1).count()

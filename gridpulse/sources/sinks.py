@@ -34,6 +34,7 @@ ZONES = {
     "reference": Zone("json", "errorifexists"),
     "processed": Zone("parquet", "overwrite", ("date",), dynamic=True),
     "detail": Zone("parquet", "overwrite", ("row_status", "source_filename"), dynamic=True),
+    "by_file": Zone("parquet", "overwrite", ("source_filename",), dynamic=True),
     "processed_append": Zone("parquet", "append", ("date",)),
     "analytics": Zone("parquet", "overwrite"),
     "analytics_append": Zone("parquet", "append"),

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from gridpulse.operators import alerts, gate
+from gridpulse.operators import alerts, gate, star
 from gridpulse.operators.aggregate import hourly_grid
 from gridpulse.operators.checks import CheckFailed
 from gridpulse.operators.clean import canonical_names, clean
@@ -59,7 +59,9 @@ def test_chain_alerts_and_star(spark, run):
     hourly = spark.read.parquet(run.path("processed/hourly_grid"))
     want = alerts.alert_table(hourly, alerts.thresholds(hourly))
     assert want.exceptAll(spark.read.parquet(run.path("analytics/alerts"))).count() == 0
-    fact = spark.read.parquet(run.path("warehouse/fact_network_activity"))
+    fact, times = daily.read_fact(spark, run), spark.read.parquet(run.path("warehouse/dim_time"))
+    want = star.fact_activity(hourly, times)
+    assert fact.columns == want.columns and fact.exceptAll(want).count() == want.exceptAll(fact).count() == 0
     assert fact.count() == hourly.count() == run.metrics["processed/activity"]["rows"]
 
 
