@@ -10,6 +10,17 @@ def by_key(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
     return df.repartition(partitions, key) if partitions else df.repartition(key)
 
 
+def bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Write ``df`` as table ``name`` at ``path`` in buckets of a key, sorted by it, and read it as that table.
+
+    Joins, groupings and windows on the key then need no shuffle, which a plain hash layout loses once it is written.
+    A key is one task here: right for a grain that bounds the rows of a key, as the hourly grid does for a cell. One
+    file per bucket: rows are laid out by the same hash first.
+    """
+    by_key(df, key, buckets).write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
     """Even output files: small partitions merge and a skewed one is split.
 

@@ -22,7 +22,7 @@ from gridpulse.schemas import (
 )
 from gridpulse.sources.delimited import list_files, read_records
 from gridpulse.sources.geojson import cell_lookup, read_features, require_cells
-from gridpulse.sources.scratch import cut
+from gridpulse.sources.scratch import cut, scoped
 from gridpulse.sources.sinks import read_ledger, verify, write_csv, write_zone
 from gridpulse.sources.tables import present, read_table
 from gridpulse.streaming.arrivals import Zones, ingest, ingest_new, read_raw
@@ -345,6 +345,7 @@ def quality(spark: SparkSession, run: Run, detail: DataFrame, hourly: DataFrame,
     return checks.collect_checks(*parts)
 
 
+@scoped
 def run_day(spark: SparkSession, landing: str, root: str, lookup: DataFrame | str, run_id: str,
             expected: Expected = Expected(), strict: bool = False, rebuild: bool = False) -> Run:
     """Gate, clean, aggregate, enrich, roll up, alert, load, check and record.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from gridpulse.plans.oracle import (
-    CLEAN, CLEAN_COLUMNS, HOURLY, HOURLY_COLUMNS, LOOKUP, RAW, ROUTED, TYPED, VERDICTS, _with,
+    CLEAN, CLEAN_COLUMNS, HOURLY, HOURLY_COLUMNS, LOOKUP, RAW, ROUTED, STAR, TYPED, VERDICTS, _with,
 )
 
 # The damage of a file goes by its day; the last row of the file has it.
@@ -100,6 +100,32 @@ SELECT grid_id, count(*) AS rows, round(sum(total_activity), 2) AS total_activit
 SELECT date, count(*) AS rows, CASE WHEN date = DATE '2024-01-10' THEN 0.0::DOUBLE ELSE round(sum(sms_in), 2) END AS sms_in,
        round(sum(sms_out), 2) AS sms_out
 FROM hourly WHERE date <= DATE '2024-01-15' GROUP BY 1"""),
+        "thresholds_by_date": _with(HOURLY, """
+SELECT round(quantile_cont(t, 0.95), 4) AS high_activity, round(quantile_cont(i, 0.95), 4) AS high_internet,
+       round(quantile_cont(t, 0.05), 4) AS low_activity
+FROM (SELECT total_activity * f AS t, internet_activity * f AS i
+      FROM (SELECT *, CASE WHEN date = DATE '2024-01-10' THEN 2 ELSE 1 END AS f FROM hourly))"""),
+        "date_states": _with(HOURLY, """
+SELECT c.*, h.reconciled_keys, h.missing_in_hourly, 0 AS missing_in_detail, h.mismatched_keys
+FROM (SELECT date, sum(n)::BIGINT AS rows, count(*) AS keys, count(*) FILTER (WHERE n > 1) AS dup_groups,
+             count(DISTINCT timestamp) AS stamps, count(DISTINCT hour(timestamp)) AS hours, 0 AS null_grid_id, 0 AS neg_sms_in
+      FROM (SELECT date, timestamp, grid_id, country_code, count(*) AS n FROM cleaned GROUP BY ALL) GROUP BY date) c
+JOIN (SELECT date, count(*) AS reconciled_keys, count(*) FILTER (WHERE late AND grid_id = 1) AS missing_in_hourly,
+             count(*) FILTER (WHERE late AND grid_id <> 1 AND hour = 5) AS mismatched_keys
+      FROM (SELECT *, date = DATE '2024-01-10' AS late FROM hourly) GROUP BY date) h USING (date)"""),
+        "distinct_ids_by_date": _with(CLEAN, """
+SELECT count(DISTINCT grid_id) AS unique_grid_id, count(DISTINCT country_code) AS unique_country_code,
+       count(DISTINCT timestamp) AS unique_timestamp FROM cleaned"""),
+        "late_date_fact": _with(STAR, "SELECT * FROM fact"),
+        "footer_facts": _with(HOURLY, """
+SELECT date, count(*) AS rows, min(grid_id) AS min_grid_id, max(grid_id) AS max_grid_id, min(hour) AS min_hour,
+       max(hour) AS max_hour, min(total_activity) AS min_total_activity, max(total_activity) AS max_total_activity
+FROM hourly GROUP BY date"""),
+        "bucketed_rollup": _with(HOURLY, """
+SELECT grid_id, round(sum(sms_in), 4) AS window_sms_in, round(sum(sms_out), 4) AS window_sms_out,
+       round(sum(call_in), 4) AS window_call_in, round(sum(call_out), 4) AS window_call_out,
+       round(sum(internet_activity), 4) AS window_internet_activity, round(sum(total_activity), 4) AS window_total_activity
+FROM hourly GROUP BY 1"""),
         "exported_rows": _with(HOURLY, f"""
 SELECT {hourly_list.replace("day_of_week", "strftime(date, '%A') AS day_of_week")} FROM hourly"""),
     }

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,6 +14,8 @@ from gridpulse.session import local_scratch
 
 # Tables written by this process and not removed yet.
 _WRITTEN: list[str] = []
+# Tables of the innermost open scope of this thread or task.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,9 +36,38 @@ def scratch_path(spark: SparkSession, kind: str = "table") -> str:
     """A new path below the scratch root, noted for ``drop_scratch``."""
     path = f"{scratch_root(spark)}/gridpulse-{kind}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
+    if (own := _SCOPE.get()) is not None:
+        own.append(path)
     return path
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the scratch tables that are written inside it, and removes them at its end, also after an error.
+
+    Results that read such tables must be written or collected before it ends. An inner scope owns what is its own.
+    """
+    own: list[str] = []
+    token = _SCOPE.set(own)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in own:
+            if path in _WRITTEN:
+                remove(spark, path)
+
+
+def scoped(job):
+    """``job(spark, ...)`` inside a scope of its own, for jobs that leave written tables and return none."""
+    @functools.wraps(job)
+    def inside(spark: SparkSession, *args, **kwargs):
+        with scope(spark):
+            return job(spark, *args, **kwargs)
+
+    return inside
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back.
 

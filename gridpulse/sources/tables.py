@@ -84,3 +84,17 @@ def present(spark: SparkSession, outputs: dict[str, str]) -> DataFrame:
         except (FileNotFoundError, ValueError):
             rows.append((name, False))
     return spark.createDataFrame(rows, "output string, present boolean")
+
+
+def footer_facts(spark: SparkSession, path: str, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """Rows, ``min_<column>`` and ``max_<column>`` of a Parquet table from its footers, without reading rows.
+
+    ``by`` may name partition columns. Columns are numbers or dates: footers hold no usable extremes of others. The
+    answer belongs to a session of its own, in which the source takes whole aggregates.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    facts = [F.count(F.lit(1)).alias("rows")]
+    facts += [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+    return own.read.parquet(path).groupBy(*by).agg(*facts)

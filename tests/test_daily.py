@@ -101,7 +101,14 @@ def test_a_new_day_reads_only_its_file(spark, sf, landing, tmp_path, monkeypatch
     seen = []
     monkeypatch.setattr(daily, "read_raw", lambda *a: seen.append(read_raw(*a)) or seen[-1])
     shutil.copy(landing / late, early / late)
+    # rows of another date that nothing may read: whoever does fails
+    old = {p: p.read_bytes() for p in (tmp_path / "lake/processed/detail").glob("*/*-2024-01-29.csv/*.parquet")}
+    for p in old:
+        p.write_bytes(b"unreadable")
     second = daily.run_day(spark, str(early), root, cells, "two")
+    assert old and all(p.read_bytes() == b"unreadable" for p in old)
+    for p, content in old.items():
+        p.write_bytes(content)
     assert [f"source_filename={late}/" in f for df in seen for f in df.inputFiles()] == [True]
     assert 0 < second.metrics["processed/detail"]["rows"] < first.metrics["processed/detail"]["rows"]
     third = daily.run_day(spark, str(early), root, cells, "three")

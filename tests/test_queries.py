@@ -1,8 +1,11 @@
 """Every registered query against its SQL on a second engine."""
 
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
+from gridpulse.sources.scratch import scope, scratch_root
 from tests.conftest import SF
 from tests.oracle import connect, differences
 
@@ -26,8 +29,12 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    df = QUERIES[name](spark, SF)
-    if name in SQL:
-        assert differences(df, con, SQL[name]) == []
-    else:
-        assert df.count() > 0
+    root = Path(scratch_root(spark).removeprefix("file://"))
+    before = set(root.iterdir())
+    with scope(spark):
+        df = QUERIES[name](spark, SF)
+        if name in SQL:
+            assert differences(df, con, SQL[name]) == []
+        else:
+            assert df.count() > 0
+    assert set(root.iterdir()) <= before, "scratch tables are left"
