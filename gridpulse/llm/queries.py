@@ -70,8 +70,10 @@ def op7_nn_descent(spark, sf_dir):
 
 
 @query
-def op8_url_vocabulary(spark, sf_dir):
-    return urls.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+def op8_url_vocabulary(spark, sf_dir, vocabulary: str | None = None):
+    """``vocabulary`` may be the path of a term table (``urls.read_vocabulary``)."""
+    terms = urls.read_vocabulary(spark, vocabulary) if vocabulary else None
+    return urls.judge(table(spark, sf_dir, "pages"), vocabulary=terms).select("page_id", "host", "path", "rule", "verdict")
 
 
 SQL["op8_url_vocabulary"] = urls.sql()

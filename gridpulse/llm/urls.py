@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Terms that reject on sight, and terms of which several different ones reject.
-STRICT = ("adult", "casino", "escort", "hentai", "malware", "phishing", "porn", "viagra", "warez", "xxx")
-SOFT = ("ads", "bet", "bets", "cheap", "clickbait", "coupon", "crack", "farm", "free", "gamble", "jackpot", "loan",
-        "loans", "pill", "pills", "poker", "sex", "slots", "spam", "track", "win")
-SOFT_NEEDED = 2
+from gridpulse.llm.url_terms import SOFT, STRICT
+from gridpulse.sources.scratch import cut
+
+VOCABULARY = "term string, class string, weight bigint"
+
+SOFT_NEEDED = 2  # different soft terms, and their weight together
+BLOCK_TERMS = 200_000  # terms of one automaton
 
 # Fixed values: (verdict, host, path) of the rules in force.
 RULES = (
@@ -42,54 +44,88 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> Column:
     return best
 
 
-def term_counts(urls: DataFrame, strict=STRICT, soft=SOFT) -> DataFrame:
-    """Adds strict_hits (occurrences) and soft_terms (different terms) of the column ``url``.
+def default_vocabulary(spark: SparkSession) -> DataFrame:
+    """The terms of ``url_terms``, all soft ones of weight 1."""
+    return spark.createDataFrame([(t, "strict", 1) for t in STRICT] + [(t, "soft", 1) for t in SOFT], VOCABULARY)
+
+
+def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """A vocabulary from CSV files with the header ``term,class,weight``; class is strict or soft, weight a whole number."""
+    return spark.read.csv(path, header=True, schema=VOCABULARY, enforceSchema=False)
+
 
-    A hit has no letter or digit next to it. One scan per URL finds all terms, whatever their number.
+def _term_blocks(vocabulary: DataFrame, block_terms: int):
+    """The vocabulary as lists of (term, strict, weight) of about ``block_terms``, fetched one at a time."""
+    lowered = F.lower(F.col("term").cast("string")).alias("term")
+    known = vocabulary.where("class in ('strict', 'soft')").select(lowered, (F.col("class") == "strict").alias("strict"), F.coalesce("weight", F.lit(1)).cast("bigint").alias("weight"))
+    terms = cut(known.where("term != ''").groupBy("term").agg(
+        F.max("strict").alias("strict"), F.max("weight").alias("weight")))
+    n = max(1, -(-terms.count() // block_terms))
+    for k in range(n):
+        yield [tuple(r) for r in terms.where(F.pmod(F.xxhash64("term"), F.lit(n)) == k).collect()]
+
+
+def term_counts(urls: DataFrame, vocabulary: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """Adds strict_hits (occurrences), soft_terms (different terms) and soft_weight (theirs) of the column ``url``.
+
+    A hit has no letter or digit next to it. One scan per URL finds all terms of an automaton; a vocabulary of more than
+    about ``block_terms`` terms is that of several, one after another. A term given twice is strict if it is so once, and
+    has the larger weight; a null weight is 1; null and empty terms and other classes are ignored.
     """
-    others = list(urls.columns)
-    weights = [(t, True) for t in strict] + [(t, False) for t in soft]
+    names = list(urls.columns)
+    counted = urls.withColumns({c: F.lit(0).cast("bigint") for c in ("strict_hits", "soft_terms", "soft_weight")})
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counted.schema)
+    for terms in _term_blocks(vocabulary, block_terms):
+        shared = urls.sparkSession.sparkContext.broadcast(terms)
+        counted = counted.mapInArrow(_counter(shared, names), kinds)
+    return counted
+
 
+def _counter(shared, names: list[str]):
     def run(batches):
         automaton = ahocorasick.Automaton()
-        for term, hard in weights:
-            automaton.add_word(term, (term, hard))
+        for term, strict, weight in shared.value:
+            automaton.add_word(term, (term, strict, weight))
         automaton.make_automaton()
         for b in batches:
-            hard_hits, soft_terms = [], []
-            for url in b.column("url").to_pylist():
-                text, hits, terms = (url or "").lower(), 0, set()
-                for end, (term, hard) in automaton.iter(text):
+            found = [b.column(c).to_pylist() for c in ("strict_hits", "soft_terms", "soft_weight")]
+            for k, url in enumerate(b.column("url").to_pylist() if shared.value else ()):
+                text, soft = (url or "").lower(), {}
+                for end, (term, strict, weight) in automaton.iter(text):
                     start = end - len(term)
                     if (start < 0 or not text[start].isalnum()) and (end + 1 == len(text) or not text[end + 1].isalnum()):
-                        hits += hard
-                        terms |= set() if hard else {term}
-                hard_hits.append(hits)
-                soft_terms.append(len(terms))
-            columns = [b.column(c) for c in others]
+                        if strict:
+                            found[0][k] += 1
+                        else:
+                            soft[term] = weight
+                found[1][k] += len(soft)
+                found[2][k] += sum(soft.values())
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(hard_hits, pa.int64()), pa.array(soft_terms, pa.int64())], [*others, "strict_hits", "soft_terms"])
+                [*(b.column(c) for c in names), *(pa.array(f, pa.int64()) for f in found)],
+                [*names, "strict_hits", "soft_terms", "soft_weight"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema)
-    return urls.mapInArrow(run, f"{kinds}, strict_hits bigint, soft_terms bigint")
+    return run
 
 
-def judge(pages: DataFrame, rules=RULES, strict=STRICT, soft=SOFT, soft_needed: int = SOFT_NEEDED) -> DataFrame:
-    """One row per page: page_id, url, host, path, rule, verdict, strict_hits, soft_terms.
+def judge(pages: DataFrame, rules=RULES, vocabulary: DataFrame | None = None, soft_needed: int = SOFT_NEEDED,
+          block_terms: int = BLOCK_TERMS) -> DataFrame:
+    """One row per page: page_id, url, host, path, rule, verdict, strict_hits, soft_terms, soft_weight.
 
-    The longest fitting rule decides; without one, a URL is blocked on one strict term or on ``soft_needed`` different
-    soft terms, else allowed. A null URL or one without ``://`` has an empty host and path, fits no rule, and is judged
-    on its terms (null has none). Repeated rows stay, a null page_id keeps its row, other columns are ignored, and an
-    empty table gives no rows.
+    The longest fitting rule decides; without one, a URL is blocked on one strict term of the ``vocabulary`` (term, class,
+    weight; by default that of ``url_terms``), or on several different soft terms whose weights reach ``soft_needed``, else
+    allowed. A null URL or one without ``://`` has an empty host and path, fits no rule, and is judged on its terms (null
+    has none). Repeated rows stay, a null page_id keeps its row, other columns are ignored, and an empty table gives no
+    rows; with an empty vocabulary the rules alone decide.
     """
     urls = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"))
-    counted = term_counts(urls, strict, soft)
+    counted = term_counts(urls, default_vocabulary(pages.sparkSession) if vocabulary is None else vocabulary, block_terms)
     host, path = host_and_path(F.col("url"))
     counted = counted.withColumns({"host": host, "path": path})
     ruled = counted.withColumn("_best", longest_rule(F.col("host"), F.col("path"), rules))
-    own = F.when((F.col("strict_hits") > 0) | (F.col("soft_terms") >= soft_needed), "block").otherwise("allow")
+    several = (F.col("soft_terms") >= 2) & (F.col("soft_weight") >= soft_needed)
+    own = F.when((F.col("strict_hits") > 0) | several, "block").otherwise("allow")
     return ruled.select("page_id", "url", "host", "path", F.col("_best.rule").alias("rule"),
-                        F.coalesce("_best.verdict", own).alias("verdict"), "strict_hits", "soft_terms")
+                        F.coalesce("_best.verdict", own).alias("verdict"), "strict_hits", "soft_terms", "soft_weight")
 
 
 def sql(strict=STRICT, soft=SOFT, soft_needed: int = SOFT_NEEDED, rules=RULES) -> str:

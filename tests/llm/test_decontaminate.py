@@ -24,6 +24,31 @@ def test_proximity_is_reported_apart(spark):
     assert got == {1: (0, [], ["7"]), 2: (4, ["7"], []), 3: (0, [], [])}
 
 
+def test_segments_and_portions_give_the_same(spark, sf, documents, monkeypatch):
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    rows = lambda **k: sorted(map(repr, decontaminate.contamination(documents, bench, **k).collect()))
+    whole = rows()
+    assert rows(segment_bytes=2000) == whole
+    monkeypatch.setattr(decontaminate, "CANDIDATES", 3)
+    assert rows() == whole
+
+
+def test_texts_are_indexed_once_for_all_blocks(spark, documents, monkeypatch):
+    built = []
+    build = decontaminate.build_index
+    monkeypatch.setattr(decontaminate, "build_index", lambda *a: built.append(1) or build(*a))
+    bench = spark.createDataFrame([(k, f"item {k} lorem ipsum dolor") for k in range(40)], ITEM)
+    decontaminate.contamination(documents, bench, block_bytes=1500).count()
+    assert len(built) == 1
+
+
+def test_copies_of_terms_inside_a_window(spark):
+    docs = spark.createDataFrame([(1, "a a a b a a a"), (2, "b a"), (3, "a b b a"), (4, "a A a")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(1, "a a b"), (2, "b a"), (3, "a a a")], ITEM)
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.contamination(docs, bench).collect()}
+    assert got == {1: (7, ["1", "2", "3"]), 2: (2, ["2"]), 3: (2, ["2"]), 4: (3, ["3"])}
+
+
 def test_empty(spark, documents, empty_documents):
     none = spark.createDataFrame([], ITEM)
     assert decontaminate.contamination(documents, none).where("contaminated").count() == 0
