@@ -128,6 +128,12 @@ def table_checks(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
     return wide.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*checks)))
 
 
+def schema_checks(df: DataFrame, dataset: str, rules: Rules) -> DataFrame:
+    """The rules about columns alone; no row of ``df`` is read."""
+    one = df.sparkSession.range(1)
+    return one.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*_schema_rows(df.columns, rules))))
+
+
 def reference_checks(features: DataFrame, dataset: str, expected_cells: int | None = None) -> DataFrame:
     """Checks of a feature table ``(document_type, cell_id text, geometry)``."""
     ids = F.col("cell_id").try_cast("bigint")

@@ -598,6 +598,8 @@ def quality_checks(spark, sf_dir):
     return checks.collect_checks(
         checks.table_checks(detail, "clean", detail_rules),
         checks.table_checks(hourly, "hourly grid", hourly_rules),
+        checks.schema_checks(detail, "clean as hourly grid", hourly_rules),
+        checks.schema_checks(hourly, "hourly grid as clean", detail_rules),
         checks.reference_checks(features, "reference", cells),
         checks.reference_checks(damaged, "damaged reference", cells),
         checks.cadence_check(clean.kept(raw)),

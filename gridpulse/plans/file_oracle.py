@@ -74,6 +74,9 @@ SELECT filename, CASE WHEN valid THEN 'ACCEPTED' ELSE 'REJECTED' END AS status,
 UNION ALL
 SELECT filename, CASE WHEN valid THEN 'SKIPPED_DUPLICATE' ELSE 'REJECTED_DUPLICATE' END, row_count,
        CASE WHEN valid THEN 'File already exists in raw; not overwritten' ELSE reason END FROM verdicts"""),
+        "streamed_arrivals": _with(VERDICTS, """
+SELECT filename, CASE WHEN valid THEN 'ACCEPTED' ELSE 'REJECTED' END AS status, row_count, reason,
+       CASE WHEN valid THEN row_count END AS raw_rows FROM verdicts"""),
         "raw_zone_rows": _with(ACCEPTED, f"SELECT {clean_list} FROM cleaned"),
         "delivery_totals": _with(TYPED, """
 SELECT count(DISTINCT CAST(timestamp AS DATE)) + max(CAST(timestamp IS NULL AS INTEGER)) AS unique_date,

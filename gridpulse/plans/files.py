@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridpulse.operators import aggregate, alerts, clean, datestates, gate, layout, quantiles, star
 from gridpulse.plans import daily, fixture
-from gridpulse.plans.catalog import QUERIES, query  # noqa: F401  QUERIES then holds both sides
+from gridpulse.plans.catalog import EARLIER_DELIVERY, QUERIES, query  # noqa: F401  QUERIES then holds both sides
 from gridpulse.schemas import RAW_COLUMNS
 from gridpulse.sources import delimited, geojson, sinks, tables
 from gridpulse.sources.scratch import cut, scratch_path
@@ -140,6 +140,20 @@ def ledger_after_two_runs(spark, sf_dir):
     return sinks.read_ledger(spark, zones.ledger).drop("processed_at")
 
 
+@query
+def streamed_arrivals(spark, sf_dir):
+    """The ledger and the rows of the raw zone after three runs of the file stream, the second with later files, the third with none."""
+    lines = cut(delivery_lines(fixture.raw_activity(spark, sf_dir)))
+    landing, zones, checkpoint = scratch_path(spark, "landing"), arrivals.Zones(scratch_path(spark, "lake")), scratch_path(spark, "stream")
+    early = F.col("filename") <= EARLIER_DELIVERY
+    for arriving in (early, ~early, None):
+        if arriving is not None:
+            place_files(spark, lines.where(arriving), landing)
+        arrivals.ingest_new(spark, landing, zones, checkpoint, files_per_batch=12)
+    stored = arrivals.read_raw(spark, zones).groupBy(F.col("source_filename").alias("filename")).agg(F.count(F.lit(1)).alias("raw_rows"))
+    return sinks.read_ledger(spark, zones.ledger).drop("processed_at").join(stored, "filename", "left")
+
+
 @query
 def raw_zone_rows(spark, sf_dir):
     """Rows of the accepted files, read back from the raw zone, cleaned."""

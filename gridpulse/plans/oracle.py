@@ -233,6 +233,15 @@ def _checks() -> str:
     add("hourly grid", "smallest id", "SELECT min(grid_id) FROM hourly", "1")
     add("hourly grid", "largest id", "SELECT max(grid_id) FROM hourly", cells)
     add("hourly grid", "distinct ids", "SELECT count(DISTINCT grid_id) FROM hourly", cells)
+    # a table held against the columns of the other, by the names that its rows carry
+    for dataset, t, held, wanted in (
+        ("clean as hourly grid", "cleaned", CLEAN_COLUMNS, HOURLY_COLUMNS), ("hourly grid as clean", "hourly", HOURLY_COLUMNS, CLEAN_COLUMNS),
+    ):
+        names = f"SELECT json_keys(to_json(r)) FROM (SELECT {', '.join(held)} FROM {t} LIMIT 1) r"
+        add(dataset, "required columns missing", f"SELECT count(*) FROM unnest({wanted}) w(c) WHERE NOT list_contains(({names}), c)", "0")
+        add(dataset, "exact ordered columns", f"CAST(({names}) = {wanted} AS INTEGER)", "1")
+        if wanted is HOURLY_COLUMNS:
+            add(dataset, "forbidden columns present", f"CAST(list_contains(({names}), 'country_code') AS INTEGER)", "0")
     for dataset, t in (("reference", "features"), ("damaged reference", "damaged")):
         add(dataset, "not empty", count(t), "1", ">=")
         add(dataset, "features outside a collection", count(t, "kind <> 'FeatureCollection'"), "0")
