@@ -34,6 +34,16 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
+def extended(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of ``found`` with further links, which may have new ids.
+
+    An id of ``found`` stands for its links by one to its component: the work grows with the ids, not with the links before.
+    """
+    if links.isEmpty():
+        return found
+    return components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionAll(links.select("a", "b")))
+
+
 def _between(links: DataFrame) -> DataFrame:
     """Links between different ids, once each, the smaller id first."""
     return links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -7,7 +7,8 @@
    longest common prefix first. Orders are range-partitioned, so a region that holds a third of the rows is split
    like any other; rows at the edges of a range are compared in a second, small pass.
 3. Candidates whose signatures agree too little are dropped, the others are confirmed on the full shingle sets.
-4. Connected components of the links.
+4. Connected components of the links. Next neighbours come first; those further along an order are candidates only where
+   they are still in different components, so a group of near copies gives no pairs beyond those that connect it.
 5. A run of classes with one prefix that is longer than the neighbours reach is crowded. Where its classes are not all
    in one component yet, their full sets meet in salted blocks of bounded size. Inside a block the depth adapts: classes
    with the whole key in common are compared first, and shorter prefixes only between classes that are still apart, down
@@ -23,7 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from gridpulse.llm.components import components
+from gridpulse.llm.components import components, extended
 from gridpulse.llm.packed import unpacked
 from gridpulse.llm.texthash import groups, mix, shingle_hashes, word_hashes
 from gridpulse.llm.vectors import grouped
@@ -97,9 +98,16 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of neighbours with a common prefix in some tree."""
+def candidates(classes: DataFrame, steps: range, found: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b), a < b, of classes ``steps`` places apart in some tree that share a long enough prefix.
+
+    With components ``found``, only pairs of different ones. Whatever lies between two classes of one prefix shares it:
+    each class of any pair is in a pair of one step.
+    """
     spark = classes.sparkSession
+    named = classes.select("rep", "signature", F.col("rep").alias("component"))
+    if found is not None:
+        named = _named(classes, found).select("rep", "signature", "component")
 
     def keys(batches):
         for b in batches:
@@ -110,7 +118,8 @@ def candidates(classes: DataFrame) -> DataFrame:
                 tie = mix(ids.to_numpy().view(np.uint64) * np.uint64(2 * t + 1) + np.uint64(t)) >> np.uint64(32)
                 key = np.column_stack([values[:, t], tie.astype(np.uint32)]).astype(">u4")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, t, np.int32)), pa.array([k.tobytes() for k in key], pa.binary()), ids], ["tree", "key", "rep"])
+                    [pa.array(np.full(n, t, np.int32)), pa.array([k.tobytes() for k in key], pa.binary()), ids, b.column("component")],
+                    ["tree", "key", "rep", "component"])
 
     def neighbours(edges: bool):
         def run(batches):
@@ -125,50 +134,57 @@ def candidates(classes: DataFrame) -> DataFrame:
                 new = len(rows[0])
                 if kept is not None:
                     rows = tuple(np.concatenate(x) for x in zip(kept, rows))
-                yield _pairs(rows, len(rows[0]) - new)
+                yield _pairs(rows, len(rows[0]) - new, steps)
                 kept, any_rows = tuple(x[-NEIGHBOURS:] for x in rows), True
             if edges and any_rows:
                 yield _edge(kept)
         return run
 
-    schema = "a bigint, b bigint, tree int, key binary, rep bigint"
-    rows = classes.select("rep", "signature").mapInArrow(keys, "tree int, key binary, rep bigint")
+    schema = "a bigint, b bigint, tree int, key binary, rep bigint, component bigint"
+    rows = named.mapInArrow(keys, "tree int, key binary, rep bigint, component bigint")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(partitions, "tree", "key", "rep").sortWithinPartitions("tree", "key", "rep")
-    found = cut(ordered.mapInArrow(neighbours(True), schema))
-    seam = found.where("a is null").select("tree", "key", "rep").distinct().coalesce(1)
+    inside = cut(ordered.mapInArrow(neighbours(True), schema))
+    seam = inside.where("a is null").select("tree", "key", "rep", "component").distinct().coalesce(1)
     across = seam.sortWithinPartitions("tree", "key", "rep").mapInArrow(neighbours(False), schema)
-    return found.where("a is not null").select("a", "b").unionAll(across.select("a", "b")).distinct()
+    return inside.where("a is not null").select("a", "b").unionAll(across.select("a", "b")).distinct()
+
+
+def _named(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` with their component; a class without links is its own."""
+    labels = found.select(F.col("id").alias("_id"), F.col("component").alias("_component"))
+    return classes.join(labels, F.col("rep") == F.col("_id"), "left").select(
+        *classes.columns, F.coalesce("_component", "rep").alias("component"))
 
 
 def _decoded(batch):
     keys = batch.column("key").cast(pa.binary()).to_pylist()
     values = np.frombuffer(b"".join(keys), ">u4").reshape(len(keys), DEPTH + 1)
-    return batch.column("tree").to_numpy(), values, batch.column("rep").to_numpy()
+    return batch.column("tree").to_numpy(), values, batch.column("rep").to_numpy(), batch.column("component").to_numpy()
 
 
 def _edge(rows):
-    tree, values, ids = rows
+    tree, values, ids, component = rows
     none = pa.nulls(len(ids), pa.int64())
     return pa.RecordBatch.from_arrays(
-        [none, none, pa.array(tree), pa.array([v.tobytes() for v in values], pa.binary()), pa.array(ids)],
-        ["a", "b", "tree", "key", "rep"])
+        [none, none, pa.array(tree), pa.array([v.tobytes() for v in values], pa.binary()), pa.array(ids), pa.array(component)],
+        ["a", "b", "tree", "key", "rep", "component"])
 
 
-def _pairs(rows, done):
+def _pairs(rows, done, steps):
     """Neighbours of which the later one lies at or after ``done``."""
-    tree, values, ids = rows
+    tree, values, ids, component = rows
     left, right = [], []
-    for step in range(1, NEIGHBOURS + 1):
+    for step in steps:
         at = np.arange(max(done, step), len(ids))
         same = (tree[at] == tree[at - step]) & (values[at, :LEAST_DEPTH] == values[at - step, :LEAST_DEPTH]).all(axis=1)
-        at = at[same]
+        at = at[same & (component[at] != component[at - step])]
         left.append(np.minimum(ids[at], ids[at - step]))
         right.append(np.maximum(ids[at], ids[at - step]))
     a, b = np.concatenate(left), np.concatenate(right)
     a, b = a[a != b], b[a != b]
-    no_row = [pa.nulls(len(a), kind) for kind in (pa.int32(), pa.binary(), pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *no_row], ["a", "b", "tree", "key", "rep"])
+    no_row = [pa.nulls(len(a), kind) for kind in (pa.int32(), pa.binary(), pa.int64(), pa.int64())]
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *no_row], ["a", "b", "tree", "key", "rep", "component"])
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
@@ -187,14 +203,13 @@ def _prefixes(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "signature").mapInArrow(run, "tree int, prefix binary, deeper binary, rep bigint")
 
 
-def crowded(classes: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def crowded(classes: DataFrame, found: DataFrame, docs: DataFrame, words: int, percent: int, sets: DataFrame | None = None) -> DataFrame:
     """Exact links (a, b) that join the components of ``found`` inside runs that the neighbours don't cover.
 
     The links of a block are a spanning forest: every two classes of the run that are similar enough end up connected.
+    ``sets`` are shingle sets of at least all classes with a neighbour, if the caller has them.
     """
-    labels = found.select(F.col("id").alias("_id"), F.col("component").alias("_component"))
-    named = classes.join(labels, F.col("rep") == F.col("_id"), "left").select(
-        "rep", "n_shingles", F.coalesce("_component", "rep").alias("component"))
+    named = _named(classes, found).select("rep", "n_shingles", "component")
     keys = ["tree", "prefix"]
     places = cut(_prefixes(classes))
     # any two of a run of NEIGHBOURS + 1 classes are neighbours
@@ -208,7 +223,8 @@ def crowded(classes: DataFrame, found: DataFrame, docs: DataFrame, words: int, p
     dealt = cut(members.join(runs, keys).withColumn("part", part))
     cells = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
         F.least("part", j).alias("i"), F.greatest("part", j).alias("j")))
-    sets = shingle_sets(dealt.select(F.col("rep").alias("id")).distinct(), classes, docs, words)
+    if sets is None:
+        sets = shingle_sets(dealt.select(F.col("rep").alias("id")).distinct(), classes, docs, words)
     full = dealt.join(sets, F.col("rep") == F.col("id"))
     block = [*keys, "i", "j"]
     spread = full.select(*keys, "part", "deeper", "rep", "component", "shingles", F.explode(cells).alias("cell")).select(
@@ -307,10 +323,8 @@ def shingle_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame, words: int
     return cut(needed.select("id", "packed").mapInArrow(run, "id bigint, shingles array<bigint>"))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs with 100 * intersection >= percent * union of the full shingle sets."""
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b"))).distinct()
-    sets = shingle_sets(ids, classes, docs, words)
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -325,9 +339,7 @@ def recall(docs: DataFrame, classes: DataFrame, found: DataFrame, words: int, pe
     The sample is ``audited`` classes in order of a hash, none with more than ``AUDIT_SHINGLES`` shingles; their sets are
     what is broadcast. It is a measurement: nothing found here enters the result.
     """
-    labels = found.select(F.col("id").alias("_id"), F.col("component").alias("_component"))
-    whole = classes.join(labels, F.col("rep") == F.col("_id"), "left").select(
-        "n_shingles", "f1", "f2", "rep", F.coalesce("_component", "rep").alias("component"))
+    whole = _named(classes, found).select("n_shingles", "f1", "f2", "rep", "component")
     chosen = cut(classes.where(F.col("n_shingles") <= AUDIT_SHINGLES).orderBy(F.xxhash64("f1", "f2"), "f1").limit(audited).select(
         F.col("rep").alias("id")))
     sample = shingle_sets(chosen, classes, docs, words).join(whole, F.col("id") == F.col("rep")).select(
@@ -396,12 +408,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     classes = cut(linked.groupBy("n_shingles", "f1", "f2").agg(
         F.min(F.struct("doc_id", "th")).alias("one"), F.first("signature").alias("signature"),
     ).withColumn("rep", F.monotonically_increasing_id()))
-    pairs = cut(likely(candidates(classes), classes, percent))
-    links = cut(confirmed(pairs, classes, docs, words, percent))
-    found = components(links)
-    more = cut(crowded(classes, found, docs, words, percent))
-    if not more.isEmpty():
-        found = components(links.unionAll(more))
+    pairs = cut(candidates(classes, range(1, 2)))
+    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b"))).distinct()
+    sets = shingle_sets(ids, classes, docs, words)
+    found = components(cut(confirmed(cut(likely(pairs, classes, percent)), sets, percent)))
+    further = cut(likely(candidates(classes, range(2, NEIGHBOURS + 1), found), classes, percent))
+    found = extended(found, cut(confirmed(further, sets, percent)))
+    found = extended(found, cut(crowded(classes, found, docs, words, percent, sets)))
     n, held = recall(docs, classes, found, words, percent)
     if n >= LEAST_PAIRS and held < LEAST_RECALL * n:
         raise ValueError(f"only {held} of {n} audited links were found")

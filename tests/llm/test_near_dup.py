@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridpulse.llm import near_dup
-from gridpulse.llm.components import components
+from gridpulse.llm.components import components, extended
 from gridpulse.llm.texthash import shingle_hashes, word_hashes
 from tests.llm import brute
 
@@ -106,6 +106,46 @@ def test_shingles_follow_words():
     assert n.tolist() == [2, 0, 1]
 
 
+def test_near_copies_make_few_pairs(spark, monkeypatch):
+    """Classes of one component are paired no further: next neighbours only, however many copies there are."""
+    seen = []
+
+    def likely(pairs, *rest):
+        seen.append(pairs.count())
+        return counted(pairs, *rest)
+
+    counted = near_dup.likely
+    monkeypatch.setattr(near_dup, "likely", likely)
+    base = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join([*base[: i % 90], f"x{i}", *base[i % 90 + 1:]])) for i in range(400)]
+    got = rows(near_dup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), 3, 85))
+    assert {c for _, _, c, _ in got} == {0} and len(got) == 400
+    assert 0 < sum(seen) <= near_dup.TREES * 400
+
+
+def test_steps_cover_the_neighbours(spark):
+    """Pairs one step apart and those further on are all neighbours; with components, all that aren't in one."""
+    docs = [(i, " ".join([f"t{k}" for k in range(60)] + [f"d{i}w{k}" for k in range(i % 7)])) for i in range(300)]
+    marks = near_dup.cut(near_dup.signatures(spark.createDataFrame(docs, "doc_id bigint, text string"), 3))
+    classes = near_dup.cut(marks.groupBy("n_shingles", "f1", "f2").agg(F.first("signature").alias("signature")).withColumn(
+        "rep", F.monotonically_increasing_id()))
+    pairs = lambda *args: {(r.a, r.b) for r in near_dup.candidates(classes, *args).collect()}
+    first, further, every = (pairs(range(*r)) for r in ((1, 2), (2, 4), (1, 4)))
+    assert first | further == every and {x for p in every for x in p} == {x for p in first for x in p}
+    component = {r.rep: r.rep % 3 for r in classes.collect() if r.rep % 5}
+    found = spark.createDataFrame(list(component.items()), "id bigint, component bigint")
+    apart = {(a, b) for a, b in every if component.get(a, a) != component.get(b, b)}
+    assert 0 < len(apart) < len(every) and pairs(range(1, 4), found) == apart
+
+
+def test_components_take_further_links(spark):
+    frame = lambda some: spark.createDataFrame(some, "a bigint, b bigint")
+    found = components(frame([(5, 6), (6, 7), (1, 2), (20, 21)]))
+    got = {r.id: r.component for r in extended(found, frame([(7, 2), (9, 5), (30, 31)])).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 6: 1, 7: 1, 9: 1, 20: 20, 21: 20, 30: 30, 31: 30}
+    assert {r.id: r.component for r in extended(found, frame([])).collect()} == {5: 5, 6: 5, 7: 5, 1: 1, 2: 1, 20: 20, 21: 20}
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(1000, 999)], "a bigint, b bigint")
     found = {r.id: r.component for r in components(links).collect()}
