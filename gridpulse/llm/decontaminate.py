@@ -10,6 +10,9 @@ Segments follow the documents, so no posting is shuffled and a term that is in e
 there are segments. Terms are told apart by 64 bits of hash. The benchmark is a stated query set: it goes to the tasks in
 blocks of at most ``block_bytes`` of text, so what is broadcast is bounded whatever its size; frequencies of a block's
 terms are one small row per term.
+
+A row of the index is large. It is written in row groups and pages of a few rows, and read in a session of its own that
+hands a few rows at a time to Python, so that a task holds a few megabytes of it however much its part of the table has.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridpulse.llm import terms
 from gridpulse.llm.texthash import groups
@@ -29,6 +32,7 @@ BLOCK_BYTES = 16 << 20
 SEGMENT_BYTES = 512 << 10
 CANDIDATES = 1 << 20  # places that are looked at in one go; more of a segment are taken in turn
 SLOP = 30  # words around the rarest term that a proximity match may span, each way
+HELD_BYTES = 4 << 20  # of index rows that a task holds at once, beyond one row; row groups and batches close there
 
 _INDEX = "doc_ids array<bigint>, ths array<bigint>, n_words array<int>, terms array<bigint>, counts array<int>, positions array<int>"
 _HITS = "doc_id bigint, th bigint, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>, near array<string>"
@@ -88,6 +92,16 @@ def _blocks(benchmark: DataFrame, block_bytes: int):
         yield [(r.item, r.text) for r in part.collect() if r.item is not None]
 
 
+def _reader(spark: SparkSession) -> SparkSession:
+    """A session like the caller's, whose batches for Python close at ``HELD_BYTES`` instead of at rows by the thousand."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", HELD_BYTES)
+    return own
+
+
 def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """Positional postings of every term: a row per segment of documents.
 
@@ -111,7 +125,9 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
 
     text = F.col("text").cast("string")
     key = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    return cut(key.mapInArrow(run, _INDEX))
+    # Parquet looks at sizes only after a hundred rows unless told to
+    sizes = {"parquet.block.size": str(HELD_BYTES), "parquet.page.size.row.check.min": "1"}
+    return cut(key.mapInArrow(run, _INDEX), _reader(docs.sparkSession), sizes)
 
 
 def _places(known: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -268,8 +284,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     found = None
     blocks = 0
     for items in _blocks(benchmark, block_bytes):
-        part = match(index, *item_windows(items, window), slop)
-        found, blocks = part if found is None else found.unionAll(cut(part)), blocks + 1
+        part = cut(match(index, *item_windows(items, window), slop), docs.sparkSession)
+        found, blocks = part if found is None else found.unionAll(part), blocks + 1
     if blocks > 1:  # one row per document and block: put the blocks of a document together, repeated rows included
         found = found.groupBy("doc_id", "th", "n_words").agg(
             F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"),

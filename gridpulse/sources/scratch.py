@@ -68,16 +68,15 @@ def scoped(job):
     return inside
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once and read it back.
+def cut(df: DataFrame, spark: SparkSession | None = None, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` once and read it back, in the session ``spark`` if one is given; ``options`` are those of the writer.
 
     For frames that several jobs need: they scan columns of a table instead of
     repeating the lineage, and the table outlives lost executors.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = scratch_path(df.sparkSession)
+    df.write.mode("errorifexists").options(**(options or {})).parquet(path)
+    return (spark or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -1,4 +1,7 @@
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from gridpulse.llm import decontaminate
 from tests.llm import brute
@@ -42,6 +45,42 @@ def test_texts_are_indexed_once_for_all_blocks(spark, documents, monkeypatch):
     assert len(built) == 1
 
 
+def long_documents(spark, n):
+    """Documents in one partition, each of 30,000 numbers that no other has."""
+    first = F.col("id") * 30_000
+    return spark.range(0, n, 1, 1).select(F.col("id").alias("doc_id"), F.array_join(F.sequence(first, first + 29_999), " ").alias("text"))
+
+
+def batch_sizes(index):
+    """Rows and bytes of the batches in which Python gets the index."""
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    return [tuple(r) for r in index.mapInArrow(run, "n bigint, size bigint").collect()]
+
+
+def test_a_task_holds_a_few_rows_of_the_index(spark):
+    before = spark.conf.getAll
+    index = decontaminate.build_index(long_documents(spark, 40))
+    seen = batch_sizes(index)
+    assert sum(n for n, _ in seen) == index.count() and sum(size for _, size in seen) > 12 << 20
+    assert max(size for _, size in seen) < 6 << 20
+    for path in index.inputFiles():
+        told = pq.ParquetFile(path.removeprefix("file://")).metadata
+        assert all(told.row_group(k).total_byte_size < 6 << 20 for k in range(told.num_row_groups))
+    assert spark.conf.getAll == before
+
+
+def test_result_belongs_to_the_session_of_the_documents(spark):
+    docs = long_documents(spark, 3)
+    bench = spark.createDataFrame([(1, "30000 30001 30002"), (2, "29999 30000")], ITEM)
+    got = decontaminate.contamination(docs, bench)
+    assert got.sparkSession is spark
+    assert sorted((r.doc_id, r.n_hit, r["items"]) for r in got.join(docs, "doc_id").collect()) == [(0, 0, []), (1, 3, ["1"]), (2, 0, [])]
+
+
 def test_copies_of_terms_inside_a_window(spark):
     docs = spark.createDataFrame([(1, "a a a b a a a"), (2, "b a"), (3, "a b b a"), (4, "a A a")], "doc_id bigint, text string")
     bench = spark.createDataFrame([(1, "a a b"), (2, "b a"), (3, "a a a")], ITEM)
