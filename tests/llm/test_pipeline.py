@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
-from gridpulse.llm import quality
+from gridpulse.llm import decontaminate, quality
 from tests.conftest import SF
 from tests.llm import brute
+from tests.llm.test_decontaminate import batch_sizes, long_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -42,6 +43,16 @@ def test_benchmark_stage(spark, docs):
     assert kept.columns == COLUMNS and brute.by_none(rows(kept)) == brute.by_none(want)
 
 
+def test_benchmark_stage_reads_its_index_a_few_rows_at_a_time(spark, tmp_path, monkeypatch):
+    seen = []
+    match = decontaminate.match
+    monkeypatch.setattr(decontaminate, "match", lambda index, *a: seen.extend(batch_sizes(index)) or match(index, *a))
+    spark.createDataFrame([(1, "900000 900001 900002")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = pipeline.clean_of_benchmarks(spark, long_documents(spark, 40), str(tmp_path))
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [k for k in range(40) if k != 30]
+    assert sum(size for _, size in seen) > 12 << 20 and max(size for _, size in seen) < 6 << 20
+
+
 def test_personal_data_stage(spark, docs):
     clean = pipeline.without_personal_data(spark, docs, SF)
     assert clean.columns == COLUMNS and clean.count() == docs.count()
