@@ -18,7 +18,7 @@ from gridpulse.functions.rowrules import BLANKS, EMPTY_FILE, split_line
 from gridpulse.operators import gate
 from gridpulse.schemas import FILE_PATTERN, RAW_COLUMNS, RAW_TEXT_SCHEMA
 from gridpulse.sources.delimited import joined_records, list_files, positioned, read_lines, read_records, with_origin
-from gridpulse.sources.scratch import cut
+from gridpulse.sources.scratch import cut, scope
 from gridpulse.sources.sinks import append_ledger, claim, read_ledger, release, write_zone
 
 
@@ -136,16 +136,18 @@ def ingest_new(spark: SparkSession, landing: str, zones: Zones, checkpoint: str,
     )
 
     def take(batch: DataFrame, _id: int) -> None:
-        session, records, lines = batch.sparkSession, joined_records(batch), positioned(batch)
-        verdict = cut(gate.file_verdicts(records))
-        # bounded by files_per_batch
-        names = [r.filename for r in verdict.select("filename").collect()]
-        if has_glob_name(names):
-            # the file stream reads other files twice next to such a name: its batch is read from the folder
-            records, lines = (gate.of_files(read(session, landing, pattern), verdict) for read in (read_records, read_lines))
-            verdict = gate.file_verdicts(records)
-        # a batch that is tried again finds its own claims
-        settle(session, records, lines, zones, verdict, owner=f"{checkpoint}#{_id}")
+        session = batch.sparkSession
+        with scope(session):  # the stream calls from a thread of its own, outside the caller's scope
+            records, lines = joined_records(batch), positioned(batch)
+            verdict = cut(gate.file_verdicts(records))
+            # bounded by files_per_batch
+            names = [r.filename for r in verdict.select("filename").collect()]
+            if has_glob_name(names):
+                # the file stream reads other files twice next to such a name: its batch is read from the folder
+                records, lines = (gate.of_files(read(session, landing, pattern), verdict) for read in (read_records, read_lines))
+                verdict = gate.file_verdicts(records)
+            # a batch that is tried again finds its own claims
+            settle(session, records, lines, zones, verdict, owner=f"{checkpoint}#{_id}")
 
     run = (
         with_origin(arriving).writeStream.foreachBatch(take)
